@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from pageloom import schemas
 
 
-def read_ads_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files holding one object ``{"ads": [record, ...]}`` each."""
-    docs = spark.read.schema(schemas.ADS_FILE).option("multiLine", True).json(path)
+def read_ads_files(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Records of ``{"ads": [record, ...]}`` objects: one per file, or with ``multi_line`` off one
+    per line, which unlike the former can be read by many tasks."""
+    docs = spark.read.schema(schemas.ADS_FILE).option("multiLine", multi_line).json(path)
     records = docs.select(F.explode("ads").alias("ad")).select("ad.*")
     return records.withColumn("Time", F.col("Time").try_cast("timestamp"))
 
