@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pageloom import schemas
 from pageloom.catalogue import dressed as D
 from pageloom.catalogue.book import LINKS, Book, decoded, sql_tokens
+from pageloom.functions.expr import each
 from pageloom.operators import documents
 from pageloom.plans import details
 
@@ -182,21 +183,19 @@ def agency_profile(spark, sf_dir):
     profiles = details.usable(details.agencies(D.agency(spark, sf_dir), keep=("page_id",)))
 
     def flat(cards, *names):
-        return F.array_join(F.transform(cards, lambda c: F.concat_ws("~", *[c[n] for n in names])),
-                            "|")
-
-    return profiles.select(
-        "page_id", F.array_join("Realtor_ID", ",").alias("agency_id"),
-        F.array_join("RealtorName", "|").alias("name"), F.col("RealtorAddress").alias("address"),
-        F.col("RealtorWebSite").alias("website"), F.col("RealtorPhone").alias("phone"),
-        F.array_join("Realtor_desc", "|").alias("description"),
-        F.array_join("Realtor_logo", "|").alias("logo"),
-        F.array_join("Realtor_imgs", "|").alias("images"),
-        flat(documents.labelled_team(F.col("Realtor_Team_infos")), "photo", "name",
-             "position").alias("team"),
-        flat(F.col("Realtor_Ads_selling_infos"), "url", "description", "picture").alias("sales"),
-        flat(F.col("Realtor_sold_Ads_infos"), "type", "description", "city",
-             "details").alias("sold"))
+        joined = each(cards, lambda c: f"concat_ws('~', {', '.join(f'{c}.{n}' for n in names)})")
+        return f"array_join({joined}, '|')"
+
+    team = flat(documents.labelled_team("Realtor_Team_infos"), "photo", "name", "position")
+    sales = flat("Realtor_Ads_selling_infos", "url", "description", "picture")
+    sold = flat("Realtor_sold_Ads_infos", "type", "description", "city", "details")
+    return profiles.selectExpr(
+        "page_id", "array_join(Realtor_ID, ',') AS agency_id",
+        "array_join(RealtorName, '|') AS name", "RealtorAddress AS address",
+        "RealtorWebSite AS website", "RealtorPhone AS phone",
+        "array_join(Realtor_desc, '|') AS description", "array_join(Realtor_logo, '|') AS logo",
+        "array_join(Realtor_imgs, '|') AS images", f"{team} AS team", f"{sales} AS sales",
+        f"{sold} AS sold")
 
 
 @BOOK.query("""

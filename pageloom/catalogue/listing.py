@@ -79,13 +79,12 @@ def cards_per_card(spark, sf_dir):
 
 def _cards(found):
     cards = cards_with_position(found, keep=("page_id",))
-    typed = X.typed_criteria(F.col("AdsCriterea"))
-    return cards.select(
-        "page_id", F.col("pos").cast("bigint").alias("pos"), F.col("AdsWebId").alias("ad_id"),
-        F.col("AdsUrl").alias("ad_url"), F.col("AdsType").alias("ad_type"),
-        F.col("AdsPrice").alias("price"), typed["rooms"].cast("bigint").alias("rooms"),
-        typed["surface_m2"].cast("double").alias("surface_m2"),
-        typed["floor"].cast("bigint").alias("floor"))
+    typed = X.typed_criteria("AdsCriterea")
+    return cards.selectExpr(
+        "page_id", "cast(pos AS bigint) AS pos", "AdsWebId AS ad_id", "AdsUrl AS ad_url",
+        "AdsType AS ad_type", "AdsPrice AS price", f"cast({typed['rooms']} AS bigint) AS rooms",
+        f"cast({typed['surface_m2']} AS double) AS surface_m2",
+        f"cast({typed['floor']} AS bigint) AS floor")
 
 
 @BOOK.query(f"""
@@ -98,8 +97,8 @@ FROM cards GROUP BY page_id
 def cards_strict(spark, sf_dir):
     fields = [Field(f.name, f.path, f.take, "all") for f in _GENERAL.fields]
     df = extract_fields(D.general_listing(spark, sf_dir), fields, keep=["page_id"])
-    lists = {"id": F.col("AdsWebId"), "price": F.col("AdsPrice")}
-    strict, cut = zip_lists(lists, "strict"), zip_lists(lists, "truncate")
+    lists = {"id": "AdsWebId", "price": "AdsPrice"}
+    strict, cut = F.expr(zip_lists(lists, "strict")), F.expr(zip_lists(lists, "truncate"))
     n_ids = F.size("AdsWebId")
     return df.filter(n_ids > 0).select(
         "page_id", n_ids.cast("bigint").alias("n_ids"),
@@ -214,7 +213,7 @@ def route_urls(spark, sf_dir):
     rules = (("blog.", "blog"), ("m.", "mobile"))
     url = F.col("url")
     routed = D.pages(spark, sf_dir).select(
-        R.route_of(url, rules, "general").alias("route"), U.query_parameter(url, "page").alias("cp"))
+        R.route_of(url, rules, "general").alias("route"), F.expr(U.query_parameter("url", "page")).alias("cp"))
     return routed.groupBy("route", "cp").agg(F.count("*").alias("n"))
 
 
@@ -259,5 +258,5 @@ def ads_by_host(spark, sf_dir):
     """The flagship: pages to cards to routed records to counts per host."""
     found = discover(D.general_listing(spark, sf_dir), _GENERAL)
     return (found.filter(F.col("outcome") == "ok")
-            .groupBy(U.host(F.col("url")).alias("host"))
+            .groupBy(F.expr(U.host("url")).alias("host"))
             .agg(F.count("*").alias("n_pages"), F.sum("n_records").cast("bigint").alias("n_ads")))

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from pageloom.catalogue.book import LINKS, Book, decoded, sql_tokens
 from pageloom.catalogue.dressed import pages
-from pageloom.functions import html as H
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
 from pageloom.functions.html import element
@@ -177,20 +176,19 @@ SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS host,
 FROM pages
 """)
 def url_parts(spark, sf_dir):
-    url = F.col("url")
-    last = U.last_segment(url)
-    path = F.regexp_replace(url, "^https?://[^/]+", "")
-    return pages(spark, sf_dir).select(
-        "page_id", U.host(url).alias("host"), last.alias("last_segment"),
-        F.array_join(U.digit_runs(last), ",").alias("digits"),
-        U.query_parameter(url, "page").alias("page"),
-        U.on_domain(url, ["example.com"]).cast("bigint").alias("on_site"),
-        U.with_site(path, "www.example.com").alias("moved"))
+    path = "regexp_replace(url, '^https?://[^/]+', '')"
+    last = U.last_segment("url")
+    return pages(spark, sf_dir).selectExpr(
+        "page_id", f"{U.host('url')} AS host", f"{last} AS last_segment",
+        f"array_join({U.digit_runs(last)}, ',') AS digits",
+        f"{U.query_parameter('url', 'page')} AS page",
+        f"cast({U.on_domain('url', ['example.com'])} AS bigint) AS on_site",
+        f"{U.with_site(path, 'www.example.com')} AS moved")
 
 
 @BOOK.query(f"""
 SELECT page_id,
-       {decoded("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")} AS heading_text,
+       trim({decoded("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}) AS heading_text,
        len(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>'))::BIGINT AS n_items
 FROM pages
 """)

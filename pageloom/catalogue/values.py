@@ -19,12 +19,12 @@ SELECT doc_id, w[1] AS first, w[3] AS third, w[-2] AS second_last, len(w)::BIGIN
 FROM d
 """)
 def text_tokens(spark, sf_dir):
-    text = F.col("text")
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id", X.nth_token(text, 1).alias("first"), X.nth_token(text, 3).alias("third"),
-        X.nth_token(text, -2).alias("second_last"), F.size(X.tokens(text)).cast("bigint").alias("n"),
-        X.token_range(text, 5, 3).alias("middle"),
-        F.length(X.trim_blank(text)).cast("bigint").alias("trimmed_length"))
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+        "doc_id", f"{X.nth_token('text', 1)} AS first", f"{X.nth_token('text', 3)} AS third",
+        f"{X.nth_token('text', -2)} AS second_last",
+        f"cast(size({X.tokens('text')}) AS bigint) AS n",
+        f"{X.token_range('text', 5, 3)} AS middle",
+        f"cast(length({X.trim_blank('text')}) AS bigint) AS trimmed_length")
 
 
 @BOOK.query("""
@@ -39,12 +39,12 @@ def criteria_tokens(spark, sf_dir):
     floor = (F.col("p_partkey") % 30).cast("string")
     block = F.concat(F.lit('<div class="c-pa-criterion">\r\n \t<em>'), size, F.lit(" p</em>\r\n<em>"),
                      surface, F.lit(" m²</em>\n<em> "), floor, F.lit(" etg\t</em></div>"))
-    typed = X.typed_criteria(F.col("block"))
-    return spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("block", block).select(
-        "p_partkey", typed["rooms"].cast("bigint").alias("rooms"),
-        typed["surface_m2"].cast("double").alias("surface_m2"),
-        typed["floor"].cast("bigint").alias("floor"),
-        F.size(X.criteria_items(F.col("block"))).cast("bigint").alias("n_items"))
+    typed = X.typed_criteria("block")
+    return spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("block", block).selectExpr(
+        "p_partkey", f"cast({typed['rooms']} AS bigint) AS rooms",
+        f"cast({typed['surface_m2']} AS double) AS surface_m2",
+        f"cast({typed['floor']} AS bigint) AS floor",
+        f"cast(size({X.criteria_items('block')}) AS bigint) AS n_items")
 
 
 @BOOK.query("""
@@ -56,9 +56,9 @@ def price_roundtrip(spark, sf_dir):
     """Prices rendered with no-break spaces and a decimal comma, then read back."""
     exact = F.col("l_extendedprice").cast("decimal(14,2)")
     shown = F.concat(F.translate(F.format_number(exact, 2), ",.", "\u00a0,"), F.lit(" €"))
-    read = X.amount(shown)
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_returnflag",
-                                                                   read.alias("price")) \
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_returnflag", shown.alias("shown")) \
+        .selectExpr("l_returnflag", f"{X.amount('shown')} AS price") \
         .groupBy("l_returnflag").agg(
             F.count("*").alias("n"), F.sum("price").cast("double").alias("total"),
             F.count_if(F.col("price").isNull()).cast("bigint").alias("n_unread"))
@@ -72,8 +72,9 @@ FROM part
 def price_values(spark, sf_dir):
     shown = F.concat(F.translate(F.format_number("p_retailprice", 2), ",.", "\u00a0,"), F.lit(" € FAI*"))
     size = F.when(F.col("p_size") > 25, F.col("p_size").cast("string")).otherwise("")
+    request = F.concat(F.lit("Prix nous consulter "), F.regexp_replace("p_name", "[0-9]", ""))
     return spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        "p_partkey", X.amount(shown).cast("double").alias("price"),
-        X.amount(F.concat(F.lit("Prix nous consulter "), F.regexp_replace("p_name", "[0-9]", "")))
-        .cast("double").alias("on_request"),
-        X.null_if_empty(size).alias("size_or_null"))
+        "p_partkey", shown.alias("shown"), size.alias("size"), request.alias("request")) \
+        .selectExpr("p_partkey", f"cast({X.amount('shown')} AS double) AS price",
+                    f"cast({X.amount('request')} AS double) AS on_request",
+                    f"{X.null_if_empty('size')} AS size_or_null")

@@ -1,4 +1,4 @@
-"""HTML selection with native column expressions.
+"""HTML selection with native expressions.
 
 Only the selector forms that listing pages need exist: an element by tag and attribute tests,
 its attributes, its own text nodes, its visible text, its outer HTML, its direct children.
@@ -12,9 +12,7 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from pageloom.functions.expr import NO_STRINGS, case, each, each_flat, fold, let, quote, struct, those
 from pageloom.functions.text import collapse_blank, decode_entities
 
 # Elements that never have content, so they open no level.
@@ -67,7 +65,7 @@ def element(tag: str, class_is: str | None = None, class_token: str | None = Non
 
 # ---- patterns ----------------------------------------------------------------------------------
 
-def _quote(value: str) -> str:
+def _literal(value: str) -> str:
     return r"\Q" + value + r"\E"
 
 
@@ -78,7 +76,7 @@ def _up_to_attribute(name: str) -> str:
 
 
 def _value(test: Test) -> str:
-    v = _quote(test.value)
+    v = _literal(test.value)
     if test.kind == "is":
         bare = "" if re.search(r"\s", test.value) or not test.value else rf"|{v}(?=[\s>])"
         return rf"""(?:"{v}"|'{v}'{bare})"""
@@ -106,251 +104,249 @@ def _end(tag: str) -> str:
 
 # ---- documents ---------------------------------------------------------------------------------
 
-def readable(html: Column) -> Column:
-    """The document without scripts, styles and comment bodies.
+def readable(html: str) -> str:
+    """The document without scripts, styles and comment bodies; '' for no document.
 
     An empty comment stays behind, because a comment separates two text nodes.
     """
-    return F.regexp_replace(
-        F.coalesce(html, F.lit("")),
-        rf"{_COMMENT}|<(?i:script|style)(?=[\s/>])(?s:.*?)(?:</(?i:script|style)\s*>|\z)",
-        "<!---->")
+    hidden = (rf"{_COMMENT}|<(?i:script|style)(?=[\s/>])(?s:.*?)(?:</(?i:script|style)\s*>|\z)")
+    return f"regexp_replace(coalesce({html}, ''), {quote(hidden)}, '<!---->')"
 
 
 # ---- elements ----------------------------------------------------------------------------------
 
-def opening_tags(html: Column, el: Element) -> Column:
+def _all(html: str, pattern: str, group: int = 0) -> str:
+    return f"regexp_extract_all({html}, {quote(pattern)}, {group})"
+
+
+def opening_tags(html: str, el: Element) -> str:
     """Every matching opening tag, in document order."""
-    return F.regexp_extract_all(html, F.lit(_open(el)), 0)
+    return _all(html, _open(el))
+
+
+def _tag_name(piece: str) -> str:
+    return f"lower(regexp_extract({piece}, {quote(f'^</?({_NAME})')}, 1))"
+
+
+def _without_first_tag(outer: str) -> str:
+    return f"regexp_replace({outer}, {quote(f'^<{_REST_OF_TAG}')}, '')"
+
+
+def first_tag(outer: str) -> str:
+    return f"regexp_extract({outer}, {quote(f'^<{_REST_OF_TAG}')}, 0)"
+
 
+# What a piece of HTML does to the level of nesting.
+_OTHER, _OPENS, _CLOSES, _STARTS = "0", "1", "2", "3"
 
-def _counted_spans(pieces: Column, starts, opens, closes) -> Column:
+
+def _spans(marks: str) -> str:
     """Spans ``[first, last)`` of piece numbers from a starting tag to the tag that closes it.
 
     One pass with a level counter. Only whole spans are appended to the state, so the state stays
-    as small as the result. An element that is never closed ends with the document.
+    as small as the result. An element that is never closed ends with the document. Marks are
+    structs of a kind and a tag name; only tags of the starting tag's name are counted.
     """
-    state = F.struct(
-        F.lit(0).alias("level"), F.lit(0).alias("at"), F.lit(0).alias("first"),
-        F.lit("").alias("tag"),
-        F.array().cast("array<struct<first:int,last:int>>").alias("spans"))
-
-    def step(acc: Column, piece: Column) -> Column:
-        at = acc["at"] + 1
-        inside = acc["first"] > 0
-        begin = ~inside & starts(piece)
-        level = (F.when(begin, F.lit(1))
-                 .when(~inside, F.lit(0))
-                 .when(closes(piece, acc["tag"]), acc["level"] - 1)
-                 .when(opens(piece, acc["tag"]), acc["level"] + 1)
-                 .otherwise(acc["level"]))
-        done = inside & (level == 0)
-        span = F.struct(acc["first"].alias("first"), at.alias("last"))
-        return F.struct(
-            level.alias("level"), at.alias("at"),
-            F.when(begin, at).when(done, 0).otherwise(acc["first"]).alias("first"),
-            F.when(begin, _tag_name(piece)).otherwise(acc["tag"]).alias("tag"),
-            F.when(done, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
-            .alias("spans"))
-
-    def finish(acc: Column) -> Column:
-        open_end = F.struct(acc["first"].alias("first"), (acc["at"] + 1).alias("last"))
-        return F.when(acc["first"] > 0, F.array_append(acc["spans"], open_end)) \
-            .otherwise(acc["spans"])
-
-    return F.aggregate(pieces, state, step, finish)
-
-
-def _tag_name(piece: Column) -> Column:
-    return F.lower(F.regexp_extract(piece, rf"^</?({_NAME})", 1))
-
-
-def _counted(html: Column, el: Element) -> Column:
+    def step(acc: str, mark: str) -> str:
+        outside, same = f"{acc}.level = 0", f"{mark}.tag = {acc}.tag"
+        begins = f"({outside} AND {mark}.kind = {_STARTS})"
+        level = case((begins, "1"), (outside, "0"),
+                     (f"NOT {same} OR {mark}.kind = {_OTHER}", f"{acc}.level"),
+                     (f"{mark}.kind = {_CLOSES}", f"{acc}.level - 1"),
+                     otherwise=f"{acc}.level + 1")
+        done = f"{acc}.level = 1 AND {same} AND {mark}.kind = {_CLOSES}"
+        span = struct(first=f"{acc}.first", last=f"{acc}.at + 1")
+        return struct(
+            level=level, at=f"{acc}.at + 1",
+            first=case((begins, f"{acc}.at + 1"), otherwise=f"{acc}.first"),
+            tag=case((begins, f"{mark}.tag"), otherwise=f"{acc}.tag"),
+            spans=case((done, f"array_append({acc}.spans, {span})"), otherwise=f"{acc}.spans"))
+
+    def finish(acc: str) -> str:
+        to_end = struct(first=f"{acc}.first", last=f"{acc}.at + 1")
+        return case((f"{acc}.level > 0", f"array_append({acc}.spans, {to_end})"),
+                    otherwise=f"{acc}.spans")
+
+    zero = struct(level="0", at="0", first="0", tag="''",
+                  spans="cast(array() AS array<struct<first: int, last: int>>)")
+    return fold(marks, zero, step, finish)
+
+
+def _cut(pieces: str, mark) -> str:
+    """Outer HTML, without the closing tag, of every span that ``mark`` finds in the pieces."""
+    return let(pieces, lambda ps: each(
+        _spans(each(ps, mark)),
+        lambda s: f"array_join(slice({ps}, {s}.first, {s}.last - {s}.first), '')"))
+
+
+def _counted(html: str, el: Element) -> str:
     """Outer HTML, without the closing tag, of every outermost matching element.
 
     Levels are counted on tags of the element's own name only, so unclosed <p>, <b> or <li> inside
     it do no harm.
     """
-    name = r"[a-zA-Z]" if el.tag == "*" else rf"(?i:{el.tag})(?=[\s/>])"
-    pieces = F.split(html, rf"(?=</?{name})")
-    opening = "^" + _open(el)
-
-    if el.tag == "*":
-        def opens(piece, tag):
-            return (_tag_name(piece) == tag) & ~piece.startswith("</")
-
-        def closes(piece, tag):
-            return piece.startswith("</") & (_tag_name(piece) == tag)
-    else:
-        def opens(piece, tag):
-            return piece.startswith("<") & ~piece.startswith("</")
-
-        def closes(piece, tag):
-            return piece.startswith("</")
-
-    spans = _counted_spans(pieces, lambda p: p.rlike(opening), opens, closes)
-    whole = F.transform(spans, lambda s: F.array_join(
-        F.slice(pieces, s["first"], s["last"] - s["first"]), ""))
+    any_tag = el.tag == "*"
+    name = r"[a-zA-Z]" if any_tag else rf"(?i:{el.tag})(?=[\s/>])"
+
+    def mark(p: str) -> str:
+        kind = case((f"startswith({p}, '</')", _CLOSES), (f"NOT startswith({p}, '<')", _OTHER),
+                    (f"{p} RLIKE {quote('^' + _open(el))}", _STARTS), otherwise=_OPENS)
+        return struct(kind=kind, tag=_tag_name(p) if any_tag else "''")
+
     # The counting is only paid for on pages that hold the element at all.
-    return F.when(html.rlike(_open(el)), whole).otherwise(F.array().cast("array<string>"))
+    return let(html, lambda h: case(
+        (f"{h} RLIKE {quote(_open(el))}", _cut(f"split({h}, {quote(f'(?=</?{name})')})", mark)),
+        otherwise=NO_STRINGS))
 
 
-def _is_tag(piece: Column) -> Column:
-    return piece.rlike(r"^</?[a-zA-Z]")
+def _is_tag(piece: str) -> str:
+    return f"{piece} RLIKE '^</?[a-zA-Z]'"
 
 
-def _is_void(piece: Column) -> Column:
-    return piece.rlike(rf"^<(?i:{'|'.join(VOID_TAGS)})(?=[\s/>])") | piece.endswith("/>")
+def _is_void(piece: str) -> str:
+    void = quote(rf"^<(?i:{'|'.join(VOID_TAGS)})(?=[\s/>])")
+    return f"({piece} RLIKE {void} OR endswith({piece}, '/>'))"
 
 
-def _parts(inner: Column) -> Column:
+def _parts(inner: str) -> str:
     """Tags, comments and text runs, in order, nothing lost."""
-    return F.regexp_extract_all(inner, F.lit(f"{_COMMENT}|{_TAG}|{_TEXT}|<"), 0)
-
-
-def children(inner: Column, el: Element) -> Column:
-    """Outer HTML, without the closing tag, of the direct children that match."""
-    wanted = "^" + _open(el)
-    # Tags at level 0 start a span whether they match or not: what is inside them is no child.
-    spans = _counted_spans(
-        _parts(inner),
-        lambda p: _is_tag(p) & ~p.startswith("</") & ~_is_void(p),
-        lambda p, tag: _is_tag(p) & ~p.startswith("</") & ~_is_void(p),
-        lambda p, tag: p.startswith("</"))
-    whole = F.transform(spans, lambda s: F.array_join(
-        F.slice(_parts(inner), s["first"], s["last"] - s["first"]), ""))
-    return F.when(inner.rlike(_open(el)),
-                  F.filter(whole, lambda outer: outer.rlike(wanted))) \
-        .otherwise(F.array().cast("array<string>"))
-
-
-def void_children(inner: Column, el: Element) -> Column:
-    """Tags of the direct children that match and have no content (``img`` and the like)."""
-    wanted = "^" + _open(el)
-    parts = _parts(inner)
-    state = F.struct(F.lit(0).alias("level"), F.array().cast("array<string>").alias("tags"))
-
-    def step(acc: Column, p: Column) -> Column:
-        hit = (acc["level"] == 0) & p.rlike(wanted)
-        level = (F.when(p.startswith("</"), F.greatest(acc["level"] - 1, F.lit(0)))
-                 .when(_is_tag(p) & ~_is_void(p), acc["level"] + 1)
-                 .otherwise(acc["level"]))
-        return F.struct(level.alias("level"),
-                        F.when(hit, F.array_append(acc["tags"], p)).otherwise(acc["tags"])
-                        .alias("tags"))
-
-    return F.when(inner.rlike(_open(el)),
-                  F.aggregate(parts, state, step, lambda acc: acc["tags"])) \
-        .otherwise(F.array().cast("array<string>"))
-
-
-def outer_html(html: Column, el: Element) -> Column:
-    """The element itself, tags included, for every match in document order."""
-    if el.child:
-        found = (void_children if el.tag in VOID_TAGS else children)(html, el)
-    elif el.tag in VOID_TAGS:
-        return opening_tags(html, el)
-    elif el.tag in NESTING_TAGS:
-        found = _counted(html, el)
-    else:
-        return F.regexp_extract_all(html, F.lit(f"{_open(el)}(?s:.*?){_end(el.tag)}"), 0)
-    if el.tag in VOID_TAGS:
-        return found
-    return F.transform(found, lambda outer: F.concat(
-        outer, F.lit("</"), _tag_name(outer), F.lit(">")))
+    return _all(inner, f"{_COMMENT}|{_TAG}|{_TEXT}|<")
 
 
-def inner_html(html: Column, el: Element) -> Column:
-    """What lies between the tags of every match."""
+def _level(acc: str, p: str) -> str:
+    """Nesting after a part."""
+    return case((f"NOT {_is_tag(p)}", f"{acc}.level"),
+                (f"startswith({p}, '</')", f"greatest({acc}.level - 1, 0)"),
+                (_is_void(p), f"{acc}.level"), otherwise=f"{acc}.level + 1")
+
+
+def _at_top(parts: str, test) -> str:
+    """Parts outside any child element that pass the test."""
+    def step(acc: str, p: str) -> str:
+        return struct(level=_level(acc, p), found=case(
+            (f"{acc}.level = 0 AND {test(p)}", f"array_append({acc}.found, {p})"),
+            otherwise=f"{acc}.found"))
+
+    return fold(parts, struct(level="0", found=NO_STRINGS), step, lambda acc: f"{acc}.found")
+
+
+def children(inner: str, el: Element) -> str:
+    """Outer HTML, without the closing tag, of the direct children that match.
+
+    Children without content (``img`` and the like) come as their tag.
+    """
+    wanted = quote("^" + _open(el))
+
+    def mark(p: str) -> str:
+        # Any child starts a span, whether it matches or not: what is inside it is no child.
+        kind = case((f"startswith({p}, '</')", _CLOSES), (f"NOT {_is_tag(p)}", _OTHER),
+                    (_is_void(p), _OTHER), otherwise=_STARTS)
+        return struct(kind=kind, tag="''")
+
+    def found(i: str) -> str:
+        if el.tag in VOID_TAGS:
+            return _at_top(_parts(i), lambda p: f"{p} RLIKE {wanted}")
+        return those(_cut(_parts(i), mark), lambda outer: f"{outer} RLIKE {wanted}")
+
+    return let(inner, lambda i: case((f"{i} RLIKE {quote(_open(el))}", found(i)),
+                                     otherwise=NO_STRINGS))
+
+
+def _flat(el: Element) -> bool:
+    return not el.child and el.tag not in NESTING_TAGS
+
+
+def outer_html(html: str, el: Element) -> str:
+    """The element itself, tags included, for every match in document order."""
     if el.tag in VOID_TAGS:
-        return F.transform(opening_tags(html, el), lambda _: F.lit(""))
-    if not el.child and el.tag not in NESTING_TAGS:
-        return F.regexp_extract_all(html, F.lit(f"{_open(el)}((?s:.*?)){_end(el.tag)}"), 1)
+        return children(html, el) if el.child else opening_tags(html, el)
+    if _flat(el):
+        return _all(html, f"{_open(el)}(?s:.*?){_end(el.tag)}")
     found = children(html, el) if el.child else _counted(html, el)
-    return F.transform(found, lambda outer: F.regexp_replace(outer, f"^<{_REST_OF_TAG}", ""))
+    return each(found, lambda o: f"concat({o}, '</', {_tag_name(o)}, '>')")
 
 
-def first_tag(outer: Column) -> Column:
-    return F.regexp_extract(outer, f"^<{_REST_OF_TAG}", 0)
+def inner_html(html: str, el: Element) -> str:
+    """What lies between the tags of every match."""
+    if el.tag in VOID_TAGS:
+        return each(outer_html(html, el), lambda _: "''")
+    if _flat(el):
+        return _all(html, f"{_open(el)}((?s:.*?)){_end(el.tag)}", 1)
+    return each(children(html, el) if el.child else _counted(html, el), _without_first_tag)
 
 
 # ---- values ------------------------------------------------------------------------------------
 
-def _unquoted(raw: Column) -> Column:
-    return F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
-
-
-def attribute_values(fragment: Column, name: str) -> Column:
+def attribute_values(fragment: str, name: str) -> str:
     """The attribute's value on every tag of the fragment that carries it."""
-    rx = rf"""<{_NAME}{_up_to_attribute(name)}("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    return F.transform(F.regexp_extract_all(fragment, F.lit(rx), 1),
-                       lambda raw: decode_entities(_unquoted(raw)))
+    pattern = rf"""<{_NAME}{_up_to_attribute(name)}("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    quoted = quote(r"""(?s)^(["'])(.*)\1$""")
+    return each(_all(fragment, pattern, 1),
+                lambda raw: decode_entities(f"regexp_replace({raw}, {quoted}, '$2')"))
 
 
-def own_text(inner: Column) -> Column:
-    """The direct text nodes, blank ones included; text inside child elements is not part of it."""
-    parts = _parts(inner)
-    state = F.struct(F.lit(0).alias("level"), F.array().cast("array<string>").alias("texts"))
+def _texts(inner: str, from_parts) -> str:
+    """Text nodes of a stretch of HTML, the simple cases without taking it apart."""
+    return let(inner, lambda i: each(
+        case((f"{i} = ''", NO_STRINGS), (f"NOT contains({i}, '<')", f"array({i})"),
+             otherwise=from_parts(i)), decode_entities))
 
-    def step(acc: Column, p: Column) -> Column:
-        level = (F.when(p.startswith("</"), F.greatest(acc["level"] - 1, F.lit(0)))
-                 .when(_is_tag(p) & ~_is_void(p), acc["level"] + 1)
-                 .otherwise(acc["level"]))
-        text = (acc["level"] == 0) & ~p.startswith("<!--") & ~p.rlike("^</?[a-zA-Z]")
-        return F.struct(level.alias("level"),
-                        F.when(text, F.array_append(acc["texts"], p)).otherwise(acc["texts"])
-                        .alias("texts"))
 
-    texts = (F.when(inner == "", F.array().cast("array<string>"))
-             .when(~inner.contains("<"), F.array(inner))
-             .otherwise(F.aggregate(parts, state, step, lambda acc: acc["texts"])))
-    return F.transform(texts, decode_entities)
+def own_text(inner: str) -> str:
+    """The direct text nodes, blank ones included; text inside child elements is not part of it."""
+    return _texts(inner, lambda i: _at_top(
+        _parts(i), lambda p: f"NOT startswith({p}, '<!--') AND NOT {_is_tag(p)}"))
 
 
-def nested_text(outer: Column, el: Element) -> Column:
+def nested_text(outer: str, el: Element) -> str:
     """Own text nodes of the element and of matching elements inside it, in document order.
 
     The state carries the open tags as one string, '/ul;/li;!', matching ones marked by '!'.
     """
-    wanted = "^" + _open(el)
-    reopening = ("li", "p", "option", "dt", "dd", "tr", "td", "th")
-    state = F.struct(F.lit("").alias("open"), F.array().cast("array<string>").alias("texts"))
-
-    def step(acc: Column, p: Column) -> Column:
-        stack, name = acc["open"], _tag_name(p)
-        entry = F.concat(F.lit("/"), name, F.lit(";"))
-        above = F.call_function("substring_index", stack, entry, F.lit(-1))
-        closed = F.when(above == stack, stack).otherwise(
-            F.left(stack, F.length(stack) - F.length(above) - F.length(entry)))
-        # A new <li> or <p> ends an open one that it directly follows.
-        base = F.when(name.isin(*reopening) & above.isin("", "!"), closed).otherwise(stack)
-        mark = F.when(p.rlike(wanted), F.lit("!")).otherwise("")
-        now = (F.when(~_is_tag(p) | _is_void(p), stack)
-               .when(p.startswith("</"), closed)
-               .otherwise(F.concat(base, entry, mark)))
-        text = stack.endswith("!") & ~p.startswith("<!--") & ~_is_tag(p)
-        return F.struct(now.alias("open"),
-                        F.when(text, F.array_append(acc["texts"], p)).otherwise(acc["texts"])
-                        .alias("texts"))
-
-    inner = F.regexp_replace(outer, f"^<{_REST_OF_TAG}", "")
-    texts = (F.when(inner == "", F.array().cast("array<string>"))
-             .when(~inner.contains("<"), F.array(inner))
-             .otherwise(F.aggregate(_parts(outer), state, step, lambda acc: acc["texts"])))
-    return F.transform(texts, decode_entities)
-
-
-def text_nodes(html: Column, el: Element) -> Column:
+    wanted = quote("^" + _open(el))
+
+    def step(acc: str, p: str) -> str:
+        def opened(name: str) -> str:
+            # A new <li> or <p> ends an open one that it directly follows.
+            entry = f"concat('/', {name}, ';')"
+            base = case(
+                (f"{name} IN ('li', 'p', 'option', 'dt', 'dd', 'tr', 'td', 'th') AND "
+                 f"substring_index({acc}.open, {entry}, -1) IN ('', '!')",
+                 closed(name)), otherwise=f"{acc}.open")
+            return f"concat({base}, {entry}, {case((f'{p} RLIKE {wanted}', quote('!')), otherwise=quote(''))})"
+
+        def closed(name: str) -> str:
+            entry = f"concat('/', {name}, ';')"
+            above = f"substring_index({acc}.open, {entry}, -1)"
+            return case((f"{above} = {acc}.open", f"{acc}.open"),
+                        otherwise=f"left({acc}.open, length({acc}.open) - length({above})"
+                                  f" - length({name}) - 2)")
+
+        now = case((f"NOT {_is_tag(p)}", f"{acc}.open"),
+                   (f"startswith({p}, '</')", let(_tag_name(p), closed)),
+                   (_is_void(p), f"{acc}.open"), otherwise=let(_tag_name(p), opened))
+        text = f"endswith({acc}.open, '!') AND NOT startswith({p}, '<!--') AND NOT {_is_tag(p)}"
+        return struct(open=now, texts=case((text, f"array_append({acc}.texts, {p})"),
+                                           otherwise=f"{acc}.texts"))
+
+    def walk(_: str) -> str:
+        return fold(_parts(outer), struct(open="''", texts=NO_STRINGS), step,
+                    lambda acc: f"{acc}.texts")
+
+    return _texts(_without_first_tag(outer), walk)
+
+
+def text_nodes(html: str, el: Element) -> str:
     """Own text nodes of every match, in document order."""
     if el.tag in NESTING_TAGS and not el.child:
-        return F.flatten(F.transform(_counted(html, el), lambda o: nested_text(o, el)))
-    return F.flatten(F.transform(inner_html(html, el), own_text))
+        return each_flat(_counted(html, el), lambda o: nested_text(o, el))
+    return each_flat(inner_html(html, el), own_text)
 
 
-def visible_text(inner: Column) -> Column:
+def visible_text(inner: str) -> str:
     """All text below the element, markup removed, as a reader sees it."""
-    parted = F.regexp_replace(
-        inner, rf"</?(?i:{'|'.join(PARTS_WORDS)})(?=[\s/>]){_REST_OF_TAG}", " ")
-    bare = F.when(inner.contains("<"), F.regexp_replace(parted, f"{_COMMENT}|{_TAG}", "")) \
-        .otherwise(inner)
-    return collapse_blank(decode_entities(bare))
+    parting = quote(rf"</?(?i:{'|'.join(PARTS_WORDS)})(?=[\s/>]){_REST_OF_TAG}")
+    markup = quote(f"{_COMMENT}|{_TAG}")
+    return let(inner, lambda i: collapse_blank(decode_entities(case(
+        (f"contains({i}, '<')",
+         f"regexp_replace(regexp_replace({i}, {parting}, ' '), {markup}, '')"), otherwise=i))))

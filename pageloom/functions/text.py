@@ -1,11 +1,10 @@
-"""Text columns: blanks, tokens, entities, numbers, JSON."""
+"""Text: blanks, tokens, entities, numbers, JSON."""
 
 from __future__ import annotations
 
 from html.entities import name2codepoint
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pageloom.functions.expr import case, each, let, quote, those
 
 # The blanks that count as white space, Unicode ones (no-break, narrow) included.
 BLANK = r"(?U)[\s\x1c-\x1f]"
@@ -15,125 +14,127 @@ PRICE_TYPE = "decimal(14,2)"
 
 # ---- blanks and tokens -------------------------------------------------------------------------
 
-def trim_blank(s: Column) -> Column:
+def trim_blank(s: str) -> str:
     """Strip leading and trailing white space; ``trim`` alone would leave no-break spaces."""
-    return F.regexp_replace(s, rf"{BLANK}+$|^{BLANK}+", "")
+    return f"regexp_replace({s}, {quote(f'^{BLANK}+|{BLANK}+$')}, '')"
 
 
-def collapse_blank(s: Column) -> Column:
+def collapse_blank(s: str) -> str:
     """One plain space between words, none at the ends: what a reader sees of an element."""
-    return F.trim(F.regexp_replace(s, f"{BLANK}+", " "))
+    return f"trim(regexp_replace({s}, {quote(BLANK + '+')}, ' '))"
 
 
-def tokens(s: Column) -> Column:
+def tokens(s: str) -> str:
     """White-space separated words, without empty ones."""
-    return F.filter(F.split(s, f"{BLANK}+"), lambda word: word != "")
+    return those(f"split({s}, {quote(BLANK + '+')})", lambda word: f"{word} <> ''")
 
 
-def nth_token(s: Column, n: int) -> Column:
+def nth_token(s: str, n: int) -> str:
     """The n-th word (1-based, negative from the end); NULL when there are fewer."""
-    return F.try_element_at(tokens(s), F.lit(n))
+    return f"try_element_at({tokens(s)}, {n})"
 
 
-def token_range(s: Column, first: int, length: int) -> Column:
+def token_range(s: str, first: int, length: int) -> str:
     """Words ``first`` .. ``first+length-1`` joined by a space; NULL when the text is too short."""
-    words = tokens(s)
-    return F.when(F.size(words) >= first + length - 1,
-                  F.array_join(F.slice(words, first, length), " "))
+    return let(tokens(s), lambda words: case(
+        (f"size({words}) >= {first + length - 1}",
+         f"array_join(slice({words}, {first}, {length}), ' ')")))
 
 
-def join_all(values: Column, separator: str = "") -> Column:
+def join_all(values: str, separator: str = "") -> str:
     """All values joined to one string; '' for an empty list."""
-    return F.array_join(values, separator)
+    return f"array_join({values}, {quote(separator)})"
 
 
 # ---- empty values ------------------------------------------------------------------------------
 
-def null_if_empty(s: Column) -> Column:
-    return F.nullif(s, F.lit(""))
+def null_if_empty(s: str) -> str:
+    return f"nullif({s}, '')"
 
 
-def null_if_no_items(values: Column) -> Column:
-    return F.when(F.size(values) > 0, values)
+def null_if_no_items(values: str) -> str:
+    return let(values, lambda v: case((f"size({v}) > 0", v)))
 
 
-def fill_blank_items(values: Column, filler: str = "None") -> Column:
+def fill_blank_items(values: str, filler: str = "None") -> str:
     """Replace empty and missing items, so that lists stay aligned by position."""
-    return F.transform(values, lambda v: F.coalesce(F.nullif(v, F.lit("")), F.lit(filler)))
+    return each(values, lambda v: f"coalesce(nullif({v}, ''), {quote(filler)})")
 
 
-def labelled(label: str, s: Column) -> Column:
+def labelled(label: str, s: str) -> str:
     """``label`` in front of the value; NULL stays NULL."""
-    return F.concat(F.lit(label), s)
+    return f"concat({quote(label)}, {s})"
 
 
 # ---- entities ----------------------------------------------------------------------------------
 
-def _entity_table() -> Column:
-    """Name → character, generated from the standard list, the usual suspects first
-    because a map literal is searched front to back."""
+def _entity_table() -> str:
+    """Name → character, generated from the standard list, the usual suspects first because a map
+    is searched front to back. One text literal, which Spark turns into a map once per plan."""
     usual = ["amp", "nbsp", "quot", "lt", "gt", "eacute", "egrave", "agrave", "euro", "copy",
              "middot", "sup2", "ccedil"]
     names = usual + [n for n in sorted(name2codepoint) if n not in usual]
-    pairs = []
-    for name in names:
-        pairs += [F.lit(name), F.lit(chr(name2codepoint[name]))]
-    pairs += [F.lit("apos"), F.lit("'")]
-    return F.create_map(*pairs)
+    pairs = [f"{name}\x02{chr(name2codepoint[name])}" for name in names] + ["apos\x02'"]
+    return f"str_to_map({quote(chr(1).join(pairs))}, '\\u0001', '\\u0002')"
 
 
-def _character(code: Column) -> Column:
+_ENTITIES = _entity_table()
+
+
+def _character(code: str) -> str:
     """Character of a code point; NULL outside Unicode."""
-    usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    return F.when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    return let(code, lambda c: case(
+        (f"{c} BETWEEN 1 AND 1114111 AND NOT {c} BETWEEN 55296 AND 57343",
+         f"decode(unhex(lpad(hex({c}), 8, '0')), 'UTF-32')")))
 
 
-def decode_entities(s: Column) -> Column:
+def decode_entities(s: str) -> str:
     """Named and numeric character references to characters, each decoded once.
 
     Unknown references stay as written. Text without '&' is returned untouched.
     """
-    table = _entity_table()
-
-    def one(piece: Column) -> Column:
-        decimal = F.regexp_extract(piece, r"^&#([0-9]+);$", 1)
-        hexa = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+);$", 1)
-        named = F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);$", 1)
+    def one(piece: str) -> str:
         # conv() raises on overflow, so longer digit runs (never Unicode) are kept away from it.
-        decoded = (F.when(decimal != "", _character(decimal.try_cast("bigint")))
-                   .when(F.length(hexa).between(1, 8),
-                         _character(F.conv(hexa, 16, 10).try_cast("bigint")))
-                   .when(named != "", F.try_element_at(table, named)))
-        return F.when(piece.startswith("&"), F.coalesce(decoded, piece)).otherwise(piece)
-
-    pieces = F.regexp_extract_all(s, F.lit(r"&#?[0-9A-Za-z]+;|[^&]++|&"), 0)
-    return F.when(s.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(s)
+        decoded = case(
+            (f"{piece} RLIKE '^&#[0-9]+;$'",
+             _character(f"try_cast(regexp_extract({piece}, '[0-9]+', 0) AS bigint)")),
+            (f"{piece} RLIKE '^&#[xX][0-9a-fA-F]{{1,8}};$'",
+             _character(f"cast(conv(substr({piece}, 4, length({piece}) - 4), 16, 10) AS bigint)")),
+            (f"{piece} RLIKE '^&[A-Za-z][A-Za-z0-9]*;$'",
+             f"try_element_at({_ENTITIES}, substr({piece}, 2, length({piece}) - 2))"))
+        return case((f"startswith({piece}, '&')", f"coalesce({decoded}, {piece})"),
+                    otherwise=piece)
+
+    pattern = quote(r"&#?[0-9A-Za-z]+;|[^&]++|&")
+    return let(s, lambda t: case(
+        (f"contains({t}, '&')",
+         f"array_join({each(f'regexp_extract_all({t}, {pattern}, 0)', one)}, '')"), otherwise=t))
 
 
 # ---- numbers -----------------------------------------------------------------------------------
 
-def amount(s: Column) -> Column:
+def amount(s: str) -> str:
     """'750 000 €' or '43,33 m²' → decimal, whatever blanks group the digits; NULL without digits.
 
     Only ASCII digits and the decimal comma survive, so the unit '²' never becomes a digit.
     """
-    digits = F.regexp_replace(s, r"[^0-9,]", "")
-    return F.replace(digits, F.lit(","), F.lit(".")).try_cast(PRICE_TYPE)
+    return f"try_cast(replace(regexp_replace({s}, '[^0-9,]', ''), ',', '.') AS {PRICE_TYPE})"
 
 
-def criteria_items(outer_html: Column) -> Column:
+def criteria_items(outer_html: str) -> str:
     """'<em>1 p</em> <em>43,33 m²</em>' → ['1 p', '43,33 m²']."""
-    return F.transform(F.regexp_extract_all(outer_html, F.lit(r"(?s)<em\b[^>]*>(.*?)</em>"), 1),
-                       lambda x: trim_blank(decode_entities(x)))
+    pattern = quote(r"(?s)<em\b[^>]*>(.*?)</em>")
+    return each(f"regexp_extract_all({outer_html}, {pattern}, 1)",
+                lambda x: trim_blank(decode_entities(x)))
 
 
-def criterion(items: Column, unit: str, kind: str = PRICE_TYPE) -> Column:
+def criterion(items: str, unit: str, kind: str = PRICE_TYPE) -> str:
     """The first item carrying the unit, as a number."""
-    carrying = F.filter(items, lambda x: x.rlike(rf"{BLANK}{unit}$"))
-    return amount(F.try_element_at(carrying, F.lit(1))).try_cast(kind)
+    carrying = those(items, lambda x: f"{x} RLIKE {quote(f'{BLANK}{unit}$')}")
+    return f"try_cast({amount(f'try_element_at({carrying}, 1)')} AS {kind})"
 
 
-def typed_criteria(outer_html: Column) -> dict[str, Column]:
+def typed_criteria(outer_html: str) -> dict[str, str]:
     """Rooms, surface and floor out of a criteria block."""
     items = criteria_items(outer_html)
     return {
@@ -145,6 +146,7 @@ def typed_criteria(outer_html: Column) -> dict[str, Column]:
 
 # ---- JSON --------------------------------------------------------------------------------------
 
-def json_record(*columns: Column | str) -> Column:
+def json_record(**fields: str) -> str:
     """One JSON object with every field present, NULL ones too."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    pairs = ", ".join(f"{quote(k)}, {v}" for k, v in fields.items())
+    return f"to_json(named_struct({pairs}), map('ignoreNullFields', 'false'))"

@@ -1,44 +1,43 @@
-"""URL columns."""
+"""URLs."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pageloom.functions.expr import let, quote
 
 
-def host(url: Column) -> Column:
+def host(url: str) -> str:
     """Lower-case host; NULL for a URL that does not parse."""
-    return F.lower(F.try_parse_url(url, F.lit("HOST")))
+    return f"lower(try_parse_url({url}, 'HOST'))"
 
 
-def query_parameter(url: Column, name: str) -> Column:
-    return F.try_parse_url(url, F.lit("QUERY"), F.lit(name))
+def query_parameter(url: str, name: str) -> str:
+    return f"try_parse_url({url}, 'QUERY', {quote(name)})"
 
 
-def last_segment(url: Column) -> Column:
-    return F.element_at(F.split(url, "/"), -1)
+def last_segment(url: str) -> str:
+    return f"element_at(split({url}, '/'), -1)"
 
 
-def digit_runs(s: Column) -> Column:
-    return F.regexp_extract_all(s, F.lit("[0-9]+"), 0)
+def digit_runs(s: str) -> str:
+    return f"regexp_extract_all({s}, '[0-9]+', 0)"
 
 
-def with_site(path: Column, site: str) -> Column:
+def with_site(path: str, site: str) -> str:
     """A path-only link made absolute, scheme included so that its host can be parsed."""
-    return F.concat(F.lit("https://" + site), path)
+    return f"concat({quote('https://' + site)}, {path})"
 
 
-def on_domain(url: Column, domains: Iterable[str]) -> Column:
+def on_domain(url: str, domains: Iterable[str]) -> str:
     """Is the host one of the domains or below one of them? False when the URL has no host."""
-    name = host(url)
-    hit = F.lit(False)
-    for domain in domains:
-        hit = hit | (name == domain) | name.endswith("." + domain)
-    return F.coalesce(hit, F.lit(False))
+    def test(name: str) -> str:
+        hits = [f"{name} = {quote(d)} OR endswith({name}, {quote('.' + d)})" for d in domains]
+        return f"coalesce({' OR '.join(hits)}, false)"
 
+    return let(host(url), test)
 
-def origin_url(url: Column, redirect_urls: Column) -> Column:
+
+def origin_url(url: str, redirect_urls: str) -> str:
     """The URL first asked for: the first redirect source, else the URL itself."""
-    return F.coalesce(F.try_element_at(redirect_urls, F.lit(1)), url)
+    return f"coalesce(try_element_at({redirect_urls}, 1), {url})"

@@ -2,46 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom import schemas
 from pageloom.functions import html as H
+from pageloom.functions.expr import each, let
 from pageloom.operators.classify import listing_outcome, page_flags
-from pageloom.operators.extract import field_columns, matches
+from pageloom.operators.extract import matches, value
 from pageloom.operators.specs import Listing
 
 
-def zip_lists(lists: dict[str, Column], mode: str = "truncate") -> Column:
+def zip_lists(lists: dict[str, str], mode: str = "truncate") -> str:
     """Combine arrays by position into an array of structs.
 
     ``truncate`` keeps the prefix all arrays can fill. ``strict`` yields NULL for unequal sizes.
     ``arrays_zip`` alone would pad to the longest array.
     """
-    sizes = [F.size(c) for c in lists.values()]
-    ddl = ",".join(f"{name}:string" for name in lists)
-    zipped = F.arrays_zip(*lists.values()).cast(f"array<struct<{ddl}>>")
+    fields = ", ".join(f"{name}: string" for name in lists)
+    zipped = f"cast(arrays_zip({', '.join(lists.values())}) AS array<struct<{fields}>>)"
+    sizes = [f"size({a})" for a in lists.values()]
+    least = f"least({', '.join(sizes)})" if len(sizes) > 1 else sizes[0]
     if mode == "truncate":
-        return F.slice(zipped, F.lit(1), F.least(*sizes) if len(sizes) > 1 else sizes[0])
+        return f"slice({zipped}, 1, {least})"
     if mode == "strict":
-        return F.when(F.least(*sizes) == F.greatest(*sizes), zipped)
+        same = " AND ".join(f"{s} = {sizes[0]}" for s in sizes)
+        return f"CASE WHEN {same} THEN {zipped} END"
     raise ValueError(f"unknown zip mode {mode!r}")
 
 
-def distinct_by(cards: Column, field: str) -> Column:
+def distinct_by(cards: str, field: str) -> str:
     """Cards without repeats of ``field``, each at its first position."""
-    keys = F.transform(cards, lambda c: c[field])
-    return F.filter(cards, lambda c, i: F.coalesce(
-        F.array_position(keys, c[field]) == i + 1, F.lit(True)))
+    return let(cards, lambda cs: let(each(cs, lambda c: f"{c}.{field}"), lambda keys: (
+        f"filter({cs}, (c, i) -> coalesce(array_position({keys}, c.{field}) = i + 1, true))")))
 
 
-def _record(values: dict[str, Column], spec: Listing, time: Column) -> Column:
-    filled = {**values, "Type": F.lit("SmallAds")}
+def _record(values: dict[str, str], spec: Listing) -> str:
+    """A listing record; fields the site does not give are NULL."""
+    filled = {**values, "Type": "'SmallAds'"}
     if spec.timed:
-        filled["Time"] = time
-    return F.struct(*[
-        filled.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schemas.fields(schemas.LISTING_AD)])
+        filled["Time"] = "fetched_at"
+    pairs = [f"'{f.name}', cast({filled.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+             for f in schemas.fields(schemas.LISTING_AD)]
+    return f"named_struct({', '.join(pairs)})"
 
 
 def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card") -> DataFrame:
@@ -51,36 +54,31 @@ def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card") -> Da
     lacks a field shifts the later ones. ``per_card`` extracts inside each card. The body does not
     leave this narrow stage.
     """
-    if alignment == "per_card" and spec.card is None:
-        raise ValueError("this listing names no card element; pass one or use 'positional'")
     flagged = page_flags(pages, rule="listing", domain=spec.domain)
-    # Pages that are not parsed cost no extraction.
-    body = F.when(F.col("parsed"), H.readable(F.col("html"))).otherwise(F.lit(""))
     base = [c for c in flagged.columns if c not in ("html", "rendered_html")]
-    df = flagged.select(*base, body.alias("_body"))
-    time = F.col("fetched_at")
+    # Pages that are not parsed cost no extraction.
+    df = flagged.selectExpr(*base, f"CASE WHEN parsed THEN {H.readable('html')} ELSE '' END AS _body")
 
     if alignment == "positional":
-        df = df.select(*base, *[matches(F.col("_body"), f.path, f.take).alias(f"_{f.name}")
-                                for f in spec.fields])
-        raw = zip_lists({f.name: F.col(f"_{f.name}") for f in spec.fields})
-        df = df.select(*base, F.size(f"_{spec.driver}").alias("n_cards"), raw.alias("_cards"))
-        post = {f.name: f.post or (lambda c: c) for f in spec.fields}
-        records = F.transform("_cards", lambda c: _record(
-            {name: post[name](c[name]) for name in post}, spec, time))
+        df = df.selectExpr(*base, *[f"{matches('_body', f.path, f.take)} AS _{f.name}"
+                                    for f in spec.fields])
+        raw = zip_lists({f.name: f"_{f.name}" for f in spec.fields})
+        df = df.selectExpr(*base, f"size(_{spec.driver}) AS n_cards", f"{raw} AS _cards")
+        records = each("_cards", lambda card: _record(
+            {f.name: f.post(f"{card}.{f.name}") if f.post else f"{card}.{f.name}"
+             for f in spec.fields}, spec))
     elif alignment == "per_card":
-        df = df.select(*base, H.outer_html(F.col("_body"), spec.card).alias("_cards"))
+        if spec.card is None:
+            raise ValueError("this listing names no card element; give one or use 'positional'")
+        df = df.selectExpr(*base, f"{H.outer_html('_body', spec.card)} AS _cards")
         df = df.withColumn("n_cards", F.size("_cards"))
-        names = [f.name for f in spec.fields]
-        records = F.transform("_cards", lambda card: F.struct(*field_columns(card, spec.fields)))
-        df = df.select(*base, "n_cards", records.alias("_cards"))
-        records = F.transform("_cards", lambda c: _record({n: c[n] for n in names}, spec, time))
+        records = each("_cards", lambda card: _record(
+            {f.name: value(f, matches(card, f.path, f.take)) for f in spec.fields}, spec))
     else:
         raise ValueError(f"unknown alignment {alignment!r}")
 
-    df = df.select(*base, "n_cards", records.alias("records"))
-    df = df.withColumn("n_records", F.size("records")) \
-           .withColumn("n_dropped", F.col("n_cards") - F.col("n_records"))
+    df = df.selectExpr(*base, "n_cards", f"{records} AS records")
+    df = df.selectExpr("*", "size(records) AS n_records", "n_cards - size(records) AS n_dropped")
     return listing_outcome(df)
 
 

@@ -23,9 +23,9 @@ def page_flags(pages: DataFrame, rule: str, domain: str = "") -> DataFrame:
     if rule not in ("listing", "detail"):
         raise ValueError(f"unknown rule {rule!r}")
     redirected = F.coalesce(F.size("redirect_urls"), F.lit(0)) > 0
-    origin = U.origin_url(F.col("url"), F.col("redirect_urls"))
+    origin = F.expr(U.origin_url("url", "redirect_urls"))
     first_source = F.try_element_at("redirect_urls", F.lit(1))
-    on_site = U.on_domain(F.coalesce("final_url", "url"), [domain]) if domain else F.lit(True)
+    on_site = F.expr(U.on_domain("coalesce(final_url, url)", [domain]) if domain else "true")
 
     def marked(text: Column, marker: str) -> Column:
         return F.coalesce(text.contains(marker), F.lit(False))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom import schemas
 from pageloom.functions import text as X
+from pageloom.functions.expr import each, struct
 from pageloom.operators import specs as S
 
 
@@ -70,27 +71,26 @@ def wide_detail(ads: DataFrame) -> DataFrame:
 
 def as_json(docs: DataFrame) -> DataFrame:
     """Each document as one JSON object; nested parts stay objects."""
-    return docs.select(X.json_record(*docs.columns).alias("value"))
+    return docs.selectExpr(X.json_record(**{c: c for c in docs.columns}) + " AS value")
 
 
-def labelled_team(cards: Column) -> Column:
-    """Rendered form of the team entries, label and value in one string each."""
-    return F.transform(cards, lambda c: F.struct(
-        X.labelled("Team_Photo :", c["photo"]).alias("photo"),
-        X.labelled("Team_Name :", c["name"]).alias("name"),
-        X.labelled("Team Position :", c["position"]).alias("position")))
+def _labelled(cards: str, labels: dict[str, str]) -> str:
+    """Rendered form of nested entries, label and value in one string each."""
+    return each(cards, lambda c: struct(**{
+        name: X.labelled(label, f"{c}.{name}") for name, label in labels.items()}))
 
 
-def labelled_sales(cards: Column) -> Column:
-    return F.transform(cards, lambda c: F.struct(
-        X.labelled("Ads_Url :", c["url"]).alias("url"),
-        X.labelled("Ads_Description :", c["description"]).alias("description"),
-        X.labelled("Ads_Picture :", c["picture"]).alias("picture")))
+# The labels of the rendered form.
+def labelled_team(cards: str) -> str:
+    return _labelled(cards, {"photo": "Team_Photo :", "name": "Team_Name :",
+                             "position": "Team Position :"})
 
 
-def labelled_sold(cards: Column) -> Column:
-    return F.transform(cards, lambda c: F.struct(
-        X.labelled("Ads_type :", c["type"]).alias("type"),
-        X.labelled("Ads_Description :", c["description"]).alias("description"),
-        X.labelled("Ads_City :", c["city"]).alias("city"),
-        X.labelled("Ads_Details :", c["details"]).alias("details")))
+def labelled_sales(cards: str) -> str:
+    return _labelled(cards, {"url": "Ads_Url :", "description": "Ads_Description :",
+                             "picture": "Ads_Picture :"})
+
+
+def labelled_sold(cards: str) -> str:
+    return _labelled(cards, {"type": "Ads_type :", "description": "Ads_Description :",
+                             "city": "Ads_City :", "details": "Ads_Details :"})

@@ -1,4 +1,4 @@
-"""Field specs and their compilation to columns.
+"""Field specs and their compilation to expressions.
 
 A field says where a value sits (``path``), what to take there and which of the matches to keep.
 Fields that share a path and a take share one array column, so each selector runs once per page.
@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from pageloom.functions import html as H
 from pageloom.functions import text as X
+from pageloom.functions.expr import each_flat, quote
+
+Rule = Callable[[str], str]
 
 
 class Field(NamedTuple):
@@ -22,75 +24,59 @@ class Field(NamedTuple):
     take: ``text`` own text nodes, ``visible`` rendered text, ``outer`` outer HTML,
           ``@name`` attribute of the element itself, ``//@name`` of it and everything below.
     pick: ``first``, ``all``, ``join``, a number (1-based, negative from the end), or a function
-          of the array.
+          of the array expression.
     post: applied to the picked value.  required: NULL after picking fails the page.
     """
     name: str
     path: tuple[H.Element, ...]
     take: str
-    pick: str | int | Callable[[Column], Column] = "first"
-    post: Callable[[Column], Column] | None = None
+    pick: str | int | Rule = "first"
+    post: Rule | None = None
     required: bool = False
     rendered: bool = False
 
 
-def _areas(document: Column, path: Sequence[H.Element]) -> Column | None:
-    """Inner HTML of every element the outer steps of the path lead to; None for no outer step."""
-    area = None
-    for el in path:
-        if area is None:
-            area = H.inner_html(document, el)
-        else:
-            area = F.flatten(F.transform(area, lambda a: H.inner_html(a, el)))
-    return area
-
-
-def _take(fragment: Column, target: H.Element, take: str) -> Column:
+def _take(fragment: str, target: H.Element, take: str) -> str:
     """All values at the target inside one stretch of HTML."""
     if take == "outer":
         return H.outer_html(fragment, target)
     if take == "text":
         return H.text_nodes(fragment, target)
     if take == "visible":
-        return F.transform(H.inner_html(fragment, target), H.visible_text)
+        return f"{H.each(H.inner_html(fragment, target), H.visible_text)}"
     if take.startswith("//@"):
-        return F.flatten(F.transform(H.outer_html(fragment, target),
-                                     lambda o: H.attribute_values(o, take[3:])))
+        return each_flat(H.outer_html(fragment, target),
+                         lambda o: H.attribute_values(o, take[3:]))
     if take.startswith("@"):
-        tags = (F.transform(H.outer_html(fragment, target), H.first_tag) if target.child
-                else H.opening_tags(fragment, target))
-        return F.flatten(F.transform(tags, lambda t: H.attribute_values(t, take[1:])))
+        if target.child:
+            tags = H.each(H.outer_html(fragment, target), H.first_tag)
+        else:
+            tags = H.opening_tags(fragment, target)
+        return each_flat(tags, lambda t: H.attribute_values(t, take[1:]))
     raise ValueError(f"unknown take {take!r}")
 
 
-def matches(document: Column, path: Sequence[H.Element], take: str) -> Column:
-    """All values, in document order."""
-    areas = _areas(document, path[:-1])
-    if areas is None:
-        return _take(document, path[-1], take)
-    return F.flatten(F.transform(areas, lambda a: _take(a, path[-1], take)))
+def matches(document: str, path: Sequence[H.Element], take: str) -> str:
+    """All values, in document order: narrow to each outer step, then take at the last."""
+    if len(path) == 1:
+        return _take(document, path[0], take)
+    return each_flat(H.inner_html(document, path[0]), lambda area: matches(area, path[1:], take))
 
 
-def pick(values: Column, which: str | int | Callable[[Column], Column]) -> Column:
+def pick(values: str, which: str | int | Rule) -> str:
     """First, n-th, joined or all of the matches; NULL where there is no such match."""
     if callable(which):
         return which(values)
     if which == "all":
         return values
-    if which == "first":
-        return F.try_element_at(values, F.lit(1))
     if which == "join":
         return X.join_all(values)
-    return F.try_element_at(values, F.lit(which))
+    return f"try_element_at({values}, {1 if which == 'first' else which})"
 
 
-def field_columns(document: Column, fields: Sequence[Field]) -> list[Column]:
-    """Each field of one document as a column, for use on rows or inside a card."""
-    out = []
-    for f in fields:
-        value = pick(matches(document, f.path, f.take), f.pick)
-        out.append((f.post(value) if f.post else value).alias(f.name))
-    return out
+def value(f: Field, values: str) -> str:
+    picked = pick(values, f.pick)
+    return f.post(picked) if f.post else picked
 
 
 def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
@@ -100,27 +86,23 @@ def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
     The page body is dropped here, before anything could shuffle it.
     """
     keep = list(keep)
-    uses_rendered = any(f.rendered for f in fields)
-    body = [H.readable(F.col(html)).alias("_body")]
-    if uses_rendered:
-        if rendered in df.columns:
-            body.append(H.readable(F.coalesce(F.col(rendered), F.col(html))).alias("_rendered"))
-        else:
-            body.append(H.readable(F.col(html)).alias("_rendered"))
-    step = df.select(*keep, *body)
+    body = [f"{H.readable(html)} AS _body"]
+    if any(f.rendered for f in fields):
+        seen = f"coalesce({rendered}, {html})" if rendered in df.columns else html
+        body.append(f"{H.readable(seen)} AS _rendered")
 
     shared: dict[tuple, str] = {}
     for f in fields:
         shared.setdefault((f.rendered, f.path, f.take), f"_m{len(shared)}")
-    step = step.select(*keep, *[
-        matches(F.col("_rendered" if key[0] else "_body"), key[1], key[2]).alias(name)
-        for key, name in shared.items()])
-
-    def found(f: Field) -> Column:
-        return pick(F.col(shared[(f.rendered, f.path, f.take)]), f.pick)
-
-    values = [(f.post(found(f)) if f.post else found(f)).alias(f.name) for f in fields]
-    checks = [F.when(found(f).isNull(), F.lit(f.name)) for f in fields if f.required]
-    missing = F.array_compact(F.array(*checks)) if checks else F.array()
-    return step.select(*keep, *values,
-                       missing.cast("array<string>").alias("missing_fields"))
+    found = [f"{matches('_rendered' if key[0] else '_body', key[1], key[2])} AS {name}"
+             for key, name in shared.items()]
+
+    def source(f: Field) -> str:
+        return shared[(f.rendered, f.path, f.take)]
+
+    checks = [f"CASE WHEN {pick(source(f), f.pick)} IS NULL THEN {quote(f.name)} END"
+              for f in fields if f.required]
+    missing = f"cast(array_compact(array({', '.join(checks)})) AS array<string>)"
+    return (df.selectExpr(*keep, *body).selectExpr(*keep, *found)
+            .selectExpr(*keep, *[f"{value(f, source(f))} AS {f.name}" for f in fields],
+                        f"{missing} AS missing_fields"))

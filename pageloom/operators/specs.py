@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
+from pageloom.functions.expr import case, each, let
 from pageloom.functions.html import Element, element
 from pageloom.operators.extract import Field
 
@@ -69,17 +67,21 @@ LUXURY_LISTING = Listing(
     driver="AdsWebId", card=None, timed=False, domain=LUXURY_DOMAIN)
 
 
-def _transaction(headings: Column) -> Column:
+def _transaction(headings: str) -> str:
     """First word of each heading, joined; NULL when a heading is blank."""
-    blank = F.exists(headings, lambda h: F.size(X.tokens(h)) == 0)
-    return F.when(~blank, X.join_all(F.transform(headings, lambda h: X.nth_token(h, 1))))
+    return let(each(headings, lambda h: X.nth_token(h, 1)), lambda words: case(
+        (f"exists({words}, w -> w IS NULL)", "NULL"), otherwise=X.join_all(words)))
 
 
-def _title(headings: Column) -> Column:
+def _title(headings: str) -> str:
     """Words 5, 6, 7: all fifth words, then all sixth, then all seventh; NULL when one is short."""
-    long_enough = F.forall(headings, lambda h: F.size(X.tokens(h)) >= 7)
-    words = F.concat(*[F.transform(headings, lambda h: X.nth_token(h, n)) for n in (5, 6, 7)])
-    return F.when(long_enough, F.array_join(words, " "))
+    def words(lists: str) -> str:
+        by_position = ", ".join(each(lists, lambda ws: f"try_element_at({ws}, {n})")
+                                for n in (5, 6, 7))
+        return case((f"forall({lists}, ws -> size(ws) >= 7)",
+                     f"array_join(concat({by_position}), ' ')"))
+
+    return let(each(headings, X.tokens), words)
 
 
 def _input(name: str) -> tuple[Element, ...]:
@@ -152,8 +154,8 @@ _SOLD = element("div", class_is="ag-bien-vendu")
 _SALE_LINK = (element("div", class_is="c-pa-info"), element("a", child=True))
 
 
-def _trim_all(values: Column) -> Column:
-    return F.transform(values, X.trim_blank)
+def _trim_all(values: str) -> str:
+    return each(values, X.trim_blank)
 
 
 AGENCY = (

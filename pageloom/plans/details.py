@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pageloom.functions import html as H
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
+from pageloom.functions.expr import each
 from pageloom.operators import specs as S
 from pageloom.operators.cards import distinct_by, zip_lists
 from pageloom.operators.classify import detail_outcome, page_flags
@@ -42,27 +43,30 @@ def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=()) -> DataF
     """
     df = _extract(pages, S.AGENCY, domain, keep)
     # An image without an address still takes its place in the team.
-    photos = F.transform("team_photo_tags", lambda tag: F.try_element_at(
-        H.attribute_values(tag, "src"), F.lit(1)))
-    team = zip_lists({"photo": X.fill_blank_items(photos), "name": F.col("team_name"),
-                      "position": F.col("team_position")})
-    sales = zip_lists({"url": F.col("sale_url"), "description": F.col("sale_text"),
-                       "picture": F.col("sale_picture")})
-    sold = zip_lists({"type": F.col("sold_type"), "description": F.col("sold_tags"),
-                      "city": F.col("sold_city"), "details": F.col("sold_details")}, "strict")
+    photos = each("team_photo_tags", lambda tag: (
+        f"try_element_at({H.attribute_values(tag, 'src')}, 1)"))
     raw = ("team_photo_tags", "team_name", "team_position", "sale_url", "sale_text",
            "sale_picture", "sold_type", "sold_tags", "sold_city", "sold_details")
-    df = df.select("*", team.alias("_team"), sales.alias("_sales"), sold.alias("_sold"))
-    df = df.withColumns({
-        "Realtor_ID": U.digit_runs(U.last_segment(F.col("url"))),
-        "Realtor_Team_infos": X.null_if_no_items(F.col("_team")),
-        "Realtor_Ads_selling_infos": X.null_if_no_items(distinct_by(F.col("_sales"), "url")),
-        "sale_urls": F.array_distinct("sale_url"),
-        "Realtor_sold_Ads_infos": X.null_if_no_items(F.col("_sold")),
-        "missing_fields": F.when(F.col("_sold").isNull(), F.array_append(
-            "missing_fields", F.lit("sold ads"))).otherwise(F.col("missing_fields")),
-        "Time": F.col("fetched_at")})
-    return detail_outcome(df.drop(*raw, "_team", "_sales", "_sold"))
+    df = df.selectExpr("*", f"{X.fill_blank_items(photos)} AS _photo")
+    team = zip_lists({"photo": "_photo", "name": "team_name", "position": "team_position"})
+    sales = zip_lists({"url": "sale_url", "description": "sale_text", "picture": "sale_picture"})
+    sold = zip_lists({"type": "sold_type", "description": "sold_tags", "city": "sold_city",
+                      "details": "sold_details"}, "strict")
+    df = df.selectExpr("*", f"{team} AS _team", f"{distinct_by(sales, 'url')} AS _sales",
+                       f"{sold} AS _sold")
+    kept = [c for c in df.columns
+            if c not in (*raw, "_photo", "_team", "_sales", "_sold", "missing_fields")]
+    df = df.selectExpr(
+        *kept,
+        f"{U.digit_runs(U.last_segment('url'))} AS Realtor_ID",
+        f"{X.null_if_no_items('_team')} AS Realtor_Team_infos",
+        f"{X.null_if_no_items('_sales')} AS Realtor_Ads_selling_infos",
+        f"{X.null_if_no_items('_sold')} AS Realtor_sold_Ads_infos",
+        "array_distinct(sale_url) AS sale_urls",
+        "CASE WHEN _sold IS NULL THEN array_append(missing_fields, 'sold ads') "
+        "ELSE missing_fields END AS missing_fields",
+        "fetched_at AS Time")
+    return detail_outcome(df)
 
 
 def agency_ad_urls(profiles: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pageloom.functions.text import trim_blank
 
 
 def seed_urls(spark: SparkSession, path: str) -> DataFrame:
-    lines = spark.read.text(path).select(trim_blank(F.col("value")).alias("url"))
+    lines = spark.read.text(path).selectExpr(f"{trim_blank('value')} AS url")
     return lines.filter(F.col("url") != "")
 
 
