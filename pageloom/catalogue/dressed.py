@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pageloom.sources.pages import fetched_pages
+from pageloom.sources.pages import fetched_pages, read_pages
 
 CARD = r'<li><a href="([^"]*)">([^<]*)</a></li>'
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def _fetched(df: DataFrame) -> DataFrame:

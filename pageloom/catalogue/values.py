@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pageloom.catalogue.book import SQL_BLANK, Book, sql_tokens
 from pageloom.functions import text as X
+from pageloom.sources.pages import spread
 
 BOOK = Book()
 
@@ -19,12 +20,15 @@ SELECT doc_id, w[1] AS first, w[3] AS third, w[-2] AS second_last, len(w)::BIGIN
 FROM d
 """)
 def text_tokens(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
-        "doc_id", f"{X.nth_token('text', 1)} AS first", f"{X.nth_token('text', 3)} AS third",
-        f"{X.nth_token('text', -2)} AS second_last",
-        f"cast(size({X.tokens('text')}) AS bigint) AS n",
-        f"{X.token_range('text', 5, 3)} AS middle",
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    words = docs.selectExpr(
+        "doc_id", f"{X.tokens('text')} AS words",
         f"cast(length({X.trim_blank('text')}) AS bigint) AS trimmed_length")
+    return words.selectExpr(
+        "doc_id", "try_element_at(words, 1) AS first", "try_element_at(words, 3) AS third",
+        "try_element_at(words, -2) AS second_last", "cast(size(words) AS bigint) AS n",
+        "CASE WHEN size(words) >= 7 THEN array_join(slice(words, 5, 3), ' ') END AS middle",
+        "trimmed_length")
 
 
 @BOOK.query("""

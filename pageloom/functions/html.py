@@ -30,6 +30,9 @@ PARTS_WORDS = ENDS_PARAGRAPH + ("br", "hr", "dl", "dt", "dd", "tr", "td", "th",
 # Elements that may hold an element of their own kind; their end is found by counting.
 NESTING_TAGS = ("div", "span", "li", "ul", "section", "article", "table", "*")
 
+# How deep an element may hold its own kind before levels are counted one by one.
+NESTED = 6
+
 _NAME = r"[a-zA-Z][^\s>/]*+"
 _REST_OF_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 _TAG = rf"</?{_NAME}{_REST_OF_TAG}"
@@ -119,9 +122,20 @@ def _all(html: str, pattern: str, group: int = 0) -> str:
     return f"regexp_extract_all({html}, {quote(pattern)}, {group})"
 
 
+def _if_present(html: str, el: Element, search) -> str:
+    """Search only documents that hold the tested values at all; a plain substring test is far
+    cheaper than a pattern."""
+    values = [t.value for t in el.tests if t.value]
+    if not values:
+        return search(html)
+    return let(html, lambda h: case(
+        (" AND ".join(f"contains({h}, {quote(v)})" for v in values), search(h)),
+        otherwise=NO_STRINGS))
+
+
 def opening_tags(html: str, el: Element) -> str:
     """Every matching opening tag, in document order."""
-    return _all(html, _open(el))
+    return _if_present(html, el, lambda h: _all(h, _open(el)))
 
 
 def _tag_name(piece: str) -> str:
@@ -179,24 +193,53 @@ def _cut(pieces: str, mark) -> str:
         lambda s: f"array_join(slice({ps}, {s}.first, {s}.last - {s}.first), '')"))
 
 
+def _balanced(el: Element) -> str:
+    """Pattern of an element up to its closing tag, same-named elements inside it up to NESTED
+    levels deep. No match for anything deeper or unclosed."""
+    any_tag = el.tag == "*"
+    name = (r"\1" if any_tag else rf"(?i:{el.tag})") + r"(?=[\s/>])"
+    opening = _open(el).replace(f"<{_NAME}", f"<({_NAME})", 1) if any_tag else _open(el)
+    other = rf"[^<]++|<(?!/?{name})"
+    body = f"(?:{other})*+"
+    for _ in range(NESTED):
+        body = rf"(?:{other}|<{name}{_REST_OF_TAG}{body}</{name}[^>]*+>)*+"
+    return f"{opening}{body}(?=</{name})"
+
+
 def _counted(html: str, el: Element) -> str:
     """Outer HTML, without the closing tag, of every outermost matching element.
 
-    Levels are counted on tags of the element's own name only, so unclosed <p>, <b> or <li> inside
-    it do no harm.
+    One pattern finds them if they nest no deeper than NESTED levels and are closed. That is so
+    when its matches hold every matching opening tag; otherwise levels are counted tag by tag.
+    Either way only tags of the element's own name count, so unclosed <p>, <b> or <li> inside it
+    do no harm.
     """
     any_tag = el.tag == "*"
     name = r"[a-zA-Z]" if any_tag else rf"(?i:{el.tag})(?=[\s/>])"
+    opening = _open(el)
 
     def mark(p: str) -> str:
         kind = case((f"startswith({p}, '</')", _CLOSES), (f"NOT startswith({p}, '<')", _OTHER),
-                    (f"{p} RLIKE {quote('^' + _open(el))}", _STARTS), otherwise=_OPENS)
+                    (f"{p} RLIKE {quote('^' + opening)}", _STARTS), otherwise=_OPENS)
         return struct(kind=kind, tag=_tag_name(p) if any_tag else "''")
 
-    # The counting is only paid for on pages that hold the element at all.
-    return let(html, lambda h: case(
-        (f"{h} RLIKE {quote(_open(el))}", _cut(f"split({h}, {quote(f'(?=</?{name})')})", mark)),
-        otherwise=NO_STRINGS))
+    def search(h: str) -> str:
+        by_count = _cut(f"split({h}, {quote(f'(?=</?{name})')})", mark)
+
+        def checked(f: str) -> str:
+            inside = f"array_join({f}, '')"
+            tags = (f"regexp_count({inside}, {quote(opening)}) = "
+                    f"regexp_count({h}, {quote(opening)})")
+            if el.tests and el.tests[0].value:
+                # Cheaper, and enough: the tested value occurs nowhere else.
+                v = quote(el.tests[0].value)
+                removed = [f"length({x}) - length(replace({x}, {v}, ''))" for x in (inside, h)]
+                tags = f"{removed[0]} = {removed[1]} OR {tags}"
+            return case((tags, f), otherwise=by_count)
+
+        return let(_all(h, _balanced(el)), checked)
+
+    return _if_present(html, el, lambda h: search(h) if el.tests else let(h, search))
 
 
 def _is_tag(piece: str) -> str:
@@ -248,8 +291,8 @@ def children(inner: str, el: Element) -> str:
             return _at_top(_parts(i), lambda p: f"{p} RLIKE {wanted}")
         return those(_cut(_parts(i), mark), lambda outer: f"{outer} RLIKE {wanted}")
 
-    return let(inner, lambda i: case((f"{i} RLIKE {quote(_open(el))}", found(i)),
-                                     otherwise=NO_STRINGS))
+    return _if_present(inner, el, lambda i: let(i, lambda i: case(
+        (f"{i} RLIKE {quote(_open(el))}", found(i)), otherwise=NO_STRINGS)))
 
 
 def _flat(el: Element) -> bool:
@@ -261,7 +304,7 @@ def outer_html(html: str, el: Element) -> str:
     if el.tag in VOID_TAGS:
         return children(html, el) if el.child else opening_tags(html, el)
     if _flat(el):
-        return _all(html, f"{_open(el)}(?s:.*?){_end(el.tag)}")
+        return _if_present(html, el, lambda h: _all(h, f"{_open(el)}(?s:.*?){_end(el.tag)}"))
     found = children(html, el) if el.child else _counted(html, el)
     return each(found, lambda o: f"concat({o}, '</', {_tag_name(o)}, '>')")
 
@@ -271,7 +314,7 @@ def inner_html(html: str, el: Element) -> str:
     if el.tag in VOID_TAGS:
         return each(outer_html(html, el), lambda _: "''")
     if _flat(el):
-        return _all(html, f"{_open(el)}((?s:.*?)){_end(el.tag)}", 1)
+        return _if_present(html, el, lambda h: _all(h, f"{_open(el)}((?s:.*?)){_end(el.tag)}", 1))
     return each(children(html, el) if el.child else _counted(html, el), _without_first_tag)
 
 

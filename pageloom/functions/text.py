@@ -7,7 +7,8 @@ from html.entities import name2codepoint
 from pageloom.functions.expr import case, each, let, quote, those
 
 # The blanks that count as white space, Unicode ones (no-break, narrow) included.
-BLANK = r"(?U)[\s\x1c-\x1f]"
+BLANK = (r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F"
+         r"\u3000]")
 
 PRICE_TYPE = "decimal(14,2)"
 

@@ -9,7 +9,7 @@ from pageloom import schemas
 from pageloom.functions import html as H
 from pageloom.functions.expr import each, let
 from pageloom.operators.classify import listing_outcome, page_flags
-from pageloom.operators.extract import matches, value
+from pageloom.operators.extract import computed_once, matches, value
 from pageloom.operators.specs import Listing
 
 
@@ -63,7 +63,8 @@ def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card") -> Da
         df = df.selectExpr(*base, *[f"{matches('_body', f.path, f.take)} AS _{f.name}"
                                     for f in spec.fields])
         raw = zip_lists({f.name: f"_{f.name}" for f in spec.fields})
-        df = df.selectExpr(*base, f"size(_{spec.driver}) AS n_cards", f"{raw} AS _cards")
+        df = df.selectExpr(*base, f"size(_{spec.driver}) AS n_ids", f"{raw} AS _cards")
+        n_cards = "n_ids"
         records = each("_cards", lambda card: _record(
             {f.name: f.post(f"{card}.{f.name}") if f.post else f"{card}.{f.name}"
              for f in spec.fields}, spec))
@@ -71,25 +72,24 @@ def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card") -> Da
         if spec.card is None:
             raise ValueError("this listing names no card element; give one or use 'positional'")
         df = df.selectExpr(*base, f"{H.outer_html('_body', spec.card)} AS _cards")
-        df = df.withColumn("n_cards", F.size("_cards"))
+        n_cards = "size(_cards)"
         records = each("_cards", lambda card: _record(
             {f.name: value(f, matches(card, f.path, f.take)) for f in spec.fields}, spec))
     else:
         raise ValueError(f"unknown alignment {alignment!r}")
 
-    df = df.selectExpr(*base, "n_cards", f"{records} AS records")
+    df = computed_once(df, base, {"n_cards": n_cards, "records": records})
     df = df.selectExpr("*", "size(records) AS n_records", "n_cards - size(records) AS n_dropped")
     return listing_outcome(df)
 
 
 def listing_ads(discovered: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The records of the pages that went well, one row each."""
-    return discovered.filter(F.col("outcome") == "ok").select(*keep, F.inline("records"))
+    """The records, one row each; a page that went wrong has none."""
+    return discovered.select(*keep, F.inline("records"))
 
 
 def cards_with_position(discovered: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    return (discovered.filter(F.col("outcome") == "ok")
-            .select(*keep, F.posexplode("records").alias("pos", "card"))
+    return (discovered.select(*keep, F.posexplode("records").alias("pos", "card"))
             .select(*keep, (F.col("pos") + 1).alias("pos"), "card.*"))
 
 

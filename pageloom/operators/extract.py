@@ -79,6 +79,17 @@ def value(f: Field, values: str) -> str:
     return f.post(picked) if f.post else picked
 
 
+def computed_once(df: DataFrame, keep: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """``keep`` and the computed columns, each evaluated once per row.
+
+    A filter on a computed column is normally moved below the projection together with a copy of
+    the expression, and an extraction would then run twice. A generator of one row stops that;
+    filters on ``keep`` still reach the scan.
+    """
+    pairs = ", ".join(f"'{name}', {expr}" for name, expr in columns.items())
+    return df.selectExpr(*keep, f"inline(array(named_struct({pairs})))")
+
+
 def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
                    rendered: str = "rendered_html", keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, one column per field, and ``missing_fields``: required fields not found.
@@ -94,8 +105,8 @@ def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
     shared: dict[tuple, str] = {}
     for f in fields:
         shared.setdefault((f.rendered, f.path, f.take), f"_m{len(shared)}")
-    found = [f"{matches('_rendered' if key[0] else '_body', key[1], key[2])} AS {name}"
-             for key, name in shared.items()]
+    found = {name: matches("_rendered" if key[0] else "_body", key[1], key[2])
+             for key, name in shared.items()}
 
     def source(f: Field) -> str:
         return shared[(f.rendered, f.path, f.take)]
@@ -103,6 +114,6 @@ def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
     checks = [f"CASE WHEN {pick(source(f), f.pick)} IS NULL THEN {quote(f.name)} END"
               for f in fields if f.required]
     missing = f"cast(array_compact(array({', '.join(checks)})) AS array<string>)"
-    return (df.selectExpr(*keep, *body).selectExpr(*keep, *found)
+    return (computed_once(df.selectExpr(*keep, *body), keep, found)
             .selectExpr(*keep, *[f"{value(f, source(f))} AS {f.name}" for f in fields],
                         f"{missing} AS missing_fields"))

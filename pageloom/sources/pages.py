@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom import schemas
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the scan has fewer splits than there are cores.
+
+    For work that costs far more than reading. A large table has more splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """A page table from Parquet files."""
+    return spread(spark.read.parquet(path))
+
+
 def fetched_pages(pages: DataFrame) -> DataFrame:
     """A table with at least ``url`` and ``html`` in the full page schema, other columns kept."""
     have = set(pages.columns)
