@@ -33,11 +33,12 @@ NESTING_TAGS = ("div", "span", "li", "ul", "section", "article", "table", "*")
 # How deep an element may hold its own kind before levels are counted one by one.
 NESTED = 6
 
-_NAME = r"[a-zA-Z][^\s>/]*+"
-_REST_OF_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# Outside quotes a tag holds no '<', so that text full of stray '<' is scanned only once.
+_NAME = r"[a-zA-Z][^\s<>/]*+"
+_REST_OF_TAG = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 _TAG = rf"</?{_NAME}{_REST_OF_TAG}"
 _COMMENT = r"<!--(?s:.*?)(?:-->|\z)"
-_TEXT = r"(?:[^<]++|<(?![a-zA-Z/!]))++"
+_TEXT = rf"(?:[^<]++|<(?!{_COMMENT[1:]}|{_TAG[1:]}))++"
 
 
 class Test(NamedTuple):
@@ -75,7 +76,7 @@ def _literal(value: str) -> str:
 def _up_to_attribute(name: str) -> str:
     """Consume a tag from its name up to and including ``name=``."""
     here = rf"{re.escape(name)}\s*="
-    return rf"""(?:[^\s"'>]++|"[^"]*+"|'[^']*+'|\s++(?!(?i:{here})))*+\s++(?i:{here})\s*"""
+    return rf"""(?:[^\s"'<>]++|"[^"]*+"|'[^']*+'|\s++(?!(?i:{here})))*+\s++(?i:{here})\s*"""
 
 
 def _value(test: Test) -> str:
@@ -243,7 +244,8 @@ def _counted(html: str, el: Element) -> str:
 
 
 def _is_tag(piece: str) -> str:
-    return f"{piece} RLIKE '^</?[a-zA-Z]'"
+    """For a part as ``_parts`` cuts them: only tags begin and end like one."""
+    return f"({piece} RLIKE '^</?[a-zA-Z]' AND endswith({piece}, '>'))"
 
 
 def _is_void(piece: str) -> str:
@@ -253,7 +255,7 @@ def _is_void(piece: str) -> str:
 
 def _parts(inner: str) -> str:
     """Tags, comments and text runs, in order, nothing lost."""
-    return _all(inner, f"{_COMMENT}|{_TAG}|{_TEXT}|<")
+    return _all(inner, f"{_COMMENT}|{_TAG}|{_TEXT}")
 
 
 def _level(acc: str, p: str) -> str:
