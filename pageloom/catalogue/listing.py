@@ -113,7 +113,7 @@ SELECT p.url, count(l.page_id)::BIGINT AS n_ads
 FROM pages p LEFT JOIN links l ON p.page_id = l.page_id GROUP BY p.url
 """)
 def ads_by_page(spark, sf_dir):
-    return ads_per_page(discover(D.general_listing(spark, sf_dir), _GENERAL))
+    return ads_per_page(discover(D.general_listing(spark, sf_dir), _GENERAL, with_records=False))
 
 
 _FACTS = """
@@ -142,7 +142,7 @@ def _judged(spark, sf_dir):
     pages = D.general_listing(spark, sf_dir, facts=True)
     pages = pages.withColumn("html", F.when(F.col("page_id") % 5 == 0, F.lit("<html></html>"))
                              .otherwise(F.col("html")))
-    return discover(pages, S.GENERAL_LISTING._replace(domain="example.com"))
+    return discover(pages, S.GENERAL_LISTING._replace(domain="example.com"), with_records=False)
 
 
 @BOOK.query(f"""
@@ -256,7 +256,7 @@ FROM links GROUP BY 1
 """)
 def ads_by_host(spark, sf_dir):
     """The flagship: pages to cards to routed records to counts per host."""
-    found = discover(D.general_listing(spark, sf_dir), _GENERAL)
+    found = discover(D.general_listing(spark, sf_dir), _GENERAL, with_records=False)
     return (found.filter(F.col("outcome") == "ok")
             .groupBy(F.expr(U.host("url")).alias("host"))
             .agg(F.count("*").alias("n_pages"), F.sum("n_records").cast("bigint").alias("n_ads")))

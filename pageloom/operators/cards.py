@@ -47,13 +47,16 @@ def _record(values: dict[str, str], spec: Listing) -> str:
     return f"named_struct({', '.join(pairs)})"
 
 
-def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card") -> DataFrame:
+def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card",
+             with_records: bool = True) -> DataFrame:
     """One row per listing page: its flags, outcome, reason and the array of its records.
 
     ``positional`` extracts each field over the whole page and zips by position, so a card that
-    lacks a field shifts the later ones. ``per_card`` extracts inside each card. The body does not
-    leave this narrow stage.
+    lacks a field shifts the later ones. ``per_card`` extracts inside each card. Without records
+    only the cards are found and counted. The body does not leave this narrow stage.
     """
+    if alignment not in ("positional", "per_card"):
+        raise ValueError(f"unknown alignment {alignment!r}")
     flagged = page_flags(pages, rule="listing", domain=spec.domain)
     base = [c for c in flagged.columns if c not in ("html", "rendered_html")]
     # Pages that are not parsed cost no extraction.
@@ -62,25 +65,24 @@ def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card") -> Da
     if alignment == "positional":
         df = df.selectExpr(*base, *[f"{matches('_body', f.path, f.take)} AS _{f.name}"
                                     for f in spec.fields])
-        raw = zip_lists({f.name: f"_{f.name}" for f in spec.fields})
-        df = df.selectExpr(*base, f"size(_{spec.driver}) AS n_ids", f"{raw} AS _cards")
-        n_cards = "n_ids"
-        records = each("_cards", lambda card: _record(
+        sizes = [f"size(_{f.name})" for f in spec.fields]
+        counts = {"n_cards": f"size(_{spec.driver})",
+                  "n_records": f"least({', '.join(sizes)})" if len(sizes) > 1 else sizes[0]}
+        cards = zip_lists({f.name: f"_{f.name}" for f in spec.fields})
+        records = each(cards, lambda card: _record(
             {f.name: f.post(f"{card}.{f.name}") if f.post else f"{card}.{f.name}"
              for f in spec.fields}, spec))
-    elif alignment == "per_card":
+    else:
         if spec.card is None:
             raise ValueError("this listing names no card element; give one or use 'positional'")
         df = df.selectExpr(*base, f"{H.outer_html('_body', spec.card)} AS _cards")
-        n_cards = "size(_cards)"
+        counts = {"n_cards": "size(_cards)", "n_records": "size(_cards)"}
         records = each("_cards", lambda card: _record(
             {f.name: value(f, matches(card, f.path, f.take)) for f in spec.fields}, spec))
-    else:
-        raise ValueError(f"unknown alignment {alignment!r}")
 
-    df = computed_once(df, base, {"n_cards": n_cards, "records": records})
-    df = df.selectExpr("*", "size(records) AS n_records", "n_cards - size(records) AS n_dropped")
-    return listing_outcome(df)
+    columns = {**counts, "records": records} if with_records else counts
+    df = computed_once(df, base, columns)
+    return listing_outcome(df.selectExpr("*", "n_cards - n_records AS n_dropped"))
 
 
 def listing_ads(discovered: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -11,10 +11,13 @@ from pageloom.operators.joins import HOT_ROWS, skew_left_join
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order``; only one row per key and task is shuffled."""
-    rest = [c for c in df.columns if c != key]
-    best = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(key).agg(best.alias("_row")).select(key, "_row.*").select(*df.columns)
+    """One row per key, the first in ``order``; only one row per key and task is shuffled.
+
+    The generator keeps a later anti-join from being moved below the aggregation, where it would
+    shuffle every row of a hot key.
+    """
+    first = F.min_by(F.struct(*df.columns), F.struct(*order))
+    return df.groupBy(key).agg(first.alias("_row")).selectExpr("inline(array(_row))")
 
 
 def insert_if_absent(new: DataFrame, store: DataFrame, key: str,
