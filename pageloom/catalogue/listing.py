@@ -78,8 +78,9 @@ def cards_per_card(spark, sf_dir):
 
 
 def _cards(found):
-    cards = cards_with_position(found, keep=("page_id",))
-    typed = X.typed_criteria("AdsCriterea")
+    cards = cards_with_position(found, keep=("page_id",)).selectExpr(
+        "*", f"{X.criteria_items('AdsCriterea')} AS items")
+    typed = X.typed_criteria("items")
     return cards.selectExpr(
         "page_id", "cast(pos AS bigint) AS pos", "AdsWebId AS ad_id", "AdsUrl AS ad_url",
         "AdsType AS ad_type", "AdsPrice AS price", f"cast({typed['rooms']} AS bigint) AS rooms",

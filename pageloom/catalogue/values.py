@@ -43,12 +43,14 @@ def criteria_tokens(spark, sf_dir):
     floor = (F.col("p_partkey") % 30).cast("string")
     block = F.concat(F.lit('<div class="c-pa-criterion">\r\n \t<em>'), size, F.lit(" p</em>\r\n<em>"),
                      surface, F.lit(" m²</em>\n<em> "), floor, F.lit(" etg\t</em></div>"))
-    typed = X.typed_criteria("block")
-    return spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("block", block).selectExpr(
+    parts = spread(spark.read.parquet(f"{sf_dir}/part.parquet"))
+    items = parts.withColumn("block", block).selectExpr(
+        "p_partkey", f"{X.criteria_items('block')} AS items")
+    typed = X.typed_criteria("items")
+    return items.selectExpr(
         "p_partkey", f"cast({typed['rooms']} AS bigint) AS rooms",
         f"cast({typed['surface_m2']} AS double) AS surface_m2",
-        f"cast({typed['floor']} AS bigint) AS floor",
-        f"cast(size({X.criteria_items('block')}) AS bigint) AS n_items")
+        f"cast({typed['floor']} AS bigint) AS floor", "cast(size(items) AS bigint) AS n_items")
 
 
 @BOOK.query("""
@@ -60,7 +62,8 @@ def price_roundtrip(spark, sf_dir):
     """Prices rendered with no-break spaces and a decimal comma, then read back."""
     exact = F.col("l_extendedprice").cast("decimal(14,2)")
     shown = F.concat(F.translate(F.format_number(exact, 2), ",.", "\u00a0,"), F.lit(" €"))
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return spread(items.select("l_returnflag", "l_extendedprice")).select(
         "l_returnflag", shown.alias("shown")) \
         .selectExpr("l_returnflag", f"{X.amount('shown')} AS price") \
         .groupBy("l_returnflag").agg(

@@ -135,9 +135,8 @@ def criterion(items: str, unit: str, kind: str = PRICE_TYPE) -> str:
     return f"try_cast({amount(f'try_element_at({carrying}, 1)')} AS {kind})"
 
 
-def typed_criteria(outer_html: str) -> dict[str, str]:
-    """Rooms, surface and floor out of a criteria block."""
-    items = criteria_items(outer_html)
+def typed_criteria(items: str) -> dict[str, str]:
+    """Rooms, surface and floor out of the items of a criteria block."""
     return {
         "rooms": criterion(items, "p", "int"),
         "surface_m2": criterion(items, "m²"),

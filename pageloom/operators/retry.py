@@ -27,6 +27,8 @@ def number_failures(attempts: DataFrame, key: str, order: list[str], failed: Col
     time chunks, numbered inside each chunk, and shifted by the run that earlier chunks leave open;
     only one summary row per chunk of a hot key is windowed by key. ``carried`` (key,
     ``open_run``) continues runs from an earlier batch. ``order[0]`` must be the ``time`` column.
+    One chunk of one key is sorted by one task, so ``chunk_seconds`` should be short where a hot
+    key is dense.
     """
     if order[0] != time:
         raise ValueError("chunks follow time, so the order must start with it")

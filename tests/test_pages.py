@@ -121,6 +121,17 @@ def test_routes_first_rule_wins(spark, evaluate):
     assert [r[0] for r in rows.select(chain).collect()] == ["luxury", "new_build", "general", None]
 
 
+def test_records_are_split_by_kind(spark):
+    ads = listing_ads(discover(table(spark, page(card(1))), S.GENERAL_LISTING))
+    failed = discover(table(spark, page("", status=404, retries=5)), S.GENERAL_LISTING)
+    records = union_sites(ads, discovery.given_up(failed, S.MAX_RETRIES))
+    assert [r.AdsWebId for r in route.of_kind(records, "SmallAds").collect()] == ["annonce-1"]
+    assert [tuple(r) for r in route.deferred(records).collect()] == [
+        ("https://www.seloger.com/p.htm", 404)]
+    assert [tuple(r) for r in route.route_ads(records, cp="75").collect()] == [
+        ("/1", "general", "75")]
+
+
 def test_sites_unite_in_one_schema(spark):
     general = listing_ads(discover(table(spark, page(card(1))), S.GENERAL_LISTING))
     luxury = listing_ads(discover(table(

@@ -44,7 +44,7 @@ def test_criteria_of_the_sample_record(evaluate):
     block = ('<div class="c-pa-criterion">\r\n            \r\n\r\n\r\n\t<em>1 p</em>\r\n\r\n\r\n\t'
              '<em>43,33 m²</em>\r\n\r\n\r\n\t<em>3 etg</em>\r\n\r\n        </div>')
     assert evaluate(X.criteria_items("s"), [block]) == [["1 p", "43,33 m²", "3 etg"]]
-    typed = X.typed_criteria("s")
+    typed = X.typed_criteria(X.criteria_items("s"))
     assert evaluate(typed["rooms"], [block, "<em>x</em>"]) == [1, None]
     assert evaluate(typed["surface_m2"], [block]) == [Decimal("43.33")]
     assert evaluate(typed["floor"], [block]) == [3]
