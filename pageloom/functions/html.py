@@ -12,7 +12,8 @@ from __future__ import annotations
 import re
 from typing import NamedTuple
 
-from pageloom.functions.expr import NO_STRINGS, case, each, each_flat, fold, let, quote, struct, those
+from pageloom.functions.expr import (NO_STRINGS, case, each, each_flat, fold, let, quote, struct,
+                                     those)
 from pageloom.functions.text import collapse_blank, decode_entities
 
 # Elements that never have content, so they open no level.
@@ -360,7 +361,8 @@ def nested_text(outer: str, el: Element) -> str:
                 (f"{name} IN ('li', 'p', 'option', 'dt', 'dd', 'tr', 'td', 'th') AND "
                  f"substring_index({acc}.open, {entry}, -1) IN ('', '!')",
                  closed(name)), otherwise=f"{acc}.open")
-            return f"concat({base}, {entry}, {case((f'{p} RLIKE {wanted}', quote('!')), otherwise=quote(''))})"
+            mark = case((f"{p} RLIKE {wanted}", "'!'"), otherwise="''")
+            return f"concat({base}, {entry}, {mark})"
 
         def closed(name: str) -> str:
             entry = f"concat('/', {name}, ';')"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from pageloom.functions import html as H
 from pageloom.functions import text as X
-from pageloom.functions.expr import each_flat, quote
+from pageloom.functions.expr import each, each_flat, quote
 
 Rule = Callable[[str], str]
 
@@ -43,13 +43,13 @@ def _take(fragment: str, target: H.Element, take: str) -> str:
     if take == "text":
         return H.text_nodes(fragment, target)
     if take == "visible":
-        return f"{H.each(H.inner_html(fragment, target), H.visible_text)}"
+        return each(H.inner_html(fragment, target), H.visible_text)
     if take.startswith("//@"):
         return each_flat(H.outer_html(fragment, target),
                          lambda o: H.attribute_values(o, take[3:]))
     if take.startswith("@"):
         if target.child:
-            tags = H.each(H.outer_html(fragment, target), H.first_tag)
+            tags = each(H.outer_html(fragment, target), H.first_tag)
         else:
             tags = H.opening_tags(fragment, target)
         return each_flat(tags, lambda t: H.attribute_values(t, take[1:]))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from pageloom import schemas
 from pageloom.operators import retry, settle, store
-from pageloom.operators import specs as S
 from pageloom.operators.joins import hot_keys, skew_left_join
 from pageloom.sources import frontier, json_docs, queues, seeds
 from pageloom.streaming.consume import consume, insert_once, publish
