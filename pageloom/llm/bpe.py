@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from pageloom.llm.common import whole_text
 
-KNOWN_WORDS, PIECE = 400_000, 1 << 20
+KNOWN_WORDS, PIECE, ROWS = 200_000, 1 << 20, 256
 NEVER = 1 << 40
 #: The pattern of words and the printable stand-ins for bytes of this file format.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,23 +45,29 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in PRINTABLE} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def loaded(path: str) -> tuple[dict, dict[str, int], list[bytes]]:
+    """The file, its special strings, and the bytes of each id."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    of, special = byte_of_char(), {t["content"]: t["id"] for t in file["added_tokens"]}
+    named = file["model"]["vocab"]
+    bytes_of = [b""] * (max([*named.values(), *special.values()]) + 1)
+    for t, i in named.items():
+        if t not in special:
+            bytes_of[i] = bytes(map(of.__getitem__, t))
+    for t, i in special.items():
+        bytes_of[i] = t.encode()
+    return file, special, bytes_of
+
+
 class Vocabulary:
     """Tokens, merges and special strings of a file, and arrays for checking pairs."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
-        of = byte_of_char()
-        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        named = file["model"]["vocab"]
-        own = {t: i for t, i in named.items() if t not in self.special}
-        self.id_of = {bytes(map(of.__getitem__, t)): i for t, i in own.items()}
-        size = max([*named.values(), *self.special.values()]) + 1
-        self.bytes_of = [b""] * size
-        for b, i in self.id_of.items():
-            self.bytes_of[i] = b
-        for t, i in self.special.items():
-            self.bytes_of[i] = t.encode()
+        file, self.special, self.bytes_of = loaded(path)
+        named, special_ids = file["model"]["vocab"], set(self.special.values())
+        self.id_of = {b: i for i, b in enumerate(self.bytes_of) if b and i not in special_ids}
+        size = len(self.bytes_of)
         self.longest: dict[bytes, int] = {}  # by the first two bytes
         for b in self.id_of:
             self.longest[b[:2]] = max(self.longest.get(b[:2], 1), len(b))
@@ -245,8 +251,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                b = batch.slice(k, 512)
+            for k in range(0, batch.num_rows, ROWS):
+                b = batch.slice(k, ROWS)
                 ids = encoder.encode(b.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
@@ -260,13 +266,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, ids) with the text that the ids stand for, special strings
     included. Bytes that aren't UTF-8 turn into U+FFFD, and an id beyond the vocabulary into nothing."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.array([*Vocabulary(path).bytes_of, b""], object)
-        for b in batches:
-            texts = [b"".join(table[np.minimum(np.frombuffer(x, "<u4"), len(table) - 1)].tolist())
-                     .decode("utf-8", "replace") for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("doc_id", "n_tokens", "ids")), pa.array(texts, pa.string())],
-                ["doc_id", "n_tokens", "ids", "decoded"])
+        table = np.array([*loaded(path)[2], b""], object)
+        for batch in batches:
+            for k in range(0, batch.num_rows, ROWS):
+                b = batch.slice(k, ROWS)
+                texts = [b"".join(table[np.minimum(np.frombuffer(x, "<u4"), len(table) - 1)].tolist())
+                         .decode("utf-8", "replace") for x in b.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(b.column(c) for c in ("doc_id", "n_tokens", "ids")), pa.array(texts, pa.string())],
+                    ["doc_id", "n_tokens", "ids", "decoded"])
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
         run, "doc_id long, n_tokens long, ids binary, decoded string")
