@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 _ODD = 0x9E3779B97F4A7C15
-PIECE = 1 << 21  # bytes of text handled at once
+PIECE = 1 << 20  # bytes of text handled at once
 
 _table = np.arange(256, dtype=np.uint8)
 _table[65:91] += 32

@@ -1,7 +1,7 @@
 """Exact top-k search by BM25 over an inverted index in shards, with block-max pruning.
 
-Each task writes the index of the documents it has read, ``SHARD_DOCS`` at most per shard: postings by
-term hash (64 bits stand for a term), lengths and ids. Document frequencies, the number of documents and
+Each task writes the index of the documents it has read: postings by term hash (64 bits stand for a
+term), lengths and ids. A shard ends at ``SHARD_DOCS`` documents or ``SHARD_POSTINGS`` postings. Document frequencies, the number of documents and
 the mean length are those of all shards together, so scores don't depend on how documents are dealt.
 
 A query's different terms each count once: idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean)),
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, BLOCK, BLOCK_QUERIES, STEP = 1.2, 0.75, 10, 16_384, 64, 4_096, 16
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, STEP = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 32
 HEADER = "<IIII"
 
 
@@ -43,16 +43,17 @@ def counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         cut = np.searchsorted(doc, np.arange(len(part) + 1))
         for a, b in zip(cut, cut[1:], strict=False):
             term, n = np.unique(h[a:b], return_counts=True)
-            yield term, n, int(b - a)
+            yield term, n.astype(np.uint32), int(b - a)
 
 
 def packed(ids: list[int | None], found: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[bytes, np.ndarray, np.ndarray]:
     """The index of some documents, and its terms with their document frequencies."""
-    n = np.array([len(t) for t, _, _ in found])
+    doc = np.repeat(np.arange(len(found), dtype=np.uint16), [len(t) for t, _, _ in found])
     term, tf = np.concatenate([t for t, _, _ in found]), np.concatenate([c for _, c, _ in found])
-    doc = np.repeat(np.arange(len(found)), n)
     order = np.argsort(term, kind="stable")
-    terms, df = np.unique(term, return_counts=True)
+    term = term[order]
+    first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]])[:len(term)])
+    terms, df = term[first], np.diff(np.append(first, len(term)))
     known = np.array([i is not None for i in ids], np.uint8)
     data = (pack(HEADER, len(ids), len(terms), len(term), 0) + np.array([i or 0 for i in ids], "<i8").tobytes()
             + known.tobytes() + np.array([m for _, _, m in found], "<u4").tobytes() + terms.astype("<u8").tobytes()
@@ -74,12 +75,12 @@ class Shard:
         self.ids, self.known, length = take("<i8", self.docs), take("u1", self.docs), take("<u4", self.docs)
         self.terms, df, self.doc, tf = take("<u8", n), take("<u4", n), take("<u2", postings), take("<u4", postings)
         self.start = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
-        tf = tf.astype(np.float64)
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / mean))
-        self.key = (np.repeat(np.arange(n, dtype=np.int64), df) << 16) | self.doc
-        block = self.key // BLOCK
-        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if postings else np.zeros(0, np.int64)
-        self.block = (block[first] & ((1 << 16) // BLOCK - 1)).astype(np.int64)
+        self.impact = tf / (tf + (K1 * (1 - B + B * length / mean))[self.doc]) * (K1 + 1)
+        block = self.doc // BLOCK
+        turn = np.concatenate([[True], block[1:] != block[:-1]])[:postings]
+        turn[self.start[:-1]] = True
+        first = np.flatnonzero(turn)
+        self.block = block[first].astype(np.int64)
         self.block_max = np.maximum.reduceat(self.impact, first) if postings else np.zeros(0)
         self.block_start = np.searchsorted(first, self.start)
         self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if n else np.zeros(0)
@@ -101,18 +102,19 @@ class Shard:
             place, which = self._of(self.start, t[i:i + STEP])
             score += np.bincount(self.doc[place], self.impact[place] * w[i:i + STEP][which], self.docs)
             i += STEP
-            if self.docs > k:
-                kth = max(0.0, np.partition(score, self.docs - k)[self.docs - k] - 1e-5)
+            if 2 * bound[min(i, len(t))] <= bound[0]:  # before, no score can be above the rest's bound
+                top = score[score >= kth]
+                kth = max(kth, np.partition(top, len(top) - k)[len(top) - k] - 1e-5 if len(top) > k else 0.0)
         alive = np.flatnonzero((score > 0) & (score + (bound[min(i, len(t))]) >= kth))
         while i < len(t) and len(alive):
             place, which = self._of(self.block_start, t[i:])
             rest = np.bincount(self.block[place], self.block_max[place] * w[i:][which], self.docs // BLOCK + 1)
             alive = alive[score[alive] + rest[alive // BLOCK] >= kth]
-            part = t[i:i + STEP]
-            key = (part[:, None] << 16) | alive[None, :]
-            at = np.minimum(np.searchsorted(self.key, key.ravel()), len(self.key) - 1)
-            hit = (self.key[at] == key.ravel()).reshape(key.shape)
-            score[alive] += (self.impact[at].reshape(key.shape) * w[i:i + STEP, None] * hit).sum(0)
+            for term, by in zip(t[i:i + STEP].tolist(), w[i:i + STEP].tolist(), strict=True):
+                a, b = self.start[term], self.start[term + 1]
+                at = np.minimum(np.searchsorted(self.doc[a:b], alive), b - a - 1) + a
+                hit = self.doc[at] == alive
+                score[alive[hit]] += by * self.impact[at[hit]]
             i += STEP
             if len(alive) > k:
                 kth = max(kth, np.partition(score[alive], len(alive) - k)[len(alive) - k] - 1e-5)
@@ -127,7 +129,7 @@ def index(docs: DataFrame) -> DataFrame:
     schema = "docs long, words long, terms array<long>, df array<long>, data binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, found = [], []
+        ids, found, postings = [], [], 0
 
         def made():
             data, terms, df = packed(ids, found)
@@ -139,9 +141,10 @@ def index(docs: DataFrame) -> DataFrame:
             for i, x in zip(b.column("doc_id").to_pylist(), counted(b.column("text").to_pylist()), strict=True):
                 ids.append(i)
                 found.append(x)
-                if len(ids) == SHARD_DOCS:
+                postings += len(x[0])
+                if len(ids) == SHARD_DOCS or postings >= SHARD_POSTINGS:
                     yield made()
-                    ids, found = [], []
+                    ids, found, postings = [], [], 0
         if ids:
             yield made()
 
