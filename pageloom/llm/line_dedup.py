@@ -94,9 +94,10 @@ def repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WO
 
 
 def without_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document: doc_id, n_lines, removed (line numbers), text (what is left)."""
+    """One row per document: doc_id, n_lines, removed (line numbers), text (what is left). The join is
+    a merge at any size: what it adds grows with the corpus, so it must not depend on fitting a broadcast."""
     gone = saved(repeats(docs, min_lines, min_words), "repeats").select(
-        F.col("doc_id").alias("_of"), F.col("text_key").alias("_key"), "lines")
+        F.col("doc_id").alias("_of"), F.col("text_key").alias("_key"), "lines").hint("merge")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64(whole_text()).alias("text_key"), whole_text().alias("text"))
     all_lines = F.split("text", "\n")
