@@ -19,6 +19,8 @@ repeat are written as often as they occur. No rows give no segments and no rows.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from struct import calcsize, pack, unpack_from
@@ -28,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pageloom.llm.bpe import L1, N1, S1
 from pageloom.llm.common import running_totals, saved, whole_text
 
 MAGIC, HEADER, SEQUENCE = b"PLTK", "<4sHHII", "<QIBxxxI"
-END_ID, SEGMENT_IDS, SAMPLE, ROWS_PER_RANGE, RANGES, KNOWN_PIECES = 1, 1 << 20, 64, 4_000, 4_096, 300_000
+END_ID, SEGMENT_IDS, SAMPLE, ROWS_PER_RANGE, RANGES, KNOWN_WORDS = 1, 1 << 20, 64, 4_000, 4_096, 400_000
 
 
 class EliasFano:
@@ -126,38 +129,82 @@ class Segment:
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """(doc_id, ids) by the tokenizers library, ``end_id`` at the end.
 
-    No token, and nothing its normaliser or pattern looks at, reaches over a blank or a line feed; so
-    texts are encoded by their pieces between these, and a piece that recurs within a task only once.
+    Words of texts that stay within the first 256 characters are encoded once in a while only, see
+    ``Words``; any other text goes to the library whole.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        known: dict[str, bytes] = {}
+        words = Words(path)
         end = end_id.to_bytes(4, "little")
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 b = batch.slice(k, 64)
-                split = [t.replace("\n", " ").split(" ") for t in b.column("text").to_pylist()]
-                wanted = set().union(*split)
-                new = list(wanted - known.keys())
-                if len(known) + len(new) > KNOWN_PIECES:
-                    known, new = {}, list(wanted)
-                for at in range(0, len(new), 20_000):
-                    part = new[at:at + 20_000]
-                    for piece, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                        known[piece] = pack(f"<{len(e.ids)}I", *e.ids)
-                ids = [b"".join(map(known.__getitem__, s)) + end for s in split]
+                ids = [i + end for i in words.encode(b.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids binary")
 
 
+class Words:
+    """Ids by the tokenizers library, which gets each different word of a task once.
+
+    The file's pattern cuts a lower-cased text into words that are encoded apart. Over the first 256
+    characters its classes can be listed and lower-casing and composing change nothing else, so texts
+    are cut here, and the library is given the words not met before: those of letters some at a time
+    with blanks between (the token that ends a word tells where the next one begins), others one by
+    one. A text with other characters, or with what may be a special string, it is given as it is.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
+        self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{L1}]+|[{N1}]|[^{S1}{L1}{N1}]+").findall
+        self.known: dict[str, bytes] = {}
+
+    def one_by_one(self, words: list[str]) -> None:
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+            self.known[w] = pack(f"<{len(e.ids)}I", *e.ids)
+
+    def together(self, words: list[str]) -> None:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(ends) != len(words):
+            self.one_by_one(words)
+            return
+        data = ids.tobytes()
+        self.known.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+
+    def learn(self, words: set[str]) -> None:
+        new = list(words - self.known.keys())
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known, new = {}, list(words)
+        letters = [w for w in new if w.isalpha()]
+        for k in range(0, len(letters), 100):
+            self.together(letters[k:k + 100])
+        others = [w for w in new if not w.isalpha()]
+        for k in range(0, len(others), 10_000):
+            self.one_by_one(others[k:k + 10_000])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        words: list[list[str] | None] = []
+        for t in texts:
+            try:
+                t.encode("latin-1")
+                words.append(None if "<|" in t else self.cut(t.lower()))
+            except UnicodeEncodeError:
+                words.append(None)
+        self.learn(set().union(*(w for w in words if w)))
+        get = self.known.__getitem__
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+                if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
+
+
 def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """The written table (bucket, part, n_ids, first_id, data) of all documents in order; ``first_id``
     is the number of ids in all segments before.
