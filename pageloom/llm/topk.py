@@ -12,7 +12,8 @@ the rest's block maxima (over ``BLOCK`` documents) reach the k-th best, and the
 up for these alone, the bounds being checked again as it shrinks. Nothing is pruned that could be among
 the k best, so the merge of the shards' best is exact.
 
-Queries are taken in blocks of ``BLOCK_QUERIES``; a block is what is sent to all tasks at once. Scores
+A task searches some shards one after another and carries each query's k-th best along, so all but its
+first shard start with a bound. Queries are taken in blocks of ``BLOCK_QUERIES``; a block is what is sent to all tasks at once. Scores
 are rounded to 6 places; ties go by doc_id, null last. A document has score 0 if it shares no term, and
 such ones aren't returned; so an empty query or text gives no rows. Null is the empty text; rows that
 repeat are found as often as they occur.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, STEP = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 32
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, STEP, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 32, 8
 HEADER = "<IIII"
 
 
@@ -91,20 +92,21 @@ class Shard:
         which = np.repeat(np.arange(len(t)), n)
         return np.arange(int(n.sum())) + (start[t] - np.concatenate([[0], np.cumsum(n)[:-1]]))[which], which
 
-    def best(self, terms: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (their places) and scores of the k best; terms in falling order of weight."""
+    def best(self, terms: np.ndarray, weight: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Documents (their places) and scores of the k best that reach ``floor``; terms in falling
+        order of weight."""
         t = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
         here = self.terms[t] == terms if len(self.terms) else np.zeros(len(terms), bool)
         t, w = t[here], weight[here]
         bound = np.concatenate([np.cumsum((w * self.most[t])[::-1])[::-1], [0.0]])
-        score, kth, i = np.zeros(self.docs), 0.0, 0
+        score, kth, i = np.zeros(self.docs), floor, 0
         while i < len(t) and bound[i] >= kth:
             place, which = self._of(self.start, t[i:i + STEP])
             score += np.bincount(self.doc[place], self.impact[place] * w[i:i + STEP][which], self.docs)
             i += STEP
             if 2 * bound[min(i, len(t))] <= bound[0]:  # before, no score can be above the rest's bound
                 top = score[score >= kth]
-                kth = max(kth, np.partition(top, len(top) - k)[len(top) - k] - 1e-5 if len(top) > k else 0.0)
+                kth = max(kth, np.partition(top, len(top) - k)[len(top) - k] - 1e-5 if len(top) > k else floor)
         alive = np.flatnonzero((score > 0) & (score + (bound[min(i, len(t))]) >= kth))
         while i < len(t) and len(alive):
             place, which = self._of(self.block_start, t[i:])
@@ -169,7 +171,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, place, doc_id, score) for ``queries(query_id, text)`` against all ``docs``."""
     spark = docs.sparkSession
     table = index(docs)
-    n, words = table.agg(F.sum("docs"), F.sum("words")).first()
+    shards, n, words = table.agg(F.count("*"), F.sum("docs"), F.sum("words")).first()
     n, mean = n or 0, max(1.0, (words or 0) / (n or 1))
     df = (table.select(F.explode(F.arrays_zip("terms", "df")).alias("x"))
           .groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.df").alias("df")))
@@ -187,16 +189,27 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             zip(rows.column("query_id"), rows.column("term"), rows.column("idf"), strict=True)])
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            best: list[tuple | None] = [None] * len(sent.value)  # (score, id is null, id), in order
             for b in batches:
                 for data in b.column("data"):
                     shard = Shard(data.as_py(), mean)
-                    for query, terms, weight in sent.value:
-                        at, score = shard.best(terms, weight, k)
-                        ids = pa.array(shard.ids[at], pa.int64(), mask=shard.known[at] == 0)
-                        yield pa.RecordBatch.from_arrays([pa.array([query] * len(at), pa.int64()), ids, pa.array(score)],
-                                                         ["query_id", "doc_id", "score"])
-
-        found.append(table.select("data").mapInArrow(run, "query_id long, doc_id long, score double"))
+                    for i, (_, terms, weight) in enumerate(sent.value):
+                        old = best[i]
+                        floor = old[0][-1] - 1e-5 if old and len(old[0]) == k else 0.0
+                        at, score = shard.best(terms, weight, k, floor)
+                        if len(at):
+                            new = score, 1 - shard.known[at], shard.ids[at]
+                            new = new if old is None else tuple(map(np.concatenate, zip(old, new, strict=True)))
+                            order = np.lexsort((new[2], new[1], -new[0]))[:k]
+                            best[i] = tuple(x[order] for x in new)
+            for (query, _, _), x in zip(sent.value, best, strict=True):
+                if x is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([query] * len(x[0]), pa.int64()),
+                                                      pa.array(x[2], pa.int64(), mask=x[1] == 1), pa.array(x[0])],
+                                                     ["query_id", "doc_id", "score"])
+
+        found.append(table.select("data").coalesce(-(-shards // SHARDS_PER_TASK))
+                     .mapInArrow(run, "query_id long, doc_id long, score double"))
     if not found:
         return spark.createDataFrame([], "query_id long, place int, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
