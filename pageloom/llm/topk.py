@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, STEP, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 32, 8
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, STEP, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 32, 3
 HEADER = "<IIII"
 
 
