@@ -120,8 +120,10 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     meets = [(number[s], number[t]) for s in tiles for q in range(s[0], s[0] + radius + 1) if q in per
              for t in ((q, k) for k in range(per[q])) if number[t] >= number[s]]
     roles = [(t, pair, side) for pair, st in enumerate(meets) for side, t in enumerate(st) if side == 0 or st[0] != st[1]]
-    part = F.create_map(*[F.lit(x) for p, n in per.items() for x in (p, n)]) if per else F.lit(1)
-    base = F.create_map(*[F.lit(x) for p in per for x in (p, number[p, 0])]) if per else F.lit(1)
+    if not per:
+        return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+    part = F.create_map(*[F.lit(x) for p, n in per.items() for x in (p, n)])
+    base = F.create_map(*[F.lit(x) for p in per for x in (p, number[p, 0])])
     tiled = bits.select("fp", (base[F.col("bits")] + F.pmod(F.xxhash64("fp"), part[F.col("bits")])).cast("int").alias("tile"))
     table = spark.createDataFrame(roles, "tile int, pair int, side int")
 
