@@ -115,11 +115,16 @@ def decode_entities(s: str) -> str:
 # ---- numbers -----------------------------------------------------------------------------------
 
 def amount(s: str) -> str:
-    """'750 000 €' or '43,33 m²' → decimal, whatever blanks group the digits; NULL without digits.
+    """'750 000 €' or '43,33 m²' → the first number as a decimal, NULL without one.
 
-    Only ASCII digits and the decimal comma survive, so the unit '²' never becomes a digit.
+    A number is a sign, digits in groups of three with one blank of any kind between, and a decimal
+    comma with digits; anything else ends it, so units, ranges and charges add no digits. A list such
+    as '1,2,3' is none.
     """
-    return f"try_cast(replace(regexp_replace({s}, '[^0-9,]', ''), ',', '.') AS {PRICE_TYPE})"
+    blank = r"[\s\u00a0\u202f\u2009]"
+    number = quote(rf"(?<![0-9,])-?[0-9]++(?:(?<![0-9]{{4}}){blank}[0-9]{{3}}(?![0-9]))*+(?:,[0-9]++)?+(?!,[0-9])")
+    first = f"regexp_extract({s}, {number}, 0)"
+    return f"try_cast(replace(regexp_replace({first}, '[^-0-9,]', ''), ',', '.') AS {PRICE_TYPE})"
 
 
 def criteria_items(outer_html: str) -> str:

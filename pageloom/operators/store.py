@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.operators.joins import HOT_ROWS, skew_left_join
@@ -31,11 +32,15 @@ def lookup_pages(requests: DataFrame, pages: DataFrame, spread: Column | None =
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Requests with the page fetched for them; a request without a page keeps NULLs.
 
-    ``pages`` must hold extracted columns, one row per URL: page bodies are never shuffled.
+    ``pages`` must hold extracted columns: page bodies are never shuffled. Of several fetches of a
+    URL the latest by ``fetched_at`` counts, or the largest row where there is no such column.
     """
     if {"html", "rendered_html"} & set(pages.columns):
         raise ValueError("extract first: a page body must not be shuffled")
     spread = spread if spread is not None else F.struct(*requests.columns)
+    order = [c for c in ("fetched_at",) if c in pages.columns] + pages.columns
+    pages = (pages.groupBy("url").agg(F.max_by(F.struct(*pages.columns), F.struct(*order)).alias("_page"))
+             .selectExpr("inline(array(_page))"))
     found = skew_left_join(requests, pages.withColumn("_found", F.lit(True)), "url", spread,
                            hot_rows=hot_rows)
     return found.withColumn("fetched", F.coalesce("_found", F.lit(False))).drop("_found")
@@ -53,9 +58,30 @@ def append_documents(docs: DataFrame, path: str, kind: str = "parquet",
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
-                kind: str = "parquet") -> None:
-    """One folder per batch, replaced when the batch is replayed: a row is never stored twice."""
+                kind: str = "parquet", stream: str | None = None) -> None:
+    """One folder per stream and batch, replaced when that batch is replayed and by nothing else: a
+    row is never stored twice, and no stream overwrites what another one stored."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(kind)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(f"{path}/batch_id={batch_id}")
+    writer.save(batch_folder(path, batch_id, stream))
+
+
+def batch_folder(path: str, batch_id: int, stream: str | None) -> str:
+    return f"{path}/stream={stream}/batch_id={batch_id}" if stream else f"{path}/batch_id={batch_id}"
+
+
+def stored_rows(spark: SparkSession, path: str, but: str | None = None) -> DataFrame | None:
+    """All rows stored below ``path``, whoever wrote them and however deep, except those in the folder
+    ``but``, left by a failed try of the batch at hand; None if nothing is stored. Columns that only
+    folder names hold are not read."""
+    try:
+        rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if but is None:
+        return rows
+    own = "/" + but[len(path):].strip("/") + "/"
+    return rows.filter(~F.contains(F.col("_metadata.file_path"), F.lit(own)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageloom.operators.joins import broadcast_if_small
-from pageloom.operators.store import first_per_key, write_batch
+from pageloom.operators.store import batch_folder, first_per_key, stored_rows, write_batch
 
 
 def consume(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path: str,
@@ -22,7 +23,8 @@ def consume(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path:
     its own folder, so each message ends in exactly one place.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_batch(process(batch), path, batch_id, partition_by)
+        write_batch(process(batch), path, batch_id, partition_by,
+                    stream=stream_id(batch.sparkSession, checkpoint))
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -36,30 +38,31 @@ def publish(stream: DataFrame, path: str, checkpoint: str,
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def _stored_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Rows of earlier batches; the batch's own folder, left by a failed try, does not count."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if batch_id == 0 or not files.exists(root):
-        return None
-    return spark.read.parquet(path).filter(F.col("batch_id") < batch_id)
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps with a checkpoint: the same after a restart, another one for another
+    checkpoint, even a fresh one in the same place."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def insert_once(stream: DataFrame, key: str, order: Sequence[str], path: str, checkpoint: str,
                 available_now: bool = True) -> StreamingQuery:
-    """Append rows whose key no earlier batch stored.
+    """Append rows whose key is not stored yet, by an earlier batch or by anyone else before.
+
+    Streams that insert into one store at the same time could both miss the other's rows: let one at
+    a time write.
 
     The store grows without end, so it is never shuffled for a batch: where the batch's keys are
     few (checked), they are broadcast to a scan of the store's key column.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         fresh = first_per_key(batch.filter(F.col(key).isNotNull()), key, order)
-        store = _stored_before(batch.sparkSession, path, batch_id)
+        stream_of = stream_id(batch.sparkSession, checkpoint)
+        store = stored_rows(batch.sparkSession, path, batch_folder(path, batch_id, stream_of))
         if store is not None:
             wanted = broadcast_if_small(fresh.select(key))
             known = store.select(key).join(wanted, key, "left_semi")
             fresh = fresh.join(known, key, "left_anti")
-        write_batch(fresh, path, batch_id)
+        write_batch(fresh, path, batch_id, stream=stream_of)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pageloom.operators import specs as S
 from pageloom.operators.joins import HOT_ROWS
 from pageloom.operators.retry import decide, number_failures, open_runs
-from pageloom.operators.store import write_batch
+from pageloom.operators.store import batch_folder, stored_rows, write_batch
+from pageloom.streaming.consume import stream_id
 
 
 def retry_stream(attempts: DataFrame, key: str, order: list[str], failed: Column, time: str,
@@ -27,19 +28,25 @@ def retry_stream(attempts: DataFrame, key: str, order: list[str], failed: Column
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = (spark.read.parquet(f"{path}/state/batch_id={batch_id - 1}")
-                  if batch_id > 0 else None)
+        stream = stream_id(spark, checkpoint)
+        attempts_path = f"{path}/attempts"
+        own = batch_folder(attempts_path, batch_id, stream)
+        if batch_id > 0:
+            before = spark.read.parquet(batch_folder(f"{path}/state", batch_id - 1, stream))
+        else:  # what other streams left open, if any did
+            stored = stored_rows(spark, attempts_path, own)
+            before = None if stored is None else open_runs(stored, key, order).filter("open_run > 0")
         numbered = number_failures(batch, key, order, failed, time, before, hot_rows)
-        write_batch(decide(numbered, max_retries), f"{path}/attempts", batch_id, ["action"])
+        write_batch(decide(numbered, max_retries), attempts_path, batch_id, ["action"], stream=stream)
 
-        stored = spark.read.parquet(f"{path}/attempts/batch_id={batch_id}")
+        stored = spark.read.parquet(own)
         state = open_runs(stored, key, order)
         if before is not None:
             state = (state.join(before.withColumnRenamed("open_run", "_old"), key, "full_outer")
                      .select(key, F.coalesce("open_run", "_old").alias("open_run")))
         # Runs repeat their decisions every span failures, so only the remainder matters.
         state = state.withColumn("open_run", F.col("open_run") % span)
-        write_batch(state.filter("open_run > 0"), f"{path}/state", batch_id)
+        write_batch(state.filter("open_run > 0"), f"{path}/state", batch_id, stream=stream)
 
     writer = attempts.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

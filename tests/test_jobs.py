@@ -216,6 +216,47 @@ def test_consume_chain_and_insert_once(spark, tmp_path):
     assert queues.agency_profiles(spark, p("queue")).isStreaming
 
 
+def test_streams_leave_what_others_stored(spark, tmp_path):
+    p = lambda name: str(tmp_path / name)
+
+    def run(action, rows, n):
+        spark.createDataFrame(rows, "k string, n int").write.parquet(p(f"in{n}"))
+        action(spark.readStream.schema("k string, n int").parquet(p(f"in{n}")), p(f"c{n}")).awaitTermination()
+
+    insert = lambda stream, c: insert_once(stream, "k", ["n"], p("store"), c)
+    store.append_documents(spark.createDataFrame([("a", 0)], "k string, n int"), p("store"))
+    run(insert, [("a", 1), ("b", 1)], 1)
+    run(insert, [("b", 2), ("c", 2)], 2)  # another checkpoint, batch 0 once more
+    got = store.stored_rows(spark, p("store")).select("k", "n").collect()
+    assert sorted(map(tuple, got)) == [("a", 0), ("b", 1), ("c", 2)]
+
+    keep = lambda stream, c: consume(stream, lambda b: b.withColumn("settled", F.lit("ack")), p("rows"), c)
+    run(keep, [("a", 1)], 3)
+    run(keep, [("b", 1)], 4)
+    assert sorted(r.k for r in spark.read.parquet(p("rows")).collect()) == ["a", "b"]
+    assert store.stored_rows(spark, p("nowhere")) is None
+
+
+def test_retries_go_on_with_a_fresh_checkpoint(spark, tmp_path):
+    whole = attempts(spark, {"k": "xxx"})
+    out, source = str(tmp_path / "out"), str(tmp_path / "in")
+    for n in range(3):
+        write(whole.filter(F.col("n_records") == n), source, f"part{n}")
+        stream = spark.readStream.schema(whole.schema).parquet(f"{source}/part{n}")
+        retry_stream(stream, "origin_url", ORDER, failed(), "attempt_ts", out, str(tmp_path / f"p{n}"),
+                     max_retries=2).awaitTermination()
+    got = {r.n_records: r.action for r in spark.read.parquet(f"{out}/attempts").collect()}
+    assert len(got) == 3 and got[2] == "defer"
+
+
+def test_lookup_takes_the_latest_fetch(spark):
+    requests = spark.createDataFrame([("u",), ("v",)], "url string")
+    pages = spark.createDataFrame([("u", T0, 1), ("u", T0.replace(year=T0.year + 1), 2)],
+                                  "url string, fetched_at timestamp, n int")
+    got = store.lookup_pages(requests, pages).collect()
+    assert {r.url: (r.n, r.fetched) for r in got} == {"u": (2, True), "v": (None, False)} and len(got) == 2
+
+
 def test_documents_are_appended_to_a_created_table(spark, tmp_path):
     df = spark.range(3).selectExpr("id", "cast(null AS string) AS n", "id % 2 AS d")
     for _ in range(2):

@@ -78,3 +78,11 @@ def test_reading_a_rendered_price_gives_it_back(evaluate, prices):
                 min_size=40, max_size=40))
 def test_tokens_agree_with_python_split(evaluate, strings):
     assert evaluate(X.tokens("s"), strings) == [s.split() for s in strings]
+
+
+def test_the_first_number_counts(evaluate):
+    shown = ["43 m2", "de 750 000 à 900 000 €", "1 200 € (charges 50 €)", "-12,5 €", "1 200 000 €",
+             "2 43,33", "1234 567", "", "Prix nous consulter", None]
+    want = [43, 750000, 1200, -12.5, 1200000, 2, 1234, None, None, None]
+    got = evaluate(X.amount("s"), shown)
+    assert [None if v is None else float(v) for v in got] == want
