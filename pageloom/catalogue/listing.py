@@ -166,10 +166,10 @@ def page_outcome(spark, sf_dir):
 @BOOK.query(f"""
 WITH {_FACTS}
 SELECT 'retry' AS kind, origin AS url, (retry_times + 1)::BIGINT AS retries, NULL::BIGINT AS raison
-FROM judged WHERE outcome <> 'ok' AND retry_times + 1 <= 5
+FROM judged WHERE outcome NOT IN ('ok', 'off_site') AND retry_times + 1 <= 5
 UNION ALL
 SELECT 'DeferedRequest', origin, NULL, status::BIGINT
-FROM judged WHERE outcome <> 'ok' AND retry_times + 1 > 5
+FROM judged WHERE outcome NOT IN ('ok', 'off_site') AND retry_times + 1 > 5
 """)
 def retry_or_defer(spark, sf_dir):
     """What becomes of each page without records, by the retries it already had."""

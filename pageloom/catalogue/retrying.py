@@ -48,8 +48,7 @@ WHERE failed AND failure_no % {MAX_RETRIES + 1} = 0
 
 
 def _numbered(spark, sf_dir, **options):
-    return retry.number_failures(attempts(spark, sf_dir), "user_id", ORDER, failed(), "ts",
-                                 **options)
+    return retry.number_failures(attempts(spark, sf_dir), "user_id", ORDER, failed(), **options)
 
 
 @BOOK.query(_NUMBERS)
@@ -60,8 +59,8 @@ def attempt_numbers(spark, sf_dir):
 
 @BOOK.query(_NUMBERS)
 def attempt_numbers_split(spark, sf_dir):
-    """The same with a threshold at which many users count as hot and are cut into chunks."""
-    numbered = _numbered(spark, sf_dir, hot_rows=50, chunk_seconds=86_400)
+    """The same in so many ranges that users are cut."""
+    numbered = _numbered(spark, sf_dir, ranges=97)
     return retry.decide(numbered, MAX_RETRIES).select("event_id", "user_id", "failure_no",
                                                       "attempt")
 
@@ -163,7 +162,7 @@ FROM events
 @BOOK.query(_SETTLED)
 def settle_messages(spark, sf_dir):
     messages, outcomes = _messages(spark, sf_dir)
-    return settle.settle(messages, outcomes, F.col("correlation_id")) \
+    return settle.settle(messages, outcomes) \
         .select("correlation_id", "settled")
 
 

@@ -50,7 +50,7 @@ def stream_settle(spark, sf_dir):
         key = F.col("event_id").cast("string")
         url = F.when(F.col("event_id") % 7 == 0, "").otherwise(F.concat(F.lit("/"), key))
         messages = batch.select(key.alias("correlation_id"), url.alias("url"))
-        return settle(messages, outcomes, F.col("correlation_id"))
+        return settle(messages, outcomes)
 
     consume(_stream(spark, sf_dir, "events"), process, f"{out}/rows",
             f"{out}/progress").awaitTermination()
@@ -62,7 +62,7 @@ def stream_retry(spark, sf_dir):
     out = scratch_dir(spark, "stream")
     stream = _stream(spark, sf_dir, "events").select(
         "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
-    retry_stream(stream, "user_id", retrying.ORDER, retrying.failed(), "ts", out,
+    retry_stream(stream, "user_id", retrying.ORDER, retrying.failed(), out,
                  f"{out}/progress", retrying.MAX_RETRIES).awaitTermination()
     stored = spark.read.parquet(f"{out}/attempts").filter(F.col("action") == "defer")
     return stored.select("event_id", F.col("user_id").cast("string").alias("url"), "action")

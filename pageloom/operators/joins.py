@@ -5,44 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this many rows on; at most HOT_KEYS keys are ever treated as hot, so a
-# broadcast of them has a fixed size bound. Any key left out carries under 1/HOT_KEYS of the rows.
+# Rows of one key that one task may take; a key with more is spread over as many tasks as it needs.
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1024
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys, exactly counted (partial counts are combined before the shuffle)."""
+    """Keys with more than ``hot_rows`` rows and ``_salts``, the number of tasks to spread each over, by
+    exact counts (partial counts are combined before the shuffle). There is at most one per
+    ``hot_rows`` rows of ``df``."""
     return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-            .filter(F.col("_rows") >= hot_rows)
-            .orderBy(F.desc("_rows"), key).limit(HOT_KEYS)
-            .select(key, F.lit(True).alias("_hot")))
+            .filter(F.col("_rows") > hot_rows)
+            .select(key, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_salts")))
 
 
 def mark_hot(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Add ``_hot``. ``hot`` has at most HOT_KEYS rows, hence the broadcast."""
-    marked = df.join(F.broadcast(hot), key, "left")
-    return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    """Add ``_salts``, 1 for keys that aren't hot. The broadcast has a row per ``HOT_ROWS`` rows at
+    most: a million keys for 10^12 rows."""
+    return df.join(F.broadcast(hot), key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
 
 def skew_left_join(left: DataFrame, right: DataFrame, key: str, spread: Column,
-                   salts: int = 64, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Left join on ``key`` with the rows of hot left keys spread over ``salts`` tasks.
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join on ``key`` with the rows of a hot left key spread over tasks of about ``hot_rows``.
 
-    ``spread`` varies among rows of one key (a row id). The right side is repeated ``salts`` times
-    for hot keys only. Rows without a key, which match nothing, are spread as well.
+    ``spread`` varies among rows of one key (a row id). The right side is repeated for hot keys only,
+    once per task. Rows without a key, which match nothing, go anywhere.
     """
     hot = hot_keys(left, key, hot_rows)
-    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    number = F.xxhash64(spread)
     many = mark_hot(left, key, hot).withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0)).drop("_hot")
+        "_salt", F.when(F.col(key).isNull(), number).otherwise(F.pmod(number, "_salts"))).drop("_salts")
     one = mark_hot(right.filter(F.col(key).isNotNull()), key, hot).withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                           .otherwise(F.array(F.lit(0))))).drop("_hot")
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts").cast("bigint") - 1))).drop("_salts")
     return many.join(one, [key, "_salt"], "left").drop("_salt")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only after the size was checked; counting stops at the bound."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df

@@ -13,66 +13,51 @@ from pyspark.sql import Window as W
 
 from pageloom import schemas
 from pageloom.operators import specs as S
-from pageloom.operators.joins import HOT_ROWS, hot_keys, mark_hot
-
-CHUNK_SECONDS = 600
+from pageloom.session import written
 
 
 def number_failures(attempts: DataFrame, key: str, order: list[str], failed: Column,
-                    time: str, carried: DataFrame | None = None, hot_rows: int = HOT_ROWS,
-                    chunk_seconds: int = CHUNK_SECONDS) -> DataFrame:
+                    carried: DataFrame | None = None, ranges: int | None = None) -> DataFrame:
     """Add ``failure_no``: position in the current run of failures, 0 for a success.
 
-    A window over a hot key would sort all its rows in one task. Its rows are therefore cut into
-    time chunks, numbered inside each chunk, and shifted by the run that earlier chunks leave open;
-    only one summary row per chunk of a hot key is windowed by key. ``carried`` (key,
-    ``open_run``) continues runs from an earlier batch. ``order[0]`` must be the ``time`` column.
-    One chunk of one key is sorted by one task, so ``chunk_seconds`` should be short where a hot
-    key is dense.
+    The attempts are dealt out by ranges of key and order, so one key's many attempts, or those
+    without a key, take as many ranges as they need, and are written once in that form. Each range
+    numbers its own; one summary row per key and range tells how long a run the ranges before leave
+    open. ``carried`` (key, ``open_run``) continues runs from an earlier batch. ``ranges`` is their
+    number; by default Spark makes them of its advisory size.
     """
-    if order[0] != time:
-        raise ValueError("chunks follow time, so the order must start with it")
-    hot = hot_keys(attempts, key, hot_rows)
-    cut = F.floor(F.unix_micros(F.col(time).cast("timestamp")) / (chunk_seconds * 1_000_000))
-
-    def in_chunks(rows: DataFrame, chunk: Column) -> DataFrame:
-        # Failures so far, and failures up to the last success: one sort serves both windows.
-        so_far = W.partitionBy(key, "_chunk").orderBy(*order).rowsBetween(
-            W.unboundedPreceding, W.currentRow)
-        rows = (rows.withColumn("_failed", F.coalesce(failed, F.lit(False)).cast("int"))
-                .withColumn("_chunk", chunk.cast("bigint"))
-                .withColumn("_failures", F.sum("_failed").over(so_far)))
-        return rows.withColumn("_before", F.max(
-            F.when(F.col("_failed") == 0, F.col("_failures"))).over(so_far))
-
-    rows = in_chunks(mark_hot(attempts, key, hot),
-                     F.when(F.col("_hot"), cut).otherwise(F.lit(0)))
-
-    # One summary row per chunk of a hot key, from a scan that keeps hot keys only.
-    chunks = (in_chunks(attempts.join(F.broadcast(hot), key, "left_semi"), cut)
-              .groupBy(key, "_chunk").agg(F.max("_failures").alias("_all"),
-                                          F.max("_before").alias("_last"))
-              .withColumn("_open", F.col("_all") - F.coalesce("_last", F.lit(0))))
-    by_key = W.partitionBy(key).orderBy("_chunk")
-    # A chunk with a success begins a segment; inside a segment open runs add up.
-    chunks = chunks.withColumn("_segment", F.count("_last").over(by_key))
-    chunks = chunks.withColumn("_end", F.sum("_open").over(
-        W.partitionBy(key, "_segment").orderBy("_chunk")))
+    by = [key, *order]
+    flagged = attempts.withColumn("_failed", F.coalesce(failed, F.lit(False)).cast("int"))
+    dealt = flagged.repartitionByRange(ranges, *by) if ranges else flagged.repartitionByRange(*by)
+    # A struct of the key equals itself where the key is NULL.
+    rows = written(dealt.withColumn("_range", F.spark_partition_id()), "attempts") \
+        .withColumn("_key", F.struct(key))
+    # Failures so far, and failures up to the last success: one sort serves both windows.
+    so_far = W.partitionBy("_key", "_range").orderBy(*order).rowsBetween(
+        W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("_failures", F.sum("_failed").over(so_far))
+    rows = rows.withColumn("_before", F.max(
+        F.when(F.col("_failed") == 0, F.col("_failures"))).over(so_far))
+
+    parts = (rows.groupBy("_key", "_range").agg(F.max("_failures").alias("_all"),
+                                                F.max("_before").alias("_last"))
+             .withColumn("_open", F.col("_all") - F.coalesce("_last", F.lit(0))))
+    by_key = W.partitionBy("_key").orderBy("_range")
+    # A range with a success begins a segment; inside a segment open runs add up.
+    parts = parts.withColumn("_segment", F.count("_last").over(by_key))
+    parts = parts.withColumn("_end", F.sum("_open").over(
+        W.partitionBy("_key", "_segment").orderBy("_range")))
     successes_before = F.col("_segment") - F.col("_last").isNotNull().cast("int")
-    chunks = chunks.select(
-        key, "_chunk", F.coalesce(F.lag("_end").over(by_key), F.lit(0)).alias("_carry"),
-        (successes_before == 0).alias("_reaches_start"))
-
-    # Chunk carries join the rows where they already are: same key, same partitioning.
-    rows = rows.join(chunks, [key, "_chunk"], "left")
-    unbroken = F.col("_before").isNull()
-    shift = F.when(unbroken, F.coalesce("_carry", F.lit(0))).otherwise(0)
+    parts = parts.select("_key", "_range", F.coalesce(F.lag("_end").over(by_key), F.lit(0)).alias("_carry"),
+                         (successes_before == 0).alias("_reaches_start"))
     if carried is not None:
-        rows = rows.join(carried.select(key, F.col("open_run").alias("_open_run")), key, "left")
-        reaches = unbroken & F.coalesce("_reaches_start", F.lit(True))
-        shift = shift + F.when(reaches, F.coalesce("_open_run", F.lit(0))).otherwise(0)
-    number = F.when(F.col("_failed") == 1,
-                    F.col("_failures") - F.coalesce("_before", F.lit(0)) + shift).otherwise(0)
+        old = carried.select(F.struct(key).alias("_key"), F.col("open_run").alias("_open_run"))
+        parts = parts.join(old, "_key", "left").withColumn("_carry", F.col("_carry") + F.when(
+            F.col("_reaches_start"), F.coalesce("_open_run", F.lit(0))).otherwise(0))
+
+    # The summary goes to the rows where they already are: same key and range, same partitioning.
+    rows = rows.join(parts.select("_key", "_range", "_carry"), ["_key", "_range"], "left")
+    number = F.when(F.col("_failed") == 1, F.col("_failures") - F.coalesce("_before", -F.col("_carry"))).otherwise(0)
     return rows.select(*attempts.columns, number.cast("bigint").alias("failure_no"))
 
 

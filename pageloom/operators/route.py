@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.operators import specs as S
@@ -55,3 +55,9 @@ def write_routes(routed: DataFrame, path: str, max_records_per_file: int = 5_000
     """One folder per route and cp. No shuffle: a hot route is written by every task that has it."""
     (routed.write.mode("append").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy("route", "cp").parquet(path))
+
+
+def read_routes(spark: SparkSession, path: str, columns: str = "url STRING") -> DataFrame:
+    """What ``write_routes`` stored. Route and cp are text whatever they look like: cp '01' keeps its
+    zero."""
+    return spark.read.schema(f"{columns}, route STRING, cp STRING").parquet(path)

@@ -23,9 +23,10 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
 
 def insert_if_absent(new: DataFrame, store: DataFrame, key: str,
                      order: Sequence[str]) -> DataFrame:
-    """The new rows whose key is not stored yet, one per key. Rows without a key are left out."""
+    """The new rows whose key is not stored yet, one per key. Rows without a key are left out. A key
+    that recurs in the store is made one per task before the shuffle."""
     fresh = first_per_key(new.filter(F.col(key).isNotNull()), key, order)
-    return fresh.join(store.select(key), key, "left_anti")
+    return fresh.join(store.select(key).distinct(), key, "left_anti")
 
 
 def lookup_pages(requests: DataFrame, pages: DataFrame, spread: Column | None = None,

@@ -9,8 +9,9 @@ from pageloom import schemas
 
 
 def failed_pages(discovered: DataFrame) -> DataFrame:
-    """Pages without records as fetch attempts, with how often they were retried already."""
-    return discovered.filter(F.col("outcome") != "ok").select(
+    """Pages without records as fetch attempts, with how often they were retried already. Pages of
+    other sites are never asked for, so they neither are attempts nor get deferred."""
+    return discovered.filter(~F.col("outcome").isin("ok", "off_site")).select(
         "origin_url", F.col("fetched_at").alias("attempt_ts"), "status", "n_records", "outcome",
         "reason", F.coalesce("retry_times", F.lit(0)).alias("retry_times"))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,3 +47,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="pageloom-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, computed once and read again from a table in the scratch folder."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageloom.operators.joins import broadcast_if_small
 from pageloom.operators.store import batch_folder, first_per_key, stored_rows, write_batch
+from pageloom.session import written
 
 
 def consume(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path: str,
@@ -51,16 +51,17 @@ def insert_once(stream: DataFrame, key: str, order: Sequence[str], path: str, ch
     Streams that insert into one store at the same time could both miss the other's rows: let one at
     a time write.
 
-    The store grows without end, so it is never shuffled for a batch: where the batch's keys are
-    few (checked), they are broadcast to a scan of the store's key column.
+    The batch's rows are written to the scratch folder first, so they are computed once and Spark knows
+    their size when it chooses how to join them with the store's key column. Of the store's rows only
+    keys of the batch are kept, one per task.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         fresh = first_per_key(batch.filter(F.col(key).isNotNull()), key, order)
         stream_of = stream_id(batch.sparkSession, checkpoint)
         store = stored_rows(batch.sparkSession, path, batch_folder(path, batch_id, stream_of))
         if store is not None:
-            wanted = broadcast_if_small(fresh.select(key))
-            known = store.select(key).join(wanted, key, "left_semi")
+            fresh = written(fresh, "fresh")
+            known = store.select(key).join(fresh.select(key), key, "left_semi").distinct()
             fresh = fresh.join(known, key, "left_anti")
         write_batch(fresh, path, batch_id, stream=stream_of)
 

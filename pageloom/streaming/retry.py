@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pageloom.operators import specs as S
-from pageloom.operators.joins import HOT_ROWS
 from pageloom.operators.retry import decide, number_failures, open_runs
 from pageloom.operators.store import batch_folder, stored_rows, write_batch
 from pageloom.streaming.consume import stream_id
 
 
-def retry_stream(attempts: DataFrame, key: str, order: list[str], failed: Column, time: str,
+def retry_stream(attempts: DataFrame, key: str, order: list[str], failed: Column,
                  path: str, checkpoint: str, max_retries: int = S.MAX_RETRIES,
-                 hot_rows: int = HOT_ROWS, available_now: bool = True) -> StreamingQuery:
+                 ranges: int | None = None, available_now: bool = True) -> StreamingQuery:
     """Store each attempt with its ``action`` under ``path/attempts``.
 
     The open runs that a batch leaves are a small table, ``path/state``, one snapshot per batch
@@ -36,7 +35,7 @@ def retry_stream(attempts: DataFrame, key: str, order: list[str], failed: Column
         else:  # what other streams left open, if any did
             stored = stored_rows(spark, attempts_path, own)
             before = None if stored is None else open_runs(stored, key, order).filter("open_run > 0")
-        numbered = number_failures(batch, key, order, failed, time, before, hot_rows)
+        numbered = number_failures(batch, key, order, failed, before, ranges)
         write_batch(decide(numbered, max_retries), attempts_path, batch_id, ["action"], stream=stream)
 
         stored = spark.read.parquet(own)

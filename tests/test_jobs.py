@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageloom import schemas
-from pageloom.operators import retry, settle, store
+from pageloom.operators import retry, route, settle, store
 from pageloom.operators.joins import hot_keys, skew_left_join
 from pageloom.sources import frontier, json_docs, queues, seeds
 from pageloom.streaming.consume import consume, insert_once, publish
@@ -45,29 +45,29 @@ def numbers(df):
 
 def test_deferral_after_six_failures_in_a_row(spark):
     runs = {"once": "o", "five": "xxxxxo", "six": "xxxxxx", "twelve": "x" * 12, "broken": "xoxxxxx"}
-    df = retry.number_failures(attempts(spark, runs), "origin_url", ORDER, failed(), "attempt_ts")
+    df = retry.number_failures(attempts(spark, runs), "origin_url", ORDER, failed())
     gone = retry.deferred_requests(retry.decide(df), "origin_url", F.col("status"))
     counts = {r.RequestUrl: r["count"] for r in gone.groupBy("RequestUrl").count().collect()}
     assert counts == {"six": 1, "twelve": 2}
     assert {(r.Type, r.Raison) for r in gone.collect()} == {("DeferedRequest", 404)}
 
 
-@pytest.mark.parametrize("hot_rows, chunk_seconds", [(10**6, 600), (1, 60), (1, 180), (1, 86_400),
-                                                     (30, 300)])
-def test_numbering_in_chunks_equals_brute_force(spark, hot_rows, chunk_seconds):
-    rng = random.Random(chunk_seconds)
+@pytest.mark.parametrize("ranges", [None, 1, 3, 40, 200])
+def test_numbering_in_ranges_equals_brute_force(spark, ranges):
+    rng = random.Random(ranges or 0)
     runs = {f"k{i}": "".join(rng.choice("xxxo" if i % 2 else "xxxxxxxxxxo")
                              for _ in range(rng.randint(1, 60))) for i in range(12)}
-    df = retry.number_failures(attempts(spark, runs), "origin_url", ORDER, failed(), "attempt_ts",
-                               hot_rows=hot_rows, chunk_seconds=chunk_seconds)
+    runs[None] = "xxxoxx" * 9
+    df = retry.number_failures(attempts(spark, runs), "origin_url", ORDER, failed(),
+                               ranges=ranges)
     assert numbers(df) == {k: brute(run) for k, run in runs.items()}
 
 
 def test_numbering_continues_a_carried_run(spark):
     carried = spark.createDataFrame([("a", 2), ("b", 3), ("z", 1)], "origin_url string, open_run long")
-    for hot in (10**6, 1):
+    for ranges in (None, 9):
         df = retry.number_failures(attempts(spark, {"a": "xxox", "b": "ox", "c": "x"}), "origin_url",
-                                   ORDER, failed(), "attempt_ts", carried, hot, 60)
+                                   ORDER, failed(), carried, ranges)
         assert numbers(df) == {"a": [3, 4, 0, 1], "b": [0, 1], "c": [1]}
 
 
@@ -95,11 +95,11 @@ def test_salted_join_equals_plain_join(spark):
                                         "NULL ELSE concat('k', id % 50) END AS url")
     right = spark.range(40).selectExpr("concat('k', id) AS url", "id AS v").union(
         spark.sql("SELECT 'hot', 99L"))
-    got = skew_left_join(left, right, "url", F.col("id"), salts=8, hot_rows=500)
+    got = skew_left_join(left, right, "url", F.col("id"), hot_rows=500)
     want = left.join(right, "url", "left")
     assert sorted(map(repr, got.select("id", "url", "v").collect())) == sorted(
         map(repr, want.select("id", "url", "v").collect()))
-    assert [r.url for r in hot_keys(left, "url", 500).collect()] == ["hot"]
+    assert [tuple(r) for r in hot_keys(left, "url", 500).collect()] == [("hot", 2)]
 
 
 def test_errors_and_runs_are_counted(spark):
@@ -151,11 +151,22 @@ def test_seed_list(spark, tmp_path):
 def test_json_files(spark, tmp_path):
     record = '{"Type": "SmallAds", "AdsWebId": "annonce-1", "AdsPrice": "750\\u00a0000 €"}'
     (tmp_path / "a.json").write_text('{\n"ads":[\n' + record + "\n," + record + "\n]\n}")
-    rows = json_docs.read_ads_files(spark, str(tmp_path / "a.json")).collect()
+    rows = json_docs.read_ads_files(spark, str(tmp_path / "a.json"), multi_line=True).collect()
     assert [(r.AdsWebId, r.AdsUrl, r.Time) for r in rows] == [("annonce-1", None, None)] * 2
     (tmp_path / "b.json").write_text("[" * 41)
     bad = json_docs.read_records(spark, str(tmp_path / "b.json")).collect()
     assert [r["_corrupt_record"] for r in bad] == ["[" * 41]
+    cut = '{"ads": [' + record[:40]
+    (tmp_path / "c.json").write_text('{"ads": [' + record + "]}\n" + cut + '\n{"ads": []}\n')
+    rows = json_docs.read_ads_files(spark, str(tmp_path / "c.json")).collect()
+    assert {(r.AdsWebId, r["_corrupt_record"]) for r in rows} >= {("annonce-1", None)}
+    assert [r["_corrupt_record"] for r in rows if r["_corrupt_record"]] == [cut]
+
+
+def test_routes_keep_leading_zeros(spark, tmp_path):
+    rows = [("u1", "general", "01"), ("u2", "general", "2A"), ("u3", "luxury", None), ("u4", "luxury", "75")]
+    route.write_routes(spark.createDataFrame(rows, "url string, route string, cp string"), str(tmp_path / "r"))
+    assert sorted(route.read_routes(spark, str(tmp_path / "r")).collect()) == rows
 
 
 def write(df, path, name):
@@ -171,9 +182,9 @@ def test_retry_stream_over_batches_equals_batch(spark, tmp_path):
     for lo, hi in ((0, 7), (7, 8), (8, 20), (20, 30)):
         write(whole.filter(F.col("n_records").between(lo, hi - 1)), source, "part")
         stream = spark.readStream.schema(whole.schema).parquet(f"{source}/part")
-        retry_stream(stream, "origin_url", ORDER, failed(), "attempt_ts", out, progress,
-                     max_retries=2, hot_rows=5).awaitTermination()
-    want = retry.decide(retry.number_failures(whole, "origin_url", ORDER, failed(), "attempt_ts"), 2)
+        retry_stream(stream, "origin_url", ORDER, failed(), out, progress,
+                     max_retries=2, ranges=5).awaitTermination()
+    want = retry.decide(retry.number_failures(whole, "origin_url", ORDER, failed()), 2)
     key = ["origin_url", "n_records", "action"]
     got = spark.read.parquet(f"{out}/attempts").select(*key).collect()
     assert sorted(got) == sorted(want.select(*key).collect())
@@ -243,7 +254,7 @@ def test_retries_go_on_with_a_fresh_checkpoint(spark, tmp_path):
     for n in range(3):
         write(whole.filter(F.col("n_records") == n), source, f"part{n}")
         stream = spark.readStream.schema(whole.schema).parquet(f"{source}/part{n}")
-        retry_stream(stream, "origin_url", ORDER, failed(), "attempt_ts", out, str(tmp_path / f"p{n}"),
+        retry_stream(stream, "origin_url", ORDER, failed(), out, str(tmp_path / f"p{n}"),
                      max_retries=2).awaitTermination()
     got = {r.n_records: r.action for r in spark.read.parquet(f"{out}/attempts").collect()}
     assert len(got) == 3 and got[2] == "defer"
