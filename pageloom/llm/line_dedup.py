@@ -11,7 +11,8 @@ window's lines alone, so equal windows share a fingerprint; and neighbouring win
 same one, so there are far fewer of them than windows. Fingerprints are counted first, and only the
 places of those that recur are joined. There every match is extended to both sides of the fingerprint,
 as far as the windows around it agree, which is decided by a 128-bit hash of their lines; runs are the
-unions of such windows. Each place meets the first one only, never all others.
+unions of such windows. Each place meets the first one only, never all others. What is joined lies in
+tables, so both sides of a join come straight from their shuffles and Spark can split a hot key's rows.
 
 Null is the empty text; a text without lines to remove comes back as it is (null as empty). Rows that
 repeat id and text are one document and come back alike. No rows give no rows.
@@ -83,10 +84,10 @@ def places(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WOR
 def repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, lines): numbers of the lines to remove, for documents that have any."""
     found = saved(places(docs, min_lines, min_words), "places")
-    shared = found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp")
+    shared = saved(found.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "shared").hint("merge")
     near = saved(found.join(shared, "fp").select("doc_id", "text_key", F.explode("around").alias("w"))
                  .select("w.key", F.struct("doc_id", "text_key", "w.first").alias("at"), "w.last"), "near")
-    start = near.groupBy("key").agg(F.min("at").alias("start"))
+    start = saved(near.groupBy("key").agg(F.min("at").alias("start")), "starts").hint("merge")
     later = near.join(start, "key").where(F.col("at") != F.col("start"))
     return (later.select("at.doc_id", "at.text_key", "at.first", "last").distinct()
             .groupBy("doc_id", "text_key")
