@@ -8,8 +8,9 @@ A query's different terms each count once: idf(t) * tf * (k1 + 1) / (tf + k1 * (
 idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)). In a shard, terms come in falling order of idf. They are
 scored for every document until the upper bounds of the rest sum up to less than the k-th best score
 yet: a document not seen so far has no chance then. Of those seen, only the ones stay for which score and
-the rest's block maxima (over ``BLOCK`` documents) reach the k-th best, and the rest of the terms is looked
-up for these alone, the bounds being checked again as it shrinks. Nothing is pruned that could be among
+the rest's block maxima (over ``BLOCK`` documents) reach the k-th best. The rest of the terms is looked up for
+these alone as soon as that costs less than a pass over the term's postings; the bounds are checked again
+after each step. Nothing is pruned that could be among
 the k best, so the merge of the shards' best is exact.
 
 A task searches some shards one after another and carries each query's k-th best along, so all but its
@@ -33,7 +34,8 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, STEP, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 32, 3
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 3
+STEP, LOOKUP = 16_384, 8  # postings scored between two looks at the bound; what one lookup costs, in postings
 HEADER = "<IIII"
 
 
@@ -99,27 +101,44 @@ class Shard:
         here = self.terms[t] == terms if len(self.terms) else np.zeros(len(terms), bool)
         t, w = t[here], weight[here]
         bound = np.concatenate([np.cumsum((w * self.most[t])[::-1])[::-1], [0.0]])
+        a, n = self.start[t], self.start[t + 1] - self.start[t]
+        begin, end, total = a.tolist(), (a + n).tolist(), np.cumsum(n)
         score, kth, i = np.zeros(self.docs), floor, 0
+
+        def scored(i: int, until: int) -> int:
+            """All documents' score by the terms from i on, as many as have about STEP postings."""
+            before = total[i - 1] if i else 0
+            j = min(until, max(i + 1, int(np.searchsorted(total, before + STEP, "right"))))
+            doc = np.concatenate([self.doc[x:y] for x, y in zip(begin[i:j], end[i:j], strict=True)])
+            by = np.concatenate([self.impact[x:y] for x, y in zip(begin[i:j], end[i:j], strict=True)])
+            by *= np.repeat(w[i:j], n[i:j])
+            np.add(score, np.bincount(doc, by, self.docs), out=score)
+            return j
+
+        def raised(some: np.ndarray) -> float:
+            some = some[some >= kth]
+            return max(kth, np.partition(some, len(some) - k)[len(some) - k] - 1e-5) if len(some) > k else kth
+
         while i < len(t) and bound[i] >= kth:
-            place, which = self._of(self.start, t[i:i + STEP])
-            score += np.bincount(self.doc[place], self.impact[place] * w[i:i + STEP][which], self.docs)
-            i += STEP
-            if 2 * bound[min(i, len(t))] <= bound[0]:  # before, no score can be above the rest's bound
-                top = score[score >= kth]
-                kth = max(kth, np.partition(top, len(top) - k)[len(top) - k] - 1e-5 if len(top) > k else floor)
-        alive = np.flatnonzero((score > 0) & (score + (bound[min(i, len(t))]) >= kth))
-        while i < len(t) and len(alive):
+            i = scored(i, max(i + 1, int(np.searchsorted(-bound[:-1], -kth, "right"))))
+            if 2 * bound[i] <= bound[0]:  # before, no score can be above the rest's bound
+                kth = raised(score)
+        alive = np.flatnonzero((score > 0) & (score + bound[i] >= kth))
+        if i < len(t) and len(alive):
             place, which = self._of(self.block_start, t[i:])
             rest = np.bincount(self.block[place], self.block_max[place] * w[i:][which], self.docs // BLOCK + 1)
             alive = alive[score[alive] + rest[alive // BLOCK] >= kth]
-            for term, by in zip(t[i:i + STEP].tolist(), w[i:i + STEP].tolist(), strict=True):
-                a, b = self.start[term], self.start[term + 1]
-                at = np.minimum(np.searchsorted(self.doc[a:b], alive), b - a - 1) + a
-                hit = self.doc[at] == alive
-                score[alive[hit]] += by * self.impact[at[hit]]
-            i += STEP
-            if len(alive) > k:
-                kth = max(kth, np.partition(score[alive], len(alive) - k)[len(alive) - k] - 1e-5)
+        while i < len(t) and len(alive):
+            if LOOKUP * len(alive) > n[i]:  # a pass over the postings costs less than looking up in them
+                i = scored(i, len(t))
+            else:
+                for x, y, by in zip(begin[i:i + 8], end[i:i + 8], w[i:i + 8].tolist(), strict=True):
+                    at = np.minimum(self.doc[x:y].searchsorted(alive.astype(np.uint16)), y - x - 1) + x
+                    hit = self.doc[at] == alive
+                    score[alive[hit]] += by * self.impact[at[hit]]
+                i = min(i + 8, len(t))
+            kth = raised(score[alive])
+            alive = alive[score[alive] + bound[i] >= kth]
         alive = alive[score[alive] >= kth]
         rounded = np.round(score[alive], 6)
         best = np.lexsort((self.ids[alive], 1 - self.known[alive], -rounded))[:k]
