@@ -13,8 +13,8 @@ these alone as soon as that costs less than a pass over the term's postings; the
 after each step. Nothing is pruned that could be among
 the k best, so the merge of the shards' best is exact.
 
-A task searches some shards one after another and carries each query's k-th best along, so all but its
-first shard start with a bound. Queries are taken in blocks of ``BLOCK_QUERIES``; a block is what is sent to all tasks at once. Scores
+A task searches some shards, of which it holds one at a time, and carries each query's k-th best along, so
+all but its first shard start with a bound. Queries are taken in blocks of ``BLOCK_QUERIES``; a block is what is sent to all tasks at once. Scores
 are rounded to 6 places; ties go by doc_id, null last. A document has score 0 if it shares no term, and
 such ones aren't returned; so an empty query or text gives no rows. Null is the empty text; rows that
 repeat are found as often as they occur.
@@ -23,20 +23,22 @@ repeat are found as often as they occur.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from struct import calcsize, pack, unpack_from
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 3
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 4_096, 1_000_000, 64, 4_096, 12
 STEP, LOOKUP = 16_384, 8  # postings scored between two looks at the bound; what one lookup costs, in postings
 HEADER = "<IIII"
+RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -186,6 +188,17 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.mapInArrow(run, "query_id long, term long").distinct()
 
 
+@contextmanager
+def one_record_a_batch(spark: SparkSession) -> Iterator[None]:
+    """What is planned meanwhile gets its Arrow batches row by row: here, one shard at a time."""
+    old = spark.conf.get(RECORDS)
+    spark.conf.set(RECORDS, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(RECORDS, old)
+
+
 def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, place, doc_id, score) for ``queries(query_id, text)`` against all ``docs``."""
     spark = docs.sparkSession
@@ -211,6 +224,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             best: list[tuple | None] = [None] * len(sent.value)  # (score, id is null, id), in order
             for b in batches:
                 for data in b.column("data"):
+                    shard = None  # the one before goes first
                     shard = Shard(data.as_py(), mean)
                     for i, (_, terms, weight) in enumerate(sent.value):
                         old = best[i]
@@ -231,7 +245,9 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                      .mapInArrow(run, "query_id long, doc_id long, score double"))
     if not found:
         return spark.createDataFrame([], "query_id long, place int, doc_id long, score double")
+    with one_record_a_batch(spark):
+        candidates = saved(reduce(DataFrame.union, found), "candidates")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return (reduce(DataFrame.union, found).withColumn("score", F.round("score", 6))
+    return (candidates.withColumn("score", F.round("score", 6))
             .withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
             .select("query_id", "place", "doc_id", "score"))
