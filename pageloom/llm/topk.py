@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 4_096, 1_000_000, 64, 4_096, 12
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 6
 STEP, LOOKUP = 16_384, 8  # postings scored between two looks at the bound; what one lookup costs, in postings
 HEADER = "<IIII"
 RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -67,7 +67,7 @@ def packed(ids: list[int | None], found: list[tuple[np.ndarray, np.ndarray, int]
 
 
 class Shard:
-    def __init__(self, data: bytes, mean: float):
+    def __init__(self, data: bytes | pa.Buffer, mean: float):
         self.docs, n, postings, _ = unpack_from(HEADER, data, 0)
         at = calcsize(HEADER)
 
@@ -80,7 +80,10 @@ class Shard:
         self.ids, self.known, length = take("<i8", self.docs), take("u1", self.docs), take("<u4", self.docs)
         self.terms, df, self.doc, tf = take("<u8", n), take("<u4", n), take("<u2", postings), take("<u4", postings)
         self.start = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
-        self.impact = tf / (tf + (K1 * (1 - B + B * length / mean))[self.doc]) * (K1 + 1)
+        self.impact = (K1 * (1 - B + B * length / mean))[self.doc]
+        self.impact += tf
+        np.divide(tf, self.impact, out=self.impact)
+        self.impact *= K1 + 1
         block = self.doc // BLOCK
         turn = np.concatenate([[True], block[1:] != block[:-1]])[:postings]
         turn[self.start[:-1]] = True
@@ -225,7 +228,7 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
             for b in batches:
                 for data in b.column("data"):
                     shard = None  # the one before goes first
-                    shard = Shard(data.as_py(), mean)
+                    shard = Shard(data.as_buffer(), mean)
                     for i, (_, terms, weight) in enumerate(sent.value):
                         old = best[i]
                         floor = old[0][-1] - 1e-5 if old and len(old[0]) == k else 0.0
