@@ -8,8 +8,9 @@ from pageloom import schemas
 from pageloom.catalogue import dressed as D
 from pageloom.catalogue.book import LINKS, Book, decoded, sql_tokens
 from pageloom.functions.expr import each
-from pageloom.operators import documents
+from pageloom.operators import documents, store
 from pageloom.plans import details
+from pageloom.session import scratch_dir
 
 BOOK = Book()
 
@@ -72,7 +73,7 @@ FROM judged WHERE outcome = 'ok'
 
 def _flat_ad(docs):
     return docs.select(
-        "page_id", F.col("TransactionType").alias("transaction"), F.col("Title").alias("title"),
+        *[c for c in docs.columns if c == "page_id"], F.col("TransactionType").alias("transaction"), F.col("Title").alias("title"),
         F.col("Type").alias("type"), F.array_join("Images", ",").alias("images"),
         F.col("Description").alias("description"), F.col("Rooms").alias("rooms"),
         F.col("Beds").alias("beds"), F.col("Adress.RealEstate_Adress").alias("address"),
@@ -111,19 +112,30 @@ def ad_document_json(spark, sf_dir):
     return _flat_ad(text.select(back.alias("d")).select("d.*"))
 
 
-@BOOK.query(f"""
+@BOOK.query(f"SELECT * EXCLUDE (page_id) FROM ({_DOCUMENT})")
+def appended_ad_documents(spark, sf_dir):
+    """Ad documents appended in two parts to a table that the first append creates."""
+    path = scratch_dir(spark, "documents")
+    pages = D.general_ad(spark, sf_dir)
+    for rest in (0, 1):
+        ads = details.general_ads(pages.filter(F.col("page_id") % 2 == rest), domain="")
+        store.append_documents(documents.ad_document(details.usable(ads)), path)
+    return _flat_ad(spark.read.parquet(path))
+
+
+_LUXURY = f"""
 SELECT page_id, 'Agence ' || page_id AS realtor, 'a' || page_id || '|b|c|d' AS address,
        'd' AS siren, 'a' || page_id AS carte_pro, '/s/' || page_id AS website,
        '02' || page_id AS phone, page_id || chr(160) || '€' AS price, {_AD} AS description,
        'alur' AS mention, page_id || ' m²' AS surface, '4 pièces' AS rooms
 FROM pages
 WHERE page_id % 6 <> 0 AND page_id % 13 >= 3 AND page_id % 11 >= 3
-""")
-def luxury_ad(spark, sf_dir):
-    ads = details.usable(details.luxury_ads(D.luxury_ad(spark, sf_dir), domain="",
-                                            keep=("page_id",)))
+"""
+
+
+def _flat_luxury(ads):
     return ads.select(
-        "page_id", F.col("RealtorName").alias("realtor"),
+        F.col("RealtorName").alias("realtor"),
         F.array_join("RealtorAddress", "|").alias("address"), F.col("RealtroSiren").alias("siren"),
         F.col("RealtroCartePro").alias("carte_pro"),
         F.array_join("RealtorWebSite", "|").alias("website"),
@@ -132,7 +144,25 @@ def luxury_ad(spark, sf_dir):
         F.array_join("RealEstate_desc", "|").alias("description"),
         F.array_join("RealEstate_price_mention", "|").alias("mention"),
         F.array_join("RealEstate_surface", "|").alias("surface"),
-        F.array_join("RealEstate_nbrooms", "|").alias("rooms"))
+        F.array_join("RealEstate_nbrooms", "|").alias("rooms"), *[c for c in ads.columns if c == "page_id"])
+
+
+@BOOK.query(f"SELECT * EXCLUDE (page_id) FROM ({_LUXURY})")
+def appended_luxury_documents(spark, sf_dir):
+    """Luxury ads stored as JSON, flat as they are, in two appends, and read by the schema."""
+    path = scratch_dir(spark, "documents")
+    pages = D.luxury_ad(spark, sf_dir)
+    for rest in (0, 1):
+        ads = details.luxury_ads(pages.filter(F.col("page_id") % 2 == rest), domain="")
+        store.append_documents(documents.luxury_document(details.usable(ads)), path, "json")
+    return _flat_luxury(spark.read.schema(schemas.AD_DETAIL).json(path))
+
+
+@BOOK.query(_LUXURY)
+def luxury_ad(spark, sf_dir):
+    ads = details.usable(details.luxury_ads(D.luxury_ad(spark, sf_dir), domain="",
+                                            keep=("page_id",)))
+    return _flat_luxury(ads)
 
 
 @BOOK.query(f"""

@@ -8,8 +8,10 @@ from pageloom.catalogue import retrying
 from pageloom.catalogue.book import LINKS, Book
 from pageloom.operators import specs as S
 from pageloom.operators.cards import discover, listing_ads
+from pageloom.operators.route import write_routes
 from pageloom.operators.settle import settle
 from pageloom.session import scratch_dir
+from pageloom.sources import queues
 from pageloom.sources.pages import fetched_pages
 from pageloom.streaming.consume import consume, insert_once, publish
 from pageloom.streaming.retry import retry_stream
@@ -102,3 +104,48 @@ def stream_insert_if_absent(spark, sf_dir):
     insert_once(stream, "user_id", ["ts", "event_id"], f"{out}/store",
                 f"{out}/progress").awaitTermination()
     return spark.read.parquet(f"{out}/store").select("user_id", "event_id")
+
+
+_QUEUE = """
+SELECT event_id::VARCHAR AS correlation_id, [NULL, '01', '2A'][1 + event_id // 3 % 3] AS cp,
+       CASE WHEN event_type = 'error' THEN 'error' ELSE 'ack' END AS settled
+FROM events WHERE event_id % 3 = """
+
+
+def consumed(spark, sf_dir, subscribe, **options):
+    """Events as a queue of routes in files ordered by time, consumed some files at a time; the
+    settled messages and the number of batches."""
+    out = scratch_dir(spark, "stream")
+    key = F.col("event_id")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").repartitionByRange(4, "ts", "event_id")
+    messages = events.select(
+        key.cast("string").alias("correlation_id"), F.concat(F.lit("/"), "event_type").alias("url"),
+        F.when(F.floor(key / 3) % 3 == 1, "01").when(F.floor(key / 3) % 3 == 2, "2A").alias("cp"),
+        F.when(key % 3 == 0, "luxury").when(key % 3 == 1, "agency").otherwise("general").alias("route"),
+        F.col("ts").cast("timestamp").alias("received_at"))
+    write_routes(messages, f"{out}/queue")
+
+    def process(batch):
+        return batch.withColumn("settled", F.when(F.col("url") == "/error", "error").otherwise("ack"))
+
+    query = consume(subscribe(spark, f"{out}/queue", files_per_batch=4, **options), process,
+                    f"{out}/rows", f"{out}/progress")
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{out}/rows").select("correlation_id", "cp", "settled")
+    return rows, len({p["batchId"] for p in query.recentProgress if p["numInputRows"]})
+
+
+@BOOK.query(_QUEUE + "2 AND event_id // 3 % 3 = 1")
+def stream_general_queue(spark, sf_dir):
+    """The general ads of one cp."""
+    return consumed(spark, sf_dir, queues.general_ads, cp="01")[0]
+
+
+@BOOK.query(_QUEUE + "0")
+def stream_luxury_queue(spark, sf_dir):
+    return consumed(spark, sf_dir, queues.luxury_ads)[0]
+
+
+@BOOK.query(_QUEUE + "1")
+def stream_agency_queue(spark, sf_dir):
+    return consumed(spark, sf_dir, queues.agency_profiles)[0]

@@ -69,6 +69,11 @@ def wide_detail(ads: DataFrame) -> DataFrame:
     return schemas.conform(ads.select(*cols), schemas.AD_DETAIL)
 
 
+def luxury_document(ads: DataFrame) -> DataFrame:
+    """The flat document of a luxury ad: its fields under their own names, nothing nested."""
+    return wide_detail(ads)
+
+
 def as_json(docs: DataFrame) -> DataFrame:
     """Each document as one JSON object; nested parts stay objects."""
     return docs.selectExpr(X.json_record(**{c: c for c in docs.columns}) + " AS value")

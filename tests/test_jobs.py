@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pageloom import schemas
+from pageloom.catalogue import streams
 from pageloom.operators import retry, route, settle, store
 from pageloom.operators.joins import hot_keys, skew_left_join
 from pageloom.sources import frontier, json_docs, queues, seeds
@@ -276,3 +277,21 @@ def test_documents_are_appended_to_a_created_table(spark, tmp_path):
     lines = spark.read.text(str(tmp_path / "t")).collect()
     assert len(lines) == 6 and '"n":null' in lines[0].value
     assert spark.read.parquet(str(tmp_path / "q")).count() == 6
+
+
+def test_queue_bodies_are_urls_or_objects(spark):
+    raw = spark.createDataFrame(
+        [("https://a.example/1", [("message-id", b"m1")]), ('{"url": "https://a.example/2", "correlation_id": "m2", "cp": "01"}', None),
+         ("{broken", [("message-id", b"m3")]), ("no address", []), ("", [("other", b"x")]), (None, None)],
+        "value STRING, headers ARRAY<STRUCT<key: STRING, value: BINARY>>").selectExpr(
+        "CAST(value AS BINARY) AS value", "headers", "TIMESTAMP '2024-01-01' AS timestamp")
+    rows = [(r["correlation_id"], r["url"], r["cp"], r["corrupt_body"]) for r in queues.parse_messages(raw).collect()]
+    assert rows == [("m1", "https://a.example/1", None, None), ("m2", "https://a.example/2", "01", None),
+                    ("m3", None, None, "{broken"), (None, None, None, "no address"), (None, None, None, None),
+                    (None, None, None, None)]
+
+
+def test_queue_is_consumed_in_several_batches(spark):
+    rows, batches = streams.consumed(spark, "/root/testdata/sf0.001", queues.luxury_ads)
+    assert batches >= 3
+    assert {r["cp"] for r in rows.select("cp").distinct().collect()} == {None, "01", "2A"}
