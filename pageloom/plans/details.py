@@ -35,11 +35,18 @@ def luxury_ads(pages: DataFrame, domain: str = S.LUXURY_DOMAIN, keep=()) -> Data
     return detail_outcome(_extract(pages, S.LUXURY_AD, domain, keep))
 
 
+def _unpaired(*lists: str) -> str:
+    """How many items of the longest list the shortest has no partner for."""
+    sizes = ", ".join(f"coalesce(array_size({x}), 0)" for x in lists)
+    return f"(greatest({sizes}) - least({sizes}))"
+
+
 def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=()) -> DataFrame:
     """Agency profiles with their three nested lists.
 
     Sale ads are made distinct by URL as whole cards, at their first position. Sold ads whose
-    lists differ in length fail the page; a page without a team keeps a NULL there.
+    lists differ in length fail the page; a page without a team keeps a NULL there. What the shorter
+    lists leave without a partner is counted, ``n_team_dropped`` and ``n_sales_dropped``.
     """
     df = _extract(pages, S.AGENCY, domain, keep)
     # An image without an address still takes its place in the team.
@@ -63,6 +70,8 @@ def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=()) -> DataF
         f"{X.null_if_no_items('_sales')} AS Realtor_Ads_selling_infos",
         f"{X.null_if_no_items('_sold')} AS Realtor_sold_Ads_infos",
         "array_distinct(sale_url) AS sale_urls",
+        f"{_unpaired('_photo', 'team_name', 'team_position')} AS n_team_dropped",
+        f"{_unpaired('sale_url', 'sale_text', 'sale_picture')} AS n_sales_dropped",
         "CASE WHEN _sold IS NULL THEN array_append(missing_fields, 'sold ads') "
         "ELSE missing_fields END AS missing_fields",
         "fetched_at AS Time")

@@ -291,6 +291,7 @@ def test_agency_profile(spark):
     assert [tuple(s) for s in row.Realtor_Ads_selling_infos] == [
         ("/s1", "vente 1", "/p1"), ("/s2", "vente 2", "/p2")]
     assert [s.city for s in row.Realtor_sold_Ads_infos] == ["P", "L"]
+    assert (row.n_team_dropped, row.n_sales_dropped) == (0, 0)
     urls = details.agency_ad_urls(details.agencies(table(spark, agency()))).collect()
     assert [(u.url, u.route) for u in urls] == [("/s1", "general"), ("/s2", "general")]
     doc = documents.agency_document(details.agencies(table(spark, agency()))).first()
@@ -314,6 +315,12 @@ def test_zip_modes(spark):
     assert [r.n for r in strict] == [None, 0, 1]
 
 
+def test_unpaired_items_are_counted(spark):
+    rows = spark.createDataFrame([(["a", "b", "c"], ["1"]), (["a"], ["1"]), (None, ["1", "2"]), (None, None)],
+                                 "x array<string>, y array<string>")
+    assert [r.n for r in rows.selectExpr(f"{details._unpaired('x', 'y')} AS n").collect()] == [2, 0, 2, 0]
+
+
 def test_distinct_by_keeps_the_first_and_all_nulls(spark):
     rows = spark.sql("SELECT array(named_struct('u', 'a', 'v', 1), named_struct('u', null, 'v', 2),"
                      "named_struct('u', 'a', 'v', 3), named_struct('u', null, 'v', 4)) AS c")
