@@ -41,6 +41,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: in
     return texts.join(F.broadcast(chosen), "doc_id")
 
 
+def one_of_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``chosen`` (doc_id, text_key) names, each once, with all columns;
+    text_key is xxhash64 of the text."""
+    keep = saved(chosen.select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_text")), "chosen")
+    own = docs.withColumn("_own_text", F.xxhash64(whole_text()))
+    stay = own.join(keep.hint("merge"), (F.col("_own_text") == F.col("_keep_text"))
+                    & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")))
+    return stay.dropDuplicates(["_keep_id", "_keep_text"]).select(*[f"`{c}`" for c in docs.columns])
+
+
 def running_totals(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:
     """``df`` with ``out``, the sum of ``value`` over all rows before a row in ``order``.
 

@@ -36,9 +36,13 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
+def lower_words(text: str) -> list[bytes]:
+    return _WORD.findall(text.encode("utf-8", "surrogatepass").translate(_LOWER))
+
+
 def fingerprint(text: str, words_per_shingle: int = WORDS_PER_SHINGLE, piece: int = 1 << 16) -> int:
     """The fingerprint as a signed 64-bit number; shingles are counted ``piece`` at a time."""
-    words = _WORD.findall(text.encode("utf-8", "surrogatepass").translate(_LOWER))
+    words = lower_words(text)
     if not words:
         return 0
     line = b" ".join(words)
