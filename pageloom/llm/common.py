@@ -32,13 +32,16 @@ def in_training(name: str = "doc_id"):
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """(doc_id, text, label) of at most ``max_rows`` labelled documents of the training part,
     those with the smallest hashes of their ids. The chosen labels are at most ``max_rows`` pairs
-    of numbers, which bounds what is broadcast. An id with several labels takes the largest."""
+    of numbers, which bounds what is broadcast. An id with several labels takes the largest, one with
+    several documents the text with the smallest hash; they are combined before the shuffle."""
     chosen = (labels.where(in_training("doc_id") & F.col(label).isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    return (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+            .agg(one.alias("of"), F.max("label").alias("label")).select("doc_id", "of.text", "label"))
 
 
 def one_of_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
