@@ -28,7 +28,11 @@ ENDS_PARAGRAPH = ("p", "div", "ul", "ol", "li", "h[1-6]", "table", "article", "s
 PARTS_WORDS = ENDS_PARAGRAPH + ("br", "hr", "dl", "dt", "dd", "tr", "td", "th", "main", "aside",
                                 "button", "option")
 
-# Elements that may hold an element of their own kind; their end is found by counting.
+# Elements that never hold one of their own kind; they end at the first closing tag.
+# The end of all others is found by counting.
+FLAT_TAGS = ("p", "a", "button", "form", "option", "select", "script", "style", "textarea", "title")
+
+# Elements whose own text is taken in document order across matches inside matches.
 NESTING_TAGS = ("div", "span", "li", "ul", "section", "article", "table", "*")
 
 # How deep an element may hold its own kind before levels are counted one by one.
@@ -154,6 +158,8 @@ def first_tag(outer: str) -> str:
     return f"regexp_extract({outer}, {quote(f'^<{_REST_OF_TAG}')}, 0)"
 
 
+_VOID = rf"^<(?i:{'|'.join(VOID_TAGS)})(?=[\s/>])"
+
 # What a piece of HTML does to the level of nesting.
 _OTHER, _OPENS, _CLOSES, _STARTS = "0", "1", "2", "3"
 
@@ -190,10 +196,10 @@ def _spans(marks: str) -> str:
     return fold(marks, zero, step, finish)
 
 
-def _cut(pieces: str, mark) -> str:
+def _cut(pieces: str, mark, spans=_spans) -> str:
     """Outer HTML, without the closing tag, of every span that ``mark`` finds in the pieces."""
     return let(pieces, lambda ps: each(
-        _spans(each(ps, mark)),
+        spans(each(ps, mark)),
         lambda s: f"array_join(slice({ps}, {s}.first, {s}.last - {s}.first), '')"))
 
 
@@ -246,14 +252,67 @@ def _counted(html: str, el: Element) -> str:
     return _if_present(html, el, lambda h: search(h) if el.tests else let(h, search))
 
 
+def _every_span(marks: str) -> str:
+    """Spans as of ``_spans``, but of every starting tag, by its place, also inside another span.
+
+    The state holds the open tags; a closing tag closes the last one of its name. What is never
+    closed ends with the document.
+    """
+    spans = "cast(array() AS array<struct<first: int, last: int>>)"
+    opened = "cast(array() AS array<struct<first: int, tag: string>>)"
+
+    def step(acc: str, mark: str) -> str:
+        at = f"{acc}.at + 1"
+        starts = f"{mark}.kind IN ({_STARTS}, {_OPENS})"
+        # The open tag's number from the end; what lies above it stays open.
+        back = f"array_position(reverse(transform({acc}.open, o -> o.tag)), {mark}.tag)"
+        place = f"cast(size({acc}.open) - {back} + 1 AS int)"
+        closes = f"({mark}.kind = {_CLOSES} AND {back} > 0)"
+        entry = struct(first=case((f"{mark}.kind = {_STARTS}", at), otherwise="0"), tag=f"{mark}.tag")
+        rest = (f"concat(slice({acc}.open, 1, {place} - 1), "
+                f"slice({acc}.open, {place} + 1, size({acc}.open)))")
+        first = f"element_at({acc}.open, {place}).first"
+        span = struct(first=first, last=at)
+        return struct(
+            at=at,
+            open=case((starts, f"array_append({acc}.open, {entry})"), (closes, rest), otherwise=f"{acc}.open"),
+            spans=case((closes, case((f"{first} > 0", f"array_append({acc}.spans, {span})"),
+                                     otherwise=f"{acc}.spans")), otherwise=f"{acc}.spans"))
+
+    def finish(acc: str) -> str:
+        left = f"transform(filter({acc}.open, o -> o.first > 0), o -> {struct(first='o.first', last=f'{acc}.at + 1')})"
+        return f"array_sort(concat({acc}.spans, {left}))"
+
+    return fold(marks, struct(at="0", open=opened, spans=spans), step, finish)
+
+
+def _every(html: str, el: Element) -> str:
+    """Outer HTML, without the closing tag, of every matching element, in document order."""
+    any_tag = el.tag == "*"
+    name = r"[a-zA-Z]" if any_tag else rf"(?i:{el.tag})(?=[\s/>])"
+    opening = _open(el)
+
+    def mark(p: str) -> str:
+        kind = case((f"startswith({p}, '</')", _CLOSES), (f"NOT startswith({p}, '<')", _OTHER),
+                    (f"{p} RLIKE {quote('^' + opening)}", _STARTS), otherwise=_OPENS)
+        if any_tag:
+            kind = case((f"{p} RLIKE {quote(_VOID)} AND NOT {p} RLIKE {quote('^' + opening)}", _OTHER), otherwise=kind)
+        return struct(kind=kind, tag=_tag_name(p) if any_tag else "''")
+
+    def inside(o: str) -> str:
+        return case((f"substr({o}, 2) RLIKE {quote(opening)}",
+                     _cut(f"split({o}, {quote(f'(?=</?{name})')})", mark, _every_span)), otherwise=f"array({o})")
+
+    return each_flat(_counted(html, el), inside)
+
+
 def _is_tag(piece: str) -> str:
     """For a part as ``_parts`` cuts them: only tags begin and end like one."""
     return f"({piece} RLIKE '^</?[a-zA-Z]' AND endswith({piece}, '>'))"
 
 
 def _is_void(piece: str) -> str:
-    void = quote(rf"^<(?i:{'|'.join(VOID_TAGS)})(?=[\s/>])")
-    return f"({piece} RLIKE {void} OR endswith({piece}, '/>'))"
+    return f"({piece} RLIKE {quote(_VOID)} OR endswith({piece}, '/>'))"
 
 
 def _parts(inner: str) -> str:
@@ -301,26 +360,28 @@ def children(inner: str, el: Element) -> str:
 
 
 def _flat(el: Element) -> bool:
-    return not el.child and el.tag not in NESTING_TAGS
+    return not el.child and el.tag in FLAT_TAGS
 
 
-def outer_html(html: str, el: Element) -> str:
-    """The element itself, tags included, for every match in document order."""
+def outer_html(html: str, el: Element, nested: bool = True) -> str:
+    """The element itself, tags included, for every match in document order; with ``nested`` false
+    only for matches outside other ones."""
     if el.tag in VOID_TAGS:
         return children(html, el) if el.child else opening_tags(html, el)
     if _flat(el):
         return _if_present(html, el, lambda h: _all(h, f"{_open(el)}(?s:.*?){_end(el.tag)}"))
-    found = children(html, el) if el.child else _counted(html, el)
+    found = children(html, el) if el.child else (_every if nested else _counted)(html, el)
     return each(found, lambda o: f"concat({o}, '</', {_tag_name(o)}, '>')")
 
 
-def inner_html(html: str, el: Element) -> str:
-    """What lies between the tags of every match."""
+def inner_html(html: str, el: Element, nested: bool = True) -> str:
+    """What lies between the tags of every match, or of matches outside other ones."""
     if el.tag in VOID_TAGS:
         return each(outer_html(html, el), lambda _: "''")
     if _flat(el):
         return _if_present(html, el, lambda h: _all(h, f"{_open(el)}((?s:.*?)){_end(el.tag)}", 1))
-    return each(children(html, el) if el.child else _counted(html, el), _without_first_tag)
+    found = children(html, el) if el.child else (_every if nested else _counted)(html, el)
+    return each(found, _without_first_tag)
 
 
 # ---- values ------------------------------------------------------------------------------------

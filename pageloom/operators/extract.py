@@ -45,7 +45,7 @@ def _take(fragment: str, target: H.Element, take: str) -> str:
     if take == "visible":
         return each(H.inner_html(fragment, target), H.visible_text)
     if take.startswith("//@"):
-        return each_flat(H.outer_html(fragment, target),
+        return each_flat(H.outer_html(fragment, target, nested=False),
                          lambda o: H.attribute_values(o, take[3:]))
     if take.startswith("@"):
         if target.child:
@@ -60,7 +60,9 @@ def matches(document: str, path: Sequence[H.Element], take: str) -> str:
     """All values, in document order: narrow to each outer step, then take at the last."""
     if len(path) == 1:
         return _take(document, path[0], take)
-    return each_flat(H.inner_html(document, path[0]), lambda area: matches(area, path[1:], take))
+    # What lies below a match inside a match lies below the outer one; only children need both.
+    areas = H.inner_html(document, path[0], nested=path[1].child)
+    return each_flat(areas, lambda area: matches(area, path[1:], take))
 
 
 def pick(values: str, which: str | int | Rule) -> str:

@@ -126,3 +126,22 @@ def test_random_pages_agree_with_a_parser(evaluate):
     assert sum(bool(t) for t, _ in want) > 100
     assert texts == [t for t, _ in want]
     assert links == [l for _, l in want]
+
+
+@pytest.mark.parametrize("doc, el, take, want", [
+    ('<div class="u"><div class="u">1</div>2</div><div class="u">3</div>', E("div", class_is="u"), "outer",
+     ['<div class="u"><div class="u">1</div>2</div>', '<div class="u">1</div>', '<div class="u">3</div>']),
+    ('<div class="u">0<div><div class="u">1</div>2</div>', E("div", class_is="u"), "visible", ["0 1 2", "1"]),
+    ("<strong>a<strong>b</strong>c</strong>d", E("strong"), "visible", ["abc", "b"]),
+    ("<em>a<em>b</em>c</em>", E("em"), "outer", ["<em>a<em>b</em>c</em>", "<em>b</em>"]),
+    ('<b class="u">x<i class="u">y<br>z</i></b>w', E("*", class_is="u"), "visible", ["xy z", "y z"]),
+    ('<b class="u">x<b>' * 8 + "</b></b>" * 8, E("b", class_is="u"), "visible", ["x" * k for k in range(8, 0, -1)]),
+])
+def test_matches_inside_matches_are_found(evaluate, doc, el, take, want):
+    assert select(evaluate, doc, el, take=take) == want
+
+
+def test_children_of_matches_inside_matches_are_found(evaluate):
+    doc = '<div class="u"><i>1</i><div class="u"><i>2</i></div></div>'
+    assert select(evaluate, doc, E("div", class_is="u"), E("i", child=True), take="text") == ["1", "2"]
+    assert select(evaluate, doc, E("div", class_is="u"), E("i"), take="text") == ["1", "2"]
