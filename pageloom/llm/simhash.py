@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import saved, whole_text
+from pageloom.llm.common import one_of_each, saved, whole_text
 from pageloom.llm.components import components
 
 WORDS_PER_SHINGLE, RADIUS, SEED, BLOCK = 4, 4, 42, 2048
@@ -58,15 +58,19 @@ def fingerprint(text: str, words_per_shingle: int = WORDS_PER_SHINGLE, piece: in
     return int(np.packbits(set_bits * 2 > n).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """(doc_id, fp)."""
+def fingerprints(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp), and text_key, xxhash64 of the text, if ``keyed``."""
+    names = ["doc_id", "text_key"] if keyed else ["doc_id"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), words_per_shingle) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(fps, pa.int64())], [*names, "fp"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    if keyed:
+        rows = rows.withColumn("text_key", F.xxhash64("text"))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "fp"]))
 
 
 def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -155,9 +159,12 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words_per_shingle: in
 
 
 def deduplicate(docs: DataFrame, radius: int = RADIUS, words_per_shingle: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; where no row of a component
-    has an id, all of it stays."""
-    keep = (near_duplicates(docs, radius, words_per_shingle)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_near_id")).distinct())
-    return (docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_near_id")), "left_semi"))
+    """One row of each component, with all columns: that with the smallest doc_id (null is the largest;
+    equal ids in the order of fingerprints, then of the texts' hashes)."""
+    rows = saved(fingerprints(docs, words_per_shingle, keyed=True), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "text_key")).alias("keep")
+    distinct = saved(rows.groupBy("fp").agg(first), "distinct")
+    stars = components(saved(links(distinct, radius), "links"))
+    chosen = (distinct.join(stars, F.col("fp") == F.col("node"), "left")
+              .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("keep").alias("keep")))
+    return one_of_each(docs, chosen.select("keep.doc_id", "keep.text_key"))
