@@ -95,12 +95,12 @@ def decode_entities(s: str) -> str:
     Unknown references stay as written. Text without '&' is returned untouched.
     """
     def one(piece: str) -> str:
-        # conv() raises on overflow, so longer digit runs (never Unicode) are kept away from it.
+        # conv() raises on overflow, so longer digit runs (never Unicode) are kept away from it; zeros in front don't count.
         decoded = case(
             (f"{piece} RLIKE '^&#[0-9]+;$'",
              _character(f"try_cast(regexp_extract({piece}, '[0-9]+', 0) AS bigint)")),
-            (f"{piece} RLIKE '^&#[xX][0-9a-fA-F]{{1,8}};$'",
-             _character(f"cast(conv(substr({piece}, 4, length({piece}) - 4), 16, 10) AS bigint)")),
+            (f"{piece} RLIKE '^&#[xX]0*[0-9a-fA-F]{{1,8}};$'",
+             _character(f"cast(conv(regexp_extract({piece}, '^&#[xX]0*([0-9a-fA-F]{{1,8}});$', 1), 16, 10) AS bigint)")),
             (f"{piece} RLIKE '^&[A-Za-z][A-Za-z0-9]*;$'",
              f"try_element_at({_ENTITIES}, substr({piece}, 2, length({piece}) - 2))"))
         return case((f"startswith({piece}, '&')", f"coalesce({decoded}, {piece})"),

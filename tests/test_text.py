@@ -86,3 +86,8 @@ def test_the_first_number_counts(evaluate):
     want = [43, 750000, 1200, -12.5, 1200000, 2, 1234, None, None, None]
     got = evaluate(X.amount("s"), shown)
     assert [None if v is None else float(v) for v in got] == want
+
+
+def test_hex_references_padded_with_zeros_are_decoded(evaluate):
+    assert evaluate(X.decode_entities("s"), ["&#x000000041;", "&#X00000000000000e9;", "&#x0;", "&#x123456789;"]) == [
+        "A", "é", "&#x0;", "&#x123456789;"]
