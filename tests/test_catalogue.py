@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, connect
+from pageloom import catalogue
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.queries(), catalogue.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def test_query_agrees_with_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= entry.queries().keys() and ORACLES.items() <= entry.oracle_sql().items()
 
 
 def plan(df):
