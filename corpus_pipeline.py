@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pageloom.llm import bpe, exact_dedup, mixing, near_dedup, quality  # noqa: E402
+from pageloom.llm import bpe, exact_dedup, mixing, quality, simhash  # noqa: E402
 from pageloom.llm.common import saved  # noqa: E402
 
 
@@ -28,8 +28,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts linked by a 5-word Jaccard similarity of 0.8, the smallest doc_id stays."""
-    return near_dedup.deduplicate(docs)
+    """Of each group of texts linked by SimHash fingerprints, the smallest doc_id stays: 4-word shingles,
+    4 differing bits at most."""
+    return simhash.deduplicate(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
