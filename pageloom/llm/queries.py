@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.catalogue.book import Book
-from pageloom.llm import bpe, exact_dedup, line_dedup, mixing, quality, shards, simhash, token_files, topk, toxicity
+from pageloom.llm import (bpe, cross_tokenizer, exact_dedup, line_dedup, mixing, periodic_runs, personal_data, quality,
+                          shards, simhash, token_files, topk, toxicity)
 from pageloom.llm.common import whole_text
 
 BOOK = Book()
@@ -164,6 +165,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@BOOK.query()
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cross_tokenizer.aligned(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"),
+                                    _tokenizer("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+@BOOK.query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, by their ids, end in a repeated passage, as the contract has it."""
+    return periodic_runs.digests(periodic_runs.collapsed(_table(spark, sf_dir, "documents"), periodic_runs.repeated_tail))
+
+
+@BOOK.query()
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.found(_table(spark, sf_dir, "documents")))
+
+
 def queries():
     return {name: fn for name, (fn, _) in BOOK.items()}
 
