@@ -6,9 +6,10 @@ decoded and B's pieces in UTF-8, U+2581 as a blank, <0xHH> as that byte. Where t
 a group of tokens ends, and the two are linked. No token is empty, so a group has one link. A text whose
 joined bytes differ from the blank and the text, in A or B, has no tokens, as have null and empty texts.
 
-Texts are cut before a blank that follows no white space. Neither tokenizer has a token across such a place
-(``Aligner`` looks for one and cuts nothing if there is), so each piece is aligned once, a batch of new ones
-together, and looked up from then on, in a table of bounded size.
+Texts are cut before a blank that follows no white space. No token lies across such a place: A's pattern of
+words ends there, and B has no piece with a blank behind anything else (``Aligner`` looks for one, and cuts
+nothing if there is). So each chunk is aligned once, a batch of new ones together, and looked up from then on, in
+a table of bounded size.
 
 Counting, by external spills:
 
@@ -50,7 +51,7 @@ from pageloom.llm.bpe import loaded
 from pageloom.llm.common import saved, whole_text
 
 RADICES, SPILL_RECORDS, SPILL_DOCS, FAN_IN = 32, 1 << 20, 1 << 15, 64
-KNOWN_CHUNKS, SHORT, PIECE, LEARNT = 150_000, 48, 1 << 20, 1 << 15
+KNOWN_CHUNKS, PIECE, LEARNT = 300_000, 1 << 20, 1 << 15
 BLANK, A_BITS = "▁", 17
 NO_TOKENS = None
 
@@ -79,8 +80,7 @@ class Aligner:
             raise ValueError("a pair of ids takes more than 32 bits")
         self.len_a, self.len_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
         self.name_a, self.name_b = (list(map(str, range(len(x)))) for x in (self.bytes_a, self.bytes_b))
-        inner = [x for x in self.bytes_b if b" " in x.lstrip(b" ")] + [x for x in self.bytes_a if re.search(rb"\S ", x)]
-        self.cuts = not inner
+        self.cuts = not any(b" " in x.lstrip(b" ") for x in self.bytes_b)
         self.known: dict[str, tuple[str, bytes, int, int] | None] = {}
 
     def _piece(self, i: int) -> bytes:
@@ -149,24 +149,49 @@ class Aligner:
         return {c: (";".join(groups[x:y]), links[4 * x:4 * y], stop_a[y] - stop_a[x], stop_b[y] - stop_b[x])
                 for c, (x, y) in zip(chunks, pairwise(last), strict=True)}
 
-    def of(self, chunks: list[str]) -> list[tuple[str, bytes, int, int] | None]:
-        new = list(set(chunks) - self.known.keys())
+    def prepare(self, chunks: set[str]) -> None:
+        """Have all of ``chunks`` known."""
+        new = [c for c in chunks if c not in self.known]
         if len(self.known) + len(new) > KNOWN_CHUNKS:
-            self.known, new = {}, list(set(chunks))
+            self.known, new = {}, list(chunks)
         self.learn(new)
-        out = list(map(self.known.__getitem__, chunks))
-        for c in new:
-            if len(c) > SHORT:  # not likely to come again, and of any size
-                del self.known[c]
-        return out
 
-    def document(self, text: str) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
-        """n_a, n_b, n_groups, the groups as text, the different pairs and how many links each has."""
+    def documents(self, texts: Iterable[str]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+        """Of each text n_a, n_b, n_groups, the groups as text, the different pairs and how many links each
+        has. Texts are taken together up to PIECE characters."""
+        held, size = [], 0
+        for text in texts:
+            if len(text) > PIECE:
+                yield from self._together(held)
+                yield self._long(text)
+                held, size = [], 0
+                continue
+            held.append(next(self.pieces(text)) if text else [])
+            size += len(text)
+            if size >= PIECE:
+                yield from self._together(held)
+                held, size = [], 0
+        yield from self._together(held)
+
+    def _together(self, held: list[list[str]]) -> Iterator[tuple]:
+        self.prepare(set().union(*held))
+        for chunks in held:
+            yield self._joined([chunks])
+
+    def _long(self, text: str) -> tuple:
+        def prepared() -> Iterator[list[str]]:
+            for chunks in self.pieces(text):
+                self.prepare(set(chunks))
+                yield chunks
+
+        return self._joined(prepared())
+
+    def _joined(self, pieces: Iterable[list[str]]) -> tuple[int, int, int, str, np.ndarray, np.ndarray]:
         n_a = n_b = 0
         groups: list[str] = []
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for chunks in self.pieces(text) if text else ():
-            entries = self.of(chunks)
+        for chunks in pieces:
+            entries = list(map(self.known.__getitem__, chunks))
             if None in entries:
                 return 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
             groups.append(";".join([e[0] for e in entries]))
@@ -242,8 +267,8 @@ def spills(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES)
 
         for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                found = aligner.document(text.as_py())
+            texts = (t.as_py() for t in b.column("text"))
+            for doc_id, found in zip(b.column("doc_id").to_pylist(), aligner.documents(texts), strict=True):
                 held.append((doc_id, found))
                 size += len(found[4]) + len(found[3]) // 16
                 if size >= SPILL_RECORDS or len(held) == SPILL_DOCS:
