@@ -95,7 +95,7 @@ class Aligner:
         """A piece that begins with a blank, cut; the blank that each chunk begins with left out."""
         if not self.cuts:
             return [piece[1:]]
-        if _AFTER_SPACE.search(piece):
+        if piece[-1] == " " or _AFTER_SPACE.search(piece):
             return [c[1:] for c in _CUT.split(piece)]
         return piece.split(" ")[1:]
 
@@ -122,7 +122,7 @@ class Aligner:
         """Align chunks: those that end inside a word together, others one by one."""
         together, size = [], 0
         for c in new:
-            if not c or c[-1].isspace() or BLANK in c:
+            if c[-1].isspace() or BLANK in c:
                 self.known.update(self.entries([c]))
                 continue
             together.append(c)
@@ -204,7 +204,7 @@ class Aligner:
 
 
 _AFTER_SPACE = re.compile(r"\s ")
-_CUT = re.compile(r"(?<=\S)(?= )")
+_CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)  # a blank at the end is no chunk: B adds none to an empty text
 
 
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
