@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pageloom.operators.commits import Commits, exists, fresh_name, remove
 from pageloom.operators.joins import HOT_ROWS, skew_left_join
+from pageloom.operators.key_index import FAN_IN, ROWS_PER_BUCKET, KeyIndex
+from pageloom.session import written
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -60,29 +64,97 @@ def append_documents(docs: DataFrame, path: str, kind: str = "parquet",
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
                 kind: str = "parquet", stream: str | None = None) -> None:
-    """One folder per stream and batch, replaced when that batch is replayed and by nothing else: a
-    row is never stored twice, and no stream overwrites what another one stored."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(kind)
+    """Store a batch of a stream, or store it again in place of what an earlier try has left.
+
+    Every try writes a folder of its own, which counts from its commit on; the folder it takes the place of
+    counts until then and is deleted afterwards. So readers that go by the commits (``committed_rows``,
+    ``stored_rows``) see each batch whole and once at any time; readers that just list ``path`` do so except
+    while a batch is stored again. No stream replaces what another one stored.
+    """
+    spark, commits = df.sparkSession, Commits(df.sparkSession, f"{path}/_commits")
+    old = [r.folder for r in commits.live() if (r.stream, r.batch_id) == (stream, batch_id)]
+    folder = f"{batch_folder(batch_id, stream)}/try={fresh_name()}"
+    writer = df.write.format(kind)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(batch_folder(path, batch_id, stream))
-
-
-def batch_folder(path: str, batch_id: int, stream: str | None) -> str:
-    return f"{path}/stream={stream}/batch_id={batch_id}" if stream else f"{path}/batch_id={batch_id}"
-
-
-def stored_rows(spark: SparkSession, path: str, but: str | None = None) -> DataFrame | None:
-    """All rows stored below ``path``, whoever wrote them and however deep, except those in the folder
-    ``but``, left by a failed try of the batch at hand; None if nothing is stored. Columns that only
-    folder names hold are not read."""
+    writer.save(f"{path}/{folder}")
+    n_rows = spark.read.format(kind).schema(df.schema).load(f"{path}/{folder}").count()
+    commits.add(folder, old, stream=stream, batch_id=batch_id, n_rows=n_rows)
+    for f in old:
+        remove(spark, f"{path}/{f}")
+
+
+def batch_folder(batch_id: int, stream: str | None) -> str:
+    return f"stream={stream}/batch_id={batch_id}" if stream else f"batch_id={batch_id}"
+
+
+def committed_rows(spark: SparkSession, path: str, stream: str | None = None,
+                   batch_id: int | None = None) -> DataFrame | None:
+    """Rows of the batches that are committed at ``path``, of one stream or one batch if it is given, without
+    listing any other folder; None if there is none. Columns of ``partition_by`` are among them."""
+    found = [f"{path}/{r.folder}" for r in Commits(spark, f"{path}/_commits").live()
+             if r.n_rows and stream in (None, r.stream) and batch_id in (None, r.batch_id)]
+    if not found:
+        return None
+    return spark.read.option("basePath", path).parquet(*found).drop("stream", "batch_id", "try")
+
+
+def stored_rows(spark: SparkSession, path: str, but: tuple[str | None, int] | None = None) -> DataFrame | None:
+    """All rows stored below ``path``, whoever wrote them and however deep; of batches those that are
+    committed, without the stream and batch ``but``. None if nothing is stored. Columns that only folder
+    names hold are not read."""
+    if not exists(spark, path):
+        return None
     try:
         rows = spark.read.option("recursiveFileLookup", "true").parquet(path)
     except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
-    if but is None:
-        return rows
-    own = "/" + but[len(path):].strip("/") + "/"
-    return rows.filter(~F.contains(F.col("_metadata.file_path"), F.lit(own)))
+    live = [r.folder.rpartition("try=")[2] for r in Commits(spark, f"{path}/_commits").live()
+            if but is None or (r.stream, r.batch_id) != but]
+    return rows.filter(_try_of_file().isin("", *live))
+
+
+def _try_of_file() -> Column:
+    """The try that a file belongs to, '' for files that no batch wrote."""
+    return F.regexp_extract(F.col("_metadata.file_path"), "/try=([^/]+)/", 1)
+
+
+def rows_of_others(spark: SparkSession, path: str, since: datetime | None) -> tuple[DataFrame, datetime] | None:
+    """Rows below ``path`` that no batch wrote, in files changed at ``since`` or later, and when the last of
+    them was; None if there is none."""
+    rows = stored_rows(spark, path)
+    if rows is None:
+        return None
+    changed = F.col("_metadata.file_modification_time")
+    rows = rows.filter(_try_of_file() == "")
+    rows = rows if since is None else rows.filter(changed >= F.lit(since))
+    last = rows.agg(F.max(changed)).first()[0]
+    return None if last is None else (rows, last)
+
+
+def insert_rows(new: DataFrame, path: str, key: str, order: Sequence[str], batch_id: int,
+                stream: str | None = None, others: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
+                fan_in: int = FAN_IN) -> None:
+    """Store, as a batch, the new rows whose key is not stored yet, one per key; rows without a key are left out.
+
+    What is stored is known from an index of keys (``KeyIndex``), of which a batch reads only what its keys
+    can be in; the store itself is not read. With ``others`` the store is looked through once for rows that
+    came some other way, which enter the index first. One writer at a time; a batch that is tried again
+    finds what it found before, as the index leaves out its own earlier keys.
+    """
+    spark, own = new.sparkSession, (stream, batch_id)
+    index = KeyIndex(spark, path, key, rows_per_bucket, fan_in)
+    if others:
+        seen = max((r.upto for r in index.segments() if r.upto), default=None)
+        if found := rows_of_others(spark, path, seen):
+            keys = written(found[0].select(key).filter(F.col(key).isNotNull()).distinct(), "others")
+            index.add(keys, keys.count(), upto=found[1])
+    index.merge(but=own)
+    fresh = written(first_per_key(new.filter(F.col(key).isNotNull()), key, order), "fresh")
+    write_batch(index.absent(fresh, but=own), path, batch_id, stream=stream)
+    before = [r for r in index.segments() if (r.stream, r.batch_id) == own]
+    stored = committed_rows(spark, path, stream, batch_id)
+    if stored is not None:
+        index.add(stored.select(key), stored.count(), before, stream=stream, batch_id=batch_id)

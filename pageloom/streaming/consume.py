@@ -6,11 +6,9 @@ import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageloom.operators.store import batch_folder, first_per_key, stored_rows, write_batch
-from pageloom.session import written
+from pageloom.operators.store import insert_rows, write_batch
 
 
 def consume(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path: str,
@@ -19,8 +17,8 @@ def consume(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path:
     """Process each batch and store its rows, good and bad ones, in a single write.
 
     ``process`` adds the ``partition_by`` columns, such as the settlement or the route. A batch is
-    acknowledged by its checkpoint only after the write; if it fails, it is replayed and replaces
-    its own folder, so each message ends in exactly one place.
+    acknowledged by its checkpoint only after the write; if it fails, it is replayed and takes the place
+    of what it wrote before, in one commit, so each message is in exactly one place at any time.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         write_batch(process(batch), path, batch_id, partition_by,
@@ -49,21 +47,15 @@ def insert_once(stream: DataFrame, key: str, order: Sequence[str], path: str, ch
     """Append rows whose key is not stored yet, by an earlier batch or by anyone else before.
 
     Streams that insert into one store at the same time could both miss the other's rows: let one at
-    a time write.
-
-    The batch's rows are written to the scratch folder first, so they are computed once and Spark knows
-    their size when it chooses how to join them with the store's key column. Of the store's rows only
-    keys of the batch are kept, one per task.
+    a time write. Rows that other writers put there, not by a stream of this kind, are looked for when the
+    stream starts. A batch reads neither the store nor the whole index of its keys, see ``insert_rows``.
     """
+    others = True
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        fresh = first_per_key(batch.filter(F.col(key).isNotNull()), key, order)
-        stream_of = stream_id(batch.sparkSession, checkpoint)
-        store = stored_rows(batch.sparkSession, path, batch_folder(path, batch_id, stream_of))
-        if store is not None:
-            fresh = written(fresh, "fresh")
-            known = store.select(key).join(fresh.select(key), key, "left_semi").distinct()
-            fresh = fresh.join(known, key, "left_anti")
-        write_batch(fresh, path, batch_id, stream=stream_of)
+        nonlocal others
+        insert_rows(batch, path, key, order, batch_id, stream_id(batch.sparkSession, checkpoint), others)
+        others = False
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pageloom.operators import specs as S
 from pageloom.operators.retry import decide, number_failures, open_runs
-from pageloom.operators.store import batch_folder, stored_rows, write_batch
+from pageloom.operators.store import committed_rows, stored_rows, write_batch
 from pageloom.streaming.consume import stream_id
 
 
@@ -29,17 +29,17 @@ def retry_stream(attempts: DataFrame, key: str, order: list[str], failed: Column
         spark = batch.sparkSession
         stream = stream_id(spark, checkpoint)
         attempts_path = f"{path}/attempts"
-        own = batch_folder(attempts_path, batch_id, stream)
         if batch_id > 0:
-            before = spark.read.parquet(batch_folder(f"{path}/state", batch_id - 1, stream))
+            before = committed_rows(spark, f"{path}/state", stream, batch_id - 1)
         else:  # what other streams left open, if any did
-            stored = stored_rows(spark, attempts_path, own)
+            stored = stored_rows(spark, attempts_path, but=(stream, batch_id))
             before = None if stored is None else open_runs(stored, key, order).filter("open_run > 0")
         numbered = number_failures(batch, key, order, failed, before, ranges)
         write_batch(decide(numbered, max_retries), attempts_path, batch_id, ["action"], stream=stream)
 
-        stored = spark.read.parquet(own)
-        state = open_runs(stored, key, order)
+        stored = committed_rows(spark, attempts_path, stream, batch_id)
+        state = open_runs(batch.limit(0).withColumn("failure_no", F.lit(0).cast("bigint")) if stored is None else stored,
+                          key, order)
         if before is not None:
             state = (state.join(before.withColumnRenamed("open_run", "_old"), key, "full_outer")
                      .select(key, F.coalesce("open_run", "_old").alias("open_run")))
