@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pageloom.catalogue.book import LINKS, Book, decoded, sql_tokens
-from pageloom.catalogue.dressed import pages
+from pageloom.catalogue.dressed import CARD, pages
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
 from pageloom.functions.html import element
@@ -198,3 +198,55 @@ def rendered_text(spark, sf_dir):
               Field("items", (element("ul"), element("li")), "visible", "all", rendered=True)]
     df = extract_fields(pages(spark, sf_dir), fields, keep=["page_id"])
     return df.select("page_id", "heading_text", F.size("items").cast("bigint").alias("n_items"))
+
+
+@BOOK.query(f"""
+WITH {LINKS},
+t AS (SELECT page_id, list(txt ORDER BY pos) AS a, list({decoded('href')} ORDER BY pos) AS b
+      FROM links GROUP BY page_id),
+n AS (SELECT page_id, flatten(list_transform(range(1, len(a) + 1), lambda i: [a[i], b[i], page_id::VARCHAR])) AS x FROM t)
+SELECT p.page_id, coalesce(len(x), 0)::BIGINT AS n_texts, x[1] AS first, x[2] AS second, x[-1] AS last,
+       x[-2] AS second_last, x[-4] AS fourth_last, coalesce(array_to_string(x, '|'), '') AS all_texts,
+       coalesce(array_to_string(x, '|'), '') AS in_spans
+FROM pages p LEFT JOIN n ON p.page_id = n.page_id
+""")
+def nested_texts(spark, sf_dir):
+    """Each link a match that holds another one: texts come in the order of the page, not of the matches."""
+    def dressed(tag):
+        block = f'<{tag} class="n">$2<{tag} class="n">$1</{tag}>'
+        return F.concat(F.lit(block), F.col("page_id").cast("string"), F.lit(f"</{tag}>"))
+
+    strong, span = (F.regexp_replace("html", F.lit(CARD), dressed(tag)) for tag in ("strong", "span"))
+    df = pages(spark, sf_dir).withColumn("html", F.concat(strong, span))
+    path = (element("strong", class_is="n"),)
+    fields = [Field("first", path, "text"), Field("second", path, "text", 2), Field("last", path, "text", -1),
+              Field("second_last", path, "text", -2), Field("fourth_last", path, "text", -4),
+              Field("found", path, "text", "all"), Field("inside", (element("span", class_is="n"),), "text", "all")]
+    return extract_fields(df, fields, keep=["page_id"]).select(
+        "page_id", F.size("found").cast("bigint").alias("n_texts"), "first", "second", "last", "second_last", "fourth_last",
+        F.array_join("found", "|").alias("all_texts"), F.array_join("inside", "|").alias("in_spans"))
+
+
+@BOOK.query(f"""
+WITH {LINKS}
+SELECT page_id, pos::BIGINT AS pos, txt AS item, '<li class="n">' || regexp_extract(
+         regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')[pos], '>([^<]*)</a>', 1) || '</li>' AS outer_html,
+       txt AS cell, {decoded('href')} AS definition
+FROM links
+""")
+def left_out_ends(spark, sf_dir):
+    """Each link an item, a table row and a definition, all of whose ends are left out."""
+    def listed(tag, block):
+        cards = F.array_join(F.regexp_extract_all("html", F.lit(CARD), F.lit(0)), "")
+        return F.concat(F.lit(f"<{tag}>"), F.regexp_replace(cards, CARD, block), F.lit(f"</{tag}>"))
+
+    df = pages(spark, sf_dir).withColumn("html", F.concat(
+        listed("ul", '<li class="n">$2'), listed("table", "<tr><td>$2<td>x"), listed("dl", "<dt>$2<dd>$1"), F.lit("<p>after")))
+    fields = [Field("item", (element("li", class_is="n"),), "visible", "all"),
+              Field("outer_html", (element("li", class_is="n"),), "outer", "all"),
+              Field("cell", (element("tr"),), "visible", "all"),
+              Field("definition", (element("dd"),), "text", "all")]
+    df = extract_fields(df, fields, keep=["page_id"])
+    cells = F.transform("cell", lambda c: F.regexp_replace(c, " x$", ""))
+    return df.select("page_id", F.posexplode(F.arrays_zip("item", "outer_html", cells.alias("cell"), "definition")).alias("pos", "m")) \
+        .select("page_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "m.*")

@@ -30,10 +30,27 @@ PARTS_WORDS = ENDS_PARAGRAPH + ("br", "hr", "dl", "dt", "dd", "tr", "td", "th",
 
 # Elements that never hold one of their own kind; they end at the first closing tag.
 # The end of all others is found by counting.
-FLAT_TAGS = ("p", "a", "button", "form", "option", "select", "script", "style", "textarea", "title")
-
-# Elements whose own text is taken in document order across matches inside matches.
-NESTING_TAGS = ("div", "span", "li", "ul", "section", "article", "table", "*")
+FLAT_TAGS = ("p", "a", "button", "form", "select", "script", "style", "textarea", "title")
+
+# Tags whose end may be left out, and what an opening tag of theirs ends: the first open one of
+# ``ends`` after the last of ``within``, and all that is open above it.
+LEFT_OUT = {
+    "li": (("li",), ("ul", "ol", "menu", "dir", "table", "dl")),
+    "dt": (("dt", "dd"), ("dl", "table", "ul", "ol")),
+    "dd": (("dt", "dd"), ("dl", "table", "ul", "ol")),
+    "td": (("td", "th"), ("tr", "table")),
+    "th": (("td", "th"), ("tr", "table")),
+    "tr": (("tr", "td", "th"), ("thead", "tbody", "tfoot", "table")),
+    "thead": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
+    "tbody": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
+    "tfoot": (("thead", "tbody", "tfoot", "tr", "td", "th"), ("table",)),
+    "option": (("option",), ("optgroup", "select", "datalist")),
+    "optgroup": (("optgroup", "option"), ("select",)),
+}
+
+# Tags whose closing tag ends nothing but themselves.
+INLINE = ("a", "abbr", "b", "big", "cite", "code", "em", "font", "i", "label", "q", "s", "small", "span", "strong",
+          "sub", "sup", "tt", "u")
 
 # How deep an element may hold its own kind before levels are counted one by one.
 NESTED = 6
@@ -124,13 +141,113 @@ def readable(html: str) -> str:
     return f"regexp_replace(coalesce({html}, ''), {quote(hidden)}, '<!---->')"
 
 
+# ---- ends that are left out --------------------------------------------------------------------
+
+def _names(tags) -> str:
+    return "|".join(tags)
+
+
+def _open_after(open_: str, tags) -> str:
+    """What is open above the last of the tags; all that is open if none of them is."""
+    return f"regexp_replace({open_}, {quote(rf'^.*/(?:{_names(tags)});')}, '')"
+
+
+def _ended(above: str) -> str:
+    """The closing tags left out for the open tags ``above``, the last one first."""
+    names = f"reverse(filter(split({above}, ';'), e -> substr(e, 2) IN ({', '.join(map(quote, LEFT_OUT))})))"
+    return f"array_join(transform({names}, e -> concat('<', e, '>')), '')"
+
+
+def all_ended(html: str) -> str:
+    """The document with all ends written out that ``LEFT_OUT`` lets it leave out, and without closing tags
+    of these names that end nothing.
+
+    One walk over the tags. The state is the open tags as a string, '/ul;/li;', and the few places where
+    something changes: the number of a piece, what comes before it, and whether its tag goes.
+    """
+    changes = "cast(array() AS array<struct<at: int, ends: string, gone: boolean>>)"
+
+    def step(acc: str, p: str) -> str:
+        def opened(name: str) -> str:
+            entry = f"concat('/', {name}, ';')"
+
+            def after(cut: str) -> str:
+                """``cut`` is what the new tag ends."""
+                left = f"left({acc}.open, length({acc}.open) - length({cut}))"
+                return struct(open=f"concat({left}, {entry})", ends=_ended(cut), gone="false")
+
+            by_name = [(f"{name} IN ({', '.join(quote(t) for t, rule in LEFT_OUT.items() if rule == of)})",
+                        f"regexp_extract({_open_after(f'{acc}.open', of[1])}, {quote(rf'/(?:{_names(of[0])});.*$')}, 0)")
+                       for of in dict.fromkeys(LEFT_OUT.values())]
+            return case((_is_void(p), struct(open=f"{acc}.open", ends="''", gone="false")),
+                        otherwise=let(case(*by_name, otherwise="''"), after))
+
+        def closed(name: str) -> str:
+            entry = f"concat('/', {name}, ';')"
+            within = [(f"{name} IN ({', '.join(quote(t) for t, rule in LEFT_OUT.items() if rule[1] == bounds)})",
+                       _open_after(f"{acc}.open", bounds)) for bounds in dict.fromkeys(r[1] for r in LEFT_OUT.values())]
+
+            def in_scope(scope: str) -> str:
+                above = f"substring_index({scope}, {entry}, -1)"
+                left = f"left({acc}.open, length({acc}.open) - length({above}) - length({entry}))"
+                whole = struct(open=left, ends=_ended(above), gone="false")
+                alone = struct(open=f"concat({left}, {above})", ends="''", gone="false")
+                none = struct(open=f"{acc}.open", ends="''", gone=f"{name} IN ({', '.join(map(quote, LEFT_OUT))})")
+                return case((f"NOT contains({scope}, {entry})", none),
+                            (f"{name} IN ({', '.join(map(quote, INLINE))})", alone), otherwise=whole)
+
+            return let(case(*within, otherwise=f"{acc}.open"), in_scope)
+
+        now = let(_tag_name(p), lambda name: case(
+            (f"startswith({p}, '</')", closed(name)), otherwise=opened(name)))
+
+        def moved(n: str) -> str:
+            entry = struct(at=f"{acc}.at", ends=f"{n}.ends", gone=f"{n}.gone")
+            return struct(at=f"{acc}.at + 1", open=f"{n}.open", changes=case(
+                (f"{n}.ends <> '' OR {n}.gone", f"array_append({acc}.changes, {entry})"), otherwise=f"{acc}.changes"))
+
+        same = struct(at=f"{acc}.at + 1", open=f"{acc}.open", changes=f"{acc}.changes")
+        return case((f"NOT {p} RLIKE '^</?[a-zA-Z]'", same), otherwise=let(now, moved))
+
+    def written(ps: str) -> str:
+        def finish(acc: str) -> str:
+            def piece(p: str, i: str, change: str) -> str:
+                rest = case((f"{change}.gone", f"regexp_replace({p}, {quote(f'^</{_REST_OF_TAG}')}, '')"), otherwise=p)
+                return case((f"{change} IS NULL", p), otherwise=f"concat({change}.ends, {rest})")
+
+            marked = (f"transform({ps}, (p, i) -> " + let(
+                f"try_element_at(filter({acc}.changes, c -> c.at = i), 1)", lambda c: piece("p", "i", c)) + ")")
+            return f"concat(array_join({marked}, ''), {_ended(f'{acc}.open')})"
+
+        return fold(ps, struct(at="0", open="''", changes=changes), step, finish)
+
+    return let(f"split({html}, {quote('(?=</?[a-zA-Z])')})", written)
+
+
+def _with_ends(html: str, el: Element) -> str:
+    """The document; with the ends left out written out if the element's kind is one that leaves them out,
+    and this document does."""
+    if el.tag not in LEFT_OUT:
+        return html
+    ends, within = LEFT_OUT[el.tag]
+    one = rf"(?i:{el.tag})(?=[\s/>])"
+    # Well closed: as many closing as opening tags, and no opening tag right after another one.
+    closed_by = rf"<(?:(?i:{_names(ends)})(?=[\s/>])|/(?i:{_names(within)})(?=[\s>]))"
+    other = rf"[^<]++|<(?!/?(?i:{_names(dict.fromkeys((*ends, *within)))})(?=[\s/>]))"
+    unclosed = rf"<{one}{_REST_OF_TAG}(?:{other})*+{closed_by}"
+    return let(html, lambda h: case(
+        (f"NOT {h} RLIKE {quote(f'<{one}')}", h),
+        (f"regexp_count({h}, {quote(f'<{one}')}) = regexp_count({h}, {quote(f'</{one}')}) "
+         f"AND NOT {h} RLIKE {quote(unclosed)}", h), otherwise=all_ended(h)))
+
+
 # ---- elements ----------------------------------------------------------------------------------
 
 def _all(html: str, pattern: str, group: int = 0) -> str:
     return f"regexp_extract_all({html}, {quote(pattern)}, {group})"
 
 
-def _if_present(html: str, el: Element, search) -> str:
+def _if_present(html: str, el: Element, search, otherwise: str = NO_STRINGS) -> str:
     """Search only documents that hold the tested values at all; a plain substring test is far
     cheaper than a pattern."""
     values = [t.value for t in el.tests if t.value]
@@ -138,7 +255,7 @@ def _if_present(html: str, el: Element, search) -> str:
         return search(html)
     return let(html, lambda h: case(
         (" AND ".join(f"contains({h}, {quote(v)})" for v in values), search(h)),
-        otherwise=NO_STRINGS))
+        otherwise=otherwise))
 
 
 def opening_tags(html: str, el: Element) -> str:
@@ -370,6 +487,7 @@ def outer_html(html: str, el: Element, nested: bool = True) -> str:
         return children(html, el) if el.child else opening_tags(html, el)
     if _flat(el):
         return _if_present(html, el, lambda h: _all(h, f"{_open(el)}(?s:.*?){_end(el.tag)}"))
+    html = _if_present(html, el, lambda h: _with_ends(h, el), "''")
     found = children(html, el) if el.child else (_every if nested else _counted)(html, el)
     return each(found, lambda o: f"concat({o}, '</', {_tag_name(o)}, '>')")
 
@@ -380,6 +498,7 @@ def inner_html(html: str, el: Element, nested: bool = True) -> str:
         return each(outer_html(html, el), lambda _: "''")
     if _flat(el):
         return _if_present(html, el, lambda h: _all(h, f"{_open(el)}((?s:.*?)){_end(el.tag)}", 1))
+    html = _if_present(html, el, lambda h: _with_ends(h, el), "''")
     found = children(html, el) if el.child else (_every if nested else _counted)(html, el)
     return each(found, _without_first_tag)
 
@@ -448,9 +567,11 @@ def nested_text(outer: str, el: Element) -> str:
 
 def text_nodes(html: str, el: Element) -> str:
     """Own text nodes of every match, in document order."""
-    if el.tag in NESTING_TAGS and not el.child:
-        return each_flat(_counted(html, el), lambda o: nested_text(o, el))
-    return each_flat(inner_html(html, el), own_text)
+    if el.child or el.tag in FLAT_TAGS or el.tag in VOID_TAGS:
+        return each_flat(inner_html(html, el), own_text)
+    html = _if_present(html, el, lambda h: _with_ends(h, el), "''")
+    return each_flat(_counted(html, el), lambda o: case(
+        (f"substr({o}, 2) RLIKE {quote(_open(el))}", nested_text(o, el)), otherwise=own_text(_without_first_tag(o))))
 
 
 def visible_text(inner: str) -> str:

@@ -145,3 +145,98 @@ def test_children_of_matches_inside_matches_are_found(evaluate):
     doc = '<div class="u"><i>1</i><div class="u"><i>2</i></div></div>'
     assert select(evaluate, doc, E("div", class_is="u"), E("i", child=True), take="text") == ["1", "2"]
     assert select(evaluate, doc, E("div", class_is="u"), E("i"), take="text") == ["1", "2"]
+
+
+@pytest.mark.parametrize("tag", ["em", "h2", "strong", "td", "div", "span", "li", "dd"])
+def test_texts_of_matches_inside_matches_come_in_document_order(evaluate, tag):
+    doc = f"<{tag}>x<{tag}>y</{tag}>z</{tag}>" if tag not in H.LEFT_OUT else {
+        "td": "<table><tr><td>x<table><tr><td>y</td></tr></table>z</td></tr></table>",
+        "li": "<ul><li>x<ul><li>y</li></ul>z</li></ul>",
+        "dd": "<dl><dd>x<dl><dd>y</dd></dl>z</dd></dl>"}[tag]
+    assert select(evaluate, doc, E(tag), take="text") == ["x", "y", "z"]
+
+
+@pytest.mark.parametrize("doc, el, take, want", [
+    ("<ul><li>a<li>b</ul>", E("li"), "outer", ["<li>a</li>", "<li>b</li>"]),
+    ("<ul><li>a<li>b</ul>", E("li"), "visible", ["a", "b"]),
+    ("<ul><li>a<li>b</ul>c", E("ul"), "outer", ["<ul><li>a<li>b</ul>"]),
+    ("<ul><li>a<li>b", E("li"), "text", ["a", "b"]),
+    ("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>f", E("li"), "text", ["a", "b", "c", "d", "e"]),
+    ("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>f", E("li"), "visible", ["a b c d", "b", "c", "e"]),
+    ("<ul><li>a<ul><li>b</li></li></ul>c</li></ul>", E("li"), "visible", ["a b c", "b"]),
+    ("<ul><li class='k'>a<li>b<li class='k'>c</ul>", E("li", class_is="k"), "outer",
+     ["<li class='k'>a</li>", "<li class='k'>c</li>"]),
+    ("<dl><dt>a<dd>b<dd>c<dt>d<dd>e</dl>", E("dd"), "outer", ["<dd>b</dd>", "<dd>c</dd>", "<dd>e</dd>"]),
+    ("<dl><dt>a<dd>b<dl><dt>i<dd>j</dl>c<dt>d</dl>", E("dt"), "visible", ["a", "i", "d"]),
+    ("<table><tr><td>a<td>b<tr><th>c<td>d</table>e", E("tr"), "visible", ["a b", "c d"]),
+    ("<table><tr><td>a<td>b<tr><th>c<td>d</table>e", E("td"), "outer", ["<td>a</td>", "<td>b</td>", "<td>d</td>"]),
+    ("<table><thead><tr><th>h<tbody><tr><td>a</table>", E("tbody"), "visible", ["a"]),
+    ("<table><tr><td>x<table><tr><td>y</table>z<td>w</table>", E("td"), "visible", ["x y z", "y", "w"]),
+    ("<select><option value=1>a<option>b<optgroup><option>c</select>d", E("option"), "visible", ["a", "b", "c"]),
+    ("<div><ul><li>a<b>c</div>d", E("li"), "visible", ["ac"]),
+    ("<ul><li>a<span><div></span>b</div><li>c</ul>", E("li"), "visible", ["a b", "c"]),
+    ("<ul><li>a<li>b</ul>", E("li", child=True), "text", []),
+    ("<ul><LI>a<Li>b</UL>", E("li"), "visible", ["a", "b"]),
+])
+def test_ends_that_are_left_out(evaluate, doc, el, take, want):
+    assert select(evaluate, doc, el, take=take) == want
+
+
+def test_children_whose_end_is_left_out(evaluate):
+    doc = '<ul class="u"><li>a<li>b<ul><li>c</ul><li>d</ul>'
+    assert select(evaluate, doc, E("ul", class_is="u"), E("li", child=True), take="visible") == ["a", "b c", "d"]
+
+
+class Closing(HTMLParser):
+    """Items of lists by a stack of open tags, where </li> may be left out."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.items = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "li":
+            self.end("li", ("ul",))
+            self.items.append("")
+            self.open.append((tag, len(self.items) - 1))
+        else:
+            self.open.append((tag, None))
+
+    def handle_endtag(self, tag):
+        self.end(tag, ("ul",) if tag == "li" else ())
+
+    def end(self, tag, stops):
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:
+                del self.open[i:]
+                return
+            if self.open[i][0] in stops:
+                return
+
+    def handle_data(self, data):
+        for _, item in self.open:
+            if item is not None:
+                self.items[item] += data
+
+
+def random_list(rng, depth=0):
+    out = ["<ul>"]
+    for _ in range(rng.randint(0, 4)):
+        out.append("<li>" + rng.choice(["a", "b", "<div>c</div>", ""]))
+        if depth < 4 and rng.random() < 0.4:
+            out.append(random_list(rng, depth + 1) + rng.choice(["", "t"]))
+        out.append(rng.choice(["", "</li>"]))
+    return "".join(out) + "</ul>"
+
+
+def test_random_lists_agree_with_a_parser(evaluate):
+    rng = random.Random(7)
+    pages = [f"<div>{random_list(rng)}x{random_list(rng)}</div>" for _ in range(300)]
+    want = []
+    for page in pages:
+        parser = Closing()
+        parser.feed(page)
+        want.append(parser.items)
+    got = evaluate(matches("s", (E("li"),), "visible"), pages)
+    assert [["".join(t.split()) for t in page] for page in got] == want
+    assert sum(map(len, want)) > 800
