@@ -134,6 +134,36 @@ def rows_of_others(spark: SparkSession, path: str, since: datetime | None) -> tu
     return None if last is None else (rows, last)
 
 
+def merge_batches(spark: SparkSession, path: str, partition_by: Sequence[str] = (), fan_in: int = FAN_IN) -> None:
+    """Merge the folders of old batches, ``fan_in`` of a stream and level at a time, so that few are left.
+
+    The newest batch of each stream, the only one that can be stored again, stays as it is. Readers that go by
+    the commits see the same rows before, meanwhile and after.
+    """
+    commits = Commits(spark, f"{path}/_commits")
+    while True:
+        groups: dict[tuple, list] = {}
+        live = commits.live()
+        newest = {r.stream: r.batch_id for r in live}  # the last one in order
+        for r in live:
+            if r.batch_id < newest[r.stream]:
+                groups.setdefault((r.stream, r.level or 0), []).append(r)
+        full = [(of, rows[:fan_in]) for of, rows in groups.items() if len(rows) >= fan_in]
+        if not full:
+            return
+        for (stream, level), rows in full:
+            last = max(r.batch_id for r in rows)
+            folder = f"{batch_folder(last, stream)}/try={fresh_name()}"
+            filled = [f"{path}/{r.folder}" for r in rows if r.n_rows]
+            if filled:
+                df = spark.read.option("basePath", path).parquet(*filled).drop("stream", "batch_id", "try")
+                df.write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
+            commits.add(folder, [r.folder for r in rows], stream=stream, batch_id=last, level=level + 1,
+                        n_rows=sum(r.n_rows for r in rows))
+            for r in rows:
+                remove(spark, f"{path}/{r.folder}")
+
+
 def insert_rows(new: DataFrame, path: str, key: str, order: Sequence[str], batch_id: int,
                 stream: str | None = None, others: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET,
                 fan_in: int = FAN_IN) -> None:
