@@ -13,8 +13,8 @@ from pageloom.operators.settle import settle
 from pageloom.session import scratch_dir
 from pageloom.sources import queues
 from pageloom.sources.pages import fetched_pages
-from pageloom.streaming.consume import consume, insert_once, publish
-from pageloom.streaming.retry import retry_stream
+from pageloom.streaming.consume import consume, insert_once, once_per_key, publish
+from pageloom.streaming.retry import number_waiting, retry_stream
 
 BOOK = Book()
 
@@ -70,6 +70,38 @@ def stream_retry(spark, sf_dir):
     return stored.select("event_id", F.col("user_id").cast("string").alias("url"), "action")
 
 
+def out_of_order(events, path, files=8):
+    """The events in files by time, every second one written before the one that it follows."""
+    marks = events.agg(F.percentile_approx(F.col("ts").cast("long"), [k / files for k in range(1, files)])).first()[0]
+    part = F.size(F.filter(F.array(*map(F.lit, marks)), lambda m: m < F.col("ts").cast("long")))
+    for k in range(files):
+        events.filter(part == k ^ 1).coalesce(1).write.mode("append").parquet(path)
+
+
+@BOOK.query(retrying._DEFERRED)
+def stream_retry_late(spark, sf_dir):
+    """Attempts that arrive out of order: the same decisions as in order."""
+    out = scratch_dir(spark, "stream")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
+    out_of_order(events, f"{out}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    rule = ("user_id", retrying.ORDER, retrying.failed(), out, f"{out}/progress", retrying.MAX_RETRIES)
+    retry_stream(stream, *rule, lateness="8 days").awaitTermination()
+    number_waiting(spark, events.schema, *rule)
+    stored = spark.read.parquet(f"{out}/attempts").filter(F.col("action") == "defer")
+    return stored.select("event_id", F.col("user_id").cast("string").alias("url"), "action")
+
+
+@BOOK.query("SELECT user_id, 1::BIGINT AS n FROM (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL)")
+def stream_once_per_key(spark, sf_dir):
+    """Each key once within a time that all events lie in."""
+    out = scratch_dir(spark, "stream")
+    stream = _stream(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    publish(once_per_key(stream, "user_id", "ts", "60 days"), f"{out}/rows", f"{out}/progress").awaitTermination()
+    return spark.read.parquet(f"{out}/rows").groupBy("user_id").agg(F.count("*").alias("n"))
+
+
 @BOOK.query(f"""
 WITH {LINKS}
 SELECT href AS url, CASE WHEN contains(href, 'e') THEN 'ack' ELSE 'error' END AS settled,

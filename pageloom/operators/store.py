@@ -63,7 +63,7 @@ def append_documents(docs: DataFrame, path: str, kind: str = "parquet",
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
-                kind: str = "parquet", stream: str | None = None) -> None:
+                kind: str = "parquet", stream: str | None = None, upto: datetime | None = None) -> None:
     """Store a batch of a stream, or store it again in place of what an earlier try has left.
 
     Every try writes a folder of its own, which counts from its commit on; the folder it takes the place of
@@ -79,7 +79,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
         writer = writer.partitionBy(*partition_by)
     writer.save(f"{path}/{folder}")
     n_rows = spark.read.format(kind).schema(df.schema).load(f"{path}/{folder}").count()
-    commits.add(folder, old, stream=stream, batch_id=batch_id, n_rows=n_rows)
+    commits.add(folder, old, stream=stream, batch_id=batch_id, n_rows=n_rows, upto=upto)
     for f in old:
         remove(spark, f"{path}/{f}")
 

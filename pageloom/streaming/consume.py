@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,3 +60,27 @@ def insert_once(stream: DataFrame, key: str, order: Sequence[str], path: str, ch
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def once_per_key(stream: DataFrame, key: str, time: str, within: str, known: int = 100_000) -> DataFrame:
+    """The rows of a stream whose key has not come up ``within`` ('7 days') of event time, in memory of
+    bounded size: what is known of a key expires once the watermark has passed its time and that much more.
+
+    Where ``insert_once`` asks the store, whatever its age, this asks only the state, so it stores nothing
+    and a key may come again later. Rows without a key are left out. A task passes on each key once at most
+    before the shuffle (as long as it has seen no more than ``known`` keys), so a hot key is no hot task.
+    """
+    def first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for b in batches:
+            keep = []
+            for value in b.column(key).to_pylist():
+                keep.append(value not in seen)
+                seen.add(value)
+            if len(seen) > known:
+                seen = set()
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    rows = stream.filter(stream[key].isNotNull())
+    return (rows.mapInArrow(first_of_task, rows.schema).withWatermark(time, within)
+            .dropDuplicatesWithinWatermark([key]))

@@ -11,8 +11,8 @@ from pageloom.catalogue import streams
 from pageloom.operators import retry, route, settle, store
 from pageloom.operators.joins import hot_keys, skew_left_join
 from pageloom.sources import frontier, json_docs, queues, seeds
-from pageloom.streaming.consume import consume, insert_once, publish
-from pageloom.streaming.retry import retry_stream
+from pageloom.streaming.consume import consume, insert_once, once_per_key, publish
+from pageloom.streaming.retry import number_waiting, retry_stream
 
 T0 = datetime(2024, 1, 1)
 ORDER = ["attempt_ts", "n_records"]
@@ -192,6 +192,61 @@ def test_retry_stream_over_batches_equals_batch(spark, tmp_path):
     assert sum(r.action == "defer" for r in got) > 3
 
 
+def test_attempts_out_of_order_are_numbered_in_order(spark, tmp_path):
+    rng = random.Random(6)
+    runs = {f"k{i}": "".join(rng.choice("xxxxo") for _ in range(40)) for i in range(5)}
+    whole = attempts(spark, runs)
+    progress, out, source = str(tmp_path / "p"), str(tmp_path / "out"), str(tmp_path / "in")
+    rule = ("origin_url", ORDER, failed(), out, progress, 2)
+    for lo, hi in ((10, 20), (0, 10), (25, 33), (20, 25), (33, 40)):  # never later than 25 minutes
+        write(whole.filter(F.col("n_records").between(lo, hi - 1)), source, "part")
+        stream = spark.readStream.schema(whole.schema).parquet(f"{source}/part")
+        retry_stream(stream, *rule, ranges=3, lateness="25 minutes").awaitTermination()
+    stored = spark.read.parquet(f"{out}/attempts")
+    assert 0 < stored.count() < 200  # the last ones wait
+    for _ in range(2):  # again: nothing is left
+        number_waiting(spark, whole.schema, *rule)
+    want = retry.decide(retry.number_failures(whole, "origin_url", ORDER, failed()), 2)
+    key = ["origin_url", "n_records", "action"]
+    got = spark.read.parquet(f"{out}/attempts").select(*key).collect()
+    assert sorted(got) == sorted(want.select(*key).collect())
+    # The stream goes on with the runs that are open.
+    more = spark.createDataFrame([("k0", T0 + timedelta(hours=9, minutes=i), 404, 40 + i, "empty") for i in range(3)],
+                                 schemas.FETCH_ATTEMPT)
+    write(more, source, "part")
+    retry_stream(spark.readStream.schema(whole.schema).parquet(f"{source}/part"), *rule).awaitTermination()
+    want = retry.decide(retry.number_failures(whole.union(more), "origin_url", ORDER, failed()), 2)
+    got = spark.read.parquet(f"{out}/attempts").select(*key).collect()
+    assert sorted(got) == sorted(want.select(*key).collect())
+
+
+def test_keys_come_once_while_they_are_remembered(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema, known = "k string, at timestamp, n int", []
+    days = [("a", 0), ("b", 0), ("a", 0), ("c", 1), ("a", 1), (None, 1), ("d", 40), ("e", 90), ("a", 91)]
+    for n, (key, day) in enumerate(days):
+        write(spark.createDataFrame([(key, T0 + timedelta(days=day, minutes=n), n)] * 3, schema), source, "part")
+        stream = spark.readStream.schema(schema).parquet(f"{source}/part")
+        query = publish(once_per_key(stream, "k", "at", "2 days"), out, str(tmp_path / "p"))
+        query.awaitTermination()
+        known += [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    got = sorted((r.k, r.n) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 0), ("a", 8), ("b", 1), ("c", 3), ("d", 6), ("e", 7)]  # a is forgotten after its time
+    assert max(known) <= 4 and known[-1] <= 2
+
+
+def test_a_hot_key_is_one_row_a_task_before_the_shuffle(spark, tmp_path):
+    spark.range(60_000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) AS k", "timestamp_seconds(id) AS at") \
+        .repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k string, at timestamp").parquet(str(tmp_path / "in"))
+    query = publish(once_per_key(stream, "k", "at", "2 days"), str(tmp_path / "out"), str(tmp_path / "p"))
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 51
+    taken = sum(s["numRowsUpdated"] + s["customMetrics"].get("numDroppedDuplicateRows", 0)
+                for p in query.recentProgress for s in p["stateOperators"])
+    assert 51 <= taken <= 51 * 8
+
+
 def test_replayed_batch_replaces_its_rows(spark, tmp_path):
     path = str(tmp_path / "rows")
     for _ in range(2):
