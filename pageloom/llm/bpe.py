@@ -9,7 +9,7 @@ table of bounded size.
 Ids are those of a tokenizers file of this kind (byte level, no prefix space, no normaliser): its
 special strings are single ids wherever they occur. Ids travel as little-endian unsigned 32-bit
 integers. Null is the empty text, which has no ids and decodes to itself; texts of any length are
-handled a piece at a time, cut where no word can span. Rows that repeat get equal results.
+handled a piece at a time, cut where no word can span. Rows that repeat get equal results; no rows give none.
 """
 
 from __future__ import annotations
@@ -219,7 +219,7 @@ class Encoder:
                 yield from map(self.find, self.pieces(part))
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known, new = {}, list(words)
         self.known.update(zip(new, self.vocabulary.encode_words(new)[0], strict=True))

@@ -29,29 +29,46 @@ def in_training(name: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(name).cast("string")) % 5 != 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int,
+                    max_bytes: int = 1 << 28) -> DataFrame:
     """(doc_id, text, label) of at most ``max_rows`` labelled documents of the training part,
-    those with the smallest hashes of their ids. The chosen labels are at most ``max_rows`` pairs
-    of numbers, which bounds what is broadcast. An id with several labels takes the largest, one with
-    several documents the text with the smallest hash; they are combined before the shuffle."""
+    those with the smallest hashes of their ids, as many of them as together have ``max_bytes`` of text at
+    most (but one). The chosen labels are at most ``max_rows`` pairs of numbers, which bounds what is
+    broadcast. An id with several labels takes the largest, one with several documents the text with the
+    smallest hash; they are combined before the shuffle."""
     chosen = (labels.where(in_training("doc_id") & F.col(label).isNotNull())
               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
               .agg(F.max(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
-    return (texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
-            .agg(one.alias("of"), F.max("label").alias("label")).select("doc_id", "of.text", "label"))
+    found = saved(texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+                  .agg(one.alias("of"), F.max("label").alias("label")).select("doc_id", "of.text", "label"), "labelled")
+    size = F.octet_length("text")
+    if (found.agg(F.sum(size)).first()[0] or 0) <= max_bytes:
+        return found
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    fits = (found.select("doc_id", size.alias("size"))  # max_rows pairs of numbers
+            .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+            .where((F.col("before") == 0) | (F.col("before") + F.col("size") <= max_bytes)).select("doc_id"))
+    return found.join(F.broadcast(fits), "doc_id")
+
+
+def whole_rows(docs: DataFrame):
+    """All columns of ``docs`` as one, ``own``: no column that an operator adds clashes with one of them, whatever
+    its name. ``own.*`` gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own")
 
 
 def one_of_each(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``chosen`` (doc_id, text_key) names, each once, with all columns;
     text_key is xxhash64 of the text."""
-    keep = saved(chosen.select(F.col("doc_id").alias("_keep_id"), F.col("text_key").alias("_keep_text")), "chosen")
-    own = docs.withColumn("_own_text", F.xxhash64(whole_text()))
-    stay = own.join(keep.hint("merge"), (F.col("_own_text") == F.col("_keep_text"))
-                    & F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")))
-    return stay.dropDuplicates(["_keep_id", "_keep_text"]).select(*[f"`{c}`" for c in docs.columns])
+    keep = saved(chosen.select(F.col("doc_id").alias("keep_id"), F.col("text_key").alias("keep_text")), "chosen")
+    rows = docs.select(whole_rows(docs), F.col("doc_id").cast("long").alias("own_id"),
+                       F.xxhash64(whole_text()).alias("own_text"))
+    stay = rows.join(keep.hint("merge"), (F.col("own_text") == F.col("keep_text"))
+                     & F.col("own_id").eqNullSafe(F.col("keep_id")))
+    return stay.dropDuplicates(["keep_id", "keep_text"]).select("own.*")
 
 
 def running_totals(df: DataFrame, order: list[str], value: str, out: str) -> DataFrame:

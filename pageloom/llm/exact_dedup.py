@@ -1,7 +1,8 @@
 """Exact deduplication by skew-safe combining.
 
 Texts are equal when they are identical after lower-casing A-Z; null is the empty text. Every stage
-groups by the text itself, so two texts that share a digest are never taken for one:
+of merging groups by the text itself, so two texts that share a digest are never taken for one (only the way
+back from classes to documents goes by SHA-256 alone):
 
 1. each task merges the equal texts it has read (the map side of the first grouping);
 2. what the tasks found meets by digest, text and a salt taken from the task's number, so that a text
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import saved, whole_text
+from pageloom.llm.common import saved, whole_rows, whole_text
 
 SALTS = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,11 +60,11 @@ def exact_groups(docs: DataFrame, digest=sha256, salts: int = SALTS) -> DataFram
 def deduplicate(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, one of each different text, with all their columns."""
     keep = saved(exact_groups(docs, salts=salts).where("kept")
-                 .groupBy(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-                 .agg(F.count("*").alias("_rows")), "kept")
-    own = docs.withColumn("_own_sha", F.sha2(normalised(whole_text()), 256))
-    stay = own.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id"))
-                    & (F.col("_own_sha") == F.col("_keep_sha")))
-    if not keep.where("_rows > 1").isEmpty():  # whole rows repeat: one of them is enough
-        stay = stay.dropDuplicates(["_keep_id", "_keep_sha"])
-    return stay.select(*[f"`{c}`" for c in docs.columns])
+                 .groupBy(F.col("doc_id").alias("keep_id"), F.col("text_sha256").alias("keep_sha"))
+                 .agg(F.count("*").alias("keep_rows")), "kept")
+    rows = docs.select(whole_rows(docs), F.col("doc_id").cast("long").alias("own_id"),
+                       F.sha2(normalised(whole_text()), 256).alias("own_sha"))
+    stay = rows.join(keep, F.col("own_id").eqNullSafe(F.col("keep_id")) & (F.col("own_sha") == F.col("keep_sha")))
+    if not keep.where("keep_rows > 1").isEmpty():  # whole rows repeat: one of them is enough
+        stay = stay.dropDuplicates(["keep_id", "keep_sha"])
+    return stay.select("own.*")

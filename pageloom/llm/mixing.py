@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import running_totals, saved, whole_text
+from pageloom.llm.common import running_totals, saved, whole_rows, whole_text
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2.0, "mix"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,9 +26,9 @@ def words(text):
     return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
-def chance(doc_id, seed: str):
-    """Even in [0, 1): 52 bits of the hash of seed and id."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def chance(doc_id, seed: str, text):
+    """Even in [0, 1): 52 bits of the hash of seed and id, or of the text where there is no id."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.md5(text))))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
 
 
@@ -58,10 +58,11 @@ def planned(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed=SEED)
     """One row per document: doc_id, size, source_size, target, copies, taken."""
     sizes = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                               F.col("source").cast("string").alias("source"),
-                              words(whole_text()).alias("size")), "sizes")
+                              words(whole_text()).alias("size"),
+                              chance(F.col("doc_id").cast("long"), seed, whole_text()).alias("chance")), "sizes")
     targets = saved(source_targets(sizes, weights, share, most), "targets").withColumnRenamed("source", "_of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    copies = F.floor("rate") + (chance(F.col("doc_id"), seed) < F.col("rate") - F.floor("rate")).cast("int")
+    copies = F.floor("rate") + (F.col("chance") < F.col("rate") - F.floor("rate")).cast("int")
     return (sizes.join(targets, F.col("source").eqNullSafe(F.col("_of")))
             .withColumn("rate", rate).withColumn("copies", copies.cast("int"))
             .select("doc_id", "size", "source_size", "target", "copies",
@@ -74,11 +75,11 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST, seed=SEED) -
                               words(whole_text()).alias("size"))
                   .groupBy("source").agg(F.sum("size").alias("size")), "sizes")
     targets = (saved(source_targets(sizes, weights, share, most), "targets")
-               .select(F.col("source").alias("_mix_of"), "source_size", "target")
-               .select("_mix_of", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
-                       .otherwise(0.0).alias("_mix_rate")))
-    extra = (chance(F.col("doc_id").cast("long"), seed) < F.col("_mix_rate") - F.floor("_mix_rate")).cast("int")
-    return (docs.join(targets, F.col("source").cast("string").eqNullSafe(F.col("_mix_of")))
-            .withColumn("_mix_copy", F.explode(F.array_repeat(
-                F.lit(1), (F.floor("_mix_rate") + extra).cast("int"))))
-            .select(*[f"`{c}`" for c in docs.columns]))
+               .select(F.col("source").alias("mix_of"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
+                       .otherwise(0.0).alias("mix_rate")))
+    rows = docs.select(whole_rows(docs), F.col("source").cast("string").alias("own_source"),
+                       chance(F.col("doc_id").cast("long"), seed, whole_text()).alias("own_chance"))
+    extra = (F.col("own_chance") < F.col("mix_rate") - F.floor("mix_rate")).cast("int")
+    return (rows.join(targets, F.col("own_source").eqNullSafe(F.col("mix_of")))
+            .withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), (F.floor("mix_rate") + extra).cast("int"))))
+            .select("own.*"))

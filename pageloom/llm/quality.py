@@ -7,7 +7,7 @@ texts.
 
 An empty or null text has all statistics 0 and the score of its rules. Rows that repeat get equal
 scores. If the training part has no label, all scores are 0.5; if it has one kind only, they are its
-smoothed share.
+smoothed share. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pageloom.llm.common import in_training, labelled_sample, whole_text
+from pageloom.llm.common import in_training, labelled_sample, whole_rows, whole_text
 
 MAX_ROWS, TREES, DEPTH, BINS, LASSO, THRESHOLD = 20_000, 30, 3, 32, 2e-3, 0.3
 
@@ -169,7 +169,6 @@ def accepted(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
     """The rows of ``docs`` that the classifier accepts. The one-row generator keeps Spark from
     copying the statistics into the filter, once for every rule."""
     model = fit(docs, labels, max_rows)
-    wide = with_statistics(docs, whole_text(), "_quality_")
-    scored = wide.select(*[f"`{c}`" for c in docs.columns],
-                         F.explode(F.array(score(model, "_quality_"))).alias("_quality_score"))
-    return scored.where(F.col("_quality_score") >= threshold).drop("_quality_score")
+    wide = with_statistics(docs.select(whole_rows(docs), whole_text().alias("text")), F.col("text"), "own_")
+    scored = wide.select("own", F.explode(F.array(score(model, "own_"))).alias("score"))
+    return scored.where(F.col("score") >= threshold).select("own.*")

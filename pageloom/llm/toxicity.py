@@ -1,12 +1,12 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 A text's features are the words, the pairs of neighbours and the pairs with one word between, each
-hashed into 2^bits slots and counted once. Slices of a bounded sample of labelled texts (``max_rows``)
-train apart, with rates per coordinate and an L1 penalty that leaves most weights at zero; the mean of
+hashed into 2^bits slots and counted once. Slices of a bounded sample of labelled texts (``max_rows``, and the
+``max_bytes`` of ``labelled_sample``) train apart, with rates per coordinate and an L1 penalty that leaves most weights at zero; the mean of
 their weights, at most 2^bits and in fact some thousands, goes out with the scoring function.
 
 A text without words, or null, scores as the intercept alone says. Rows that repeat get equal scores.
-If the training part has no label, all scores are 0.5.
+If the training part has no label, all scores are 0.5. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -63,8 +63,9 @@ def train(slots: list[np.ndarray], y: np.ndarray, bits: int, epochs: int = EPOCH
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
 
     def weights(i):
-        w = -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
-        return np.where(np.abs(z[i]) <= np.where(i == 1 << bits, -1, L1), 0.0, w)
+        l1 = np.where(i == 1 << bits, 0.0, L1)  # the intercept pays no penalty
+        w = -(z[i] - np.sign(z[i]) * l1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
+        return np.where(np.abs(z[i]) <= l1, 0.0, w)
 
     for _ in range(epochs):
         for s, label in zip(slots, y, strict=True):
