@@ -263,3 +263,21 @@ def agency_documents(spark, sf_dir):
         F.sum(F.coalesce(F.size("Realtor_Team"), F.lit(0))).cast("bigint").alias("n_team"),
         F.sum(F.size("Realtor_Sold_Ads")).cast("bigint").alias("n_sold"),
         F.sum(F.coalesce(F.size("Realtor_Selling_Ads"), F.lit(0))).cast("bigint").alias("n_sale"))
+
+
+@BOOK.query(f"""
+WITH {LINKS},
+s AS (SELECT page_id, href, first(txt ORDER BY pos) AS txt, min(pos) AS pos FROM links GROUP BY page_id, href)
+SELECT s.page_id, {decoded('href')} AS url, 'vend ' || trim(txt) AS description,
+       CASE WHEN regexp_matches(href, '[aeiou]$') THEN '/p' || {decoded('href')} || '.jpg' END AS picture,
+       0::BIGINT AS n_dropped
+FROM s WHERE s.page_id % 9 <> 0
+""")
+def agency_sales_whole(spark, sf_dir):
+    """Sale ads, some without a picture, each from its own part of the page."""
+    pages = D.agency(spark, sf_dir)
+    picture = '<div class="c-pa-pic "><div class="c-pa-img"><img src="/p[^"]*[^aeiou"]\\.jpg"></div></div>'
+    pages = pages.withColumn("html", F.regexp_replace("html", F.lit(picture), F.lit("")))
+    profiles = details.usable(details.agencies(pages, keep=("page_id",), whole_cards=True))
+    return profiles.select("page_id", F.explode("Realtor_Ads_selling_infos").alias("s"), F.col("n_sales_dropped").cast("bigint").alias("n_dropped")) \
+        .select("page_id", "s.*", "n_dropped")

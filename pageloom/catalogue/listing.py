@@ -261,3 +261,20 @@ def ads_by_host(spark, sf_dir):
     return (found.filter(F.col("outcome") == "ok")
             .groupBy(F.expr(U.host("url")).alias("host"))
             .agg(F.count("*").alias("n_pages"), F.sum("n_records").cast("bigint").alias("n_ads")))
+
+
+@BOOK.query(f"""
+WITH {LINKS}, {_PRICED}
+SELECT page_id, pos::BIGINT AS pos, 'id' || href AS ad_id, CASE WHEN priced THEN txt || ' €' END AS price,
+       'Paris ' || txt AS city, 0::BIGINT AS n_dropped
+FROM cards
+""")
+def luxury_cards_by_driver(spark, sf_dir):
+    """Luxury cards, some without a price, on pages that name no element around a card."""
+    pages = D.luxury_listing(spark, sf_dir)
+    price = '<p class="annonceItemPrice">[^<]*[^aeiou<] €</p>'
+    pages = pages.withColumn("html", F.regexp_replace("html", F.lit(price), F.lit("")))
+    found = discover(pages, _LUXURY, "by_driver")
+    return cards_with_position(found, keep=("page_id", "n_dropped")).select(
+        "page_id", F.col("pos").cast("bigint").alias("pos"), F.col("AdsWebId").alias("ad_id"), F.col("AdsPrice").alias("price"),
+        F.col("AdsCity").alias("city"), F.col("n_dropped").cast("bigint").alias("n_dropped"))

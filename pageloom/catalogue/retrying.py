@@ -173,11 +173,11 @@ FROM (SELECT *, count(*) FILTER (event_type = 'view') OVER (PARTITION BY user_id
              max(value) OVER (PARTITION BY user_id) AS bad FROM events)
 """)
 def settle_repeated_messages(spark, sf_dir):
-    """Many messages per id, the heaviest ids salted; outcomes are per id."""
+    """Many messages per id, those of the heaviest ids left where they are; outcomes are per id."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     key = F.col("user_id").cast("string").alias("correlation_id")
     messages = events.select(key, F.lit("u").alias("url"), "event_id")
     outcomes = events.filter(F.col("user_id") % 10 != 0).select(
         key, (F.col("value") > 60).cast("int").alias("errors"))
-    return settle.settle(messages, outcomes, F.col("event_id"), hot_rows=70) \
+    return settle.settle(messages, outcomes, hot_rows=70) \
         .select("correlation_id", "event_id", "settled")

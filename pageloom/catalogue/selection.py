@@ -12,7 +12,8 @@ from pageloom.functions.html import element
 from pageloom.operators import specs as S
 from pageloom.operators.extract import Field, extract_fields
 from pageloom.plans.steps import apply_steps, identity
-from pageloom.sources.frontier import distinct_requests
+from pageloom.session import scratch_dir
+from pageloom.sources.frontier import distinct_requests, unseen_requests
 
 BOOK = Book()
 
@@ -250,3 +251,29 @@ def left_out_ends(spark, sf_dir):
     cells = F.transform("cell", lambda c: F.regexp_replace(c, " x$", ""))
     return df.select("page_id", F.posexplode(F.arrays_zip("item", "outer_html", cells.alias("cell"), "definition")).alias("pos", "m")) \
         .select("page_id", (F.col("pos") + 1).cast("bigint").alias("pos"), "m.*")
+
+
+@BOOK.query(f"""
+WITH {LINKS}, r AS (SELECT 'https://www.example.com' || href AS u, page_id % 10 = 0 AS is_retry FROM links)
+SELECT u || '?a=1&b=' || n AS url, 0::BIGINT AS retry, 1::BIGINT AS n
+FROM (SELECT DISTINCT u FROM r WHERE NOT is_retry), (VALUES ('%2F'), ('~')) v(n)
+UNION ALL
+SELECT u || '?a=1&b=' || n, 1::BIGINT, count(*)::BIGINT FROM r, (VALUES ('%2F'), ('~')) v(n) WHERE is_retry GROUP BY u, n
+""")
+def distinct_crawl(spark, sf_dir):
+    """Requests of two batches, each URL written differently every time: one per canonical URL over both."""
+    df = extract_fields(pages(spark, sf_dir), S.PLAIN_PAGE, keep=["page_id"])
+    links = df.select(F.explode("link_url").alias("link"), (F.col("page_id") % 10 == 0).alias("is_retry"), "page_id")
+    n = F.col("page_id") % 4
+    site = F.when(n == 0, "https://www.example.com").when(n == 1, "HTTPS://WWW.Example.com").when(n == 2, "https://www.example.com:443") \
+        .otherwise("https://WWW.example.com")
+    path, out = scratch_dir(spark, "crawl"), []
+    for batch, (slash, tilde) in enumerate((("%2f", "%7E"), ("%2F", "~"))):
+        value = F.explode(F.array(F.lit(slash), F.lit(tilde)))
+        requests = links.filter(F.pmod("page_id", F.lit(3)) != batch).select("link", "is_retry", "page_id", value.alias("v"))
+        url = F.when(n % 2 == 0, F.concat(site, "link", F.lit("?b="), "v", F.lit("&a=1#top"))) \
+            .otherwise(F.concat(site, "link", F.lit("?a=1&&b="), "v"))
+        out.append(unseen_requests(requests.select(url.alias("url"), "is_retry", "page_id"), F.col("is_retry"), path, batch))
+    both = out[0].unionByName(out[1]).dropDuplicates(["canonical_url", "is_retry", "page_id"])
+    return both.groupBy(F.col("canonical_url").alias("url"), F.col("is_retry").cast("bigint").alias("retry")) \
+        .agg(F.count("*").alias("n"))

@@ -13,7 +13,7 @@ from pageloom.operators.settle import settle
 from pageloom.session import scratch_dir
 from pageloom.sources import queues
 from pageloom.sources.pages import fetched_pages
-from pageloom.streaming.consume import consume, insert_once, once_per_key, publish
+from pageloom.streaming.consume import consume, insert_once, once_per_key, publish, runs_so_far
 from pageloom.streaming.retry import number_waiting, retry_stream
 
 BOOK = Book()
@@ -181,3 +181,20 @@ def stream_luxury_queue(spark, sf_dir):
 @BOOK.query(_QUEUE + "1")
 def stream_agency_queue(spark, sf_dir):
     return consumed(spark, sf_dir, queues.agency_profiles)[0]
+
+
+@BOOK.query("""
+SELECT count(*)::BIGINT AS n_lines, (count(*) FILTER (event_type = 'error'))::BIGINT AS n_errors,
+       epoch(min(ts))::BIGINT AS started, epoch(max(ts))::BIGINT AS finished
+FROM events
+""")
+def stream_run_log(spark, sf_dir):
+    """What a run has done so far, counted batch by batch as it writes."""
+    out = scratch_dir(spark, "stream")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    events.repartition(3, "event_id").write.parquet(f"{out}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    settled = lambda b: b.withColumn("settled", F.when(F.col("event_type") == "error", "error").otherwise("ok"))
+    consume(stream, settled, f"{out}/rows", f"{out}/progress", run_log=f"{out}/runs", time="ts").awaitTermination()
+    return runs_so_far(spark, f"{out}/runs").select(
+        "n_lines", "n_errors", F.unix_seconds("started_at").alias("started"), F.unix_seconds("finished_at").alias("finished"))

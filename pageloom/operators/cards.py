@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pageloom import schemas
 from pageloom.functions import html as H
+from pageloom.functions.areas import areas
 from pageloom.functions.expr import each, let
 from pageloom.operators.classify import listing_outcome, page_flags
 from pageloom.operators.extract import computed_once, matches, value
@@ -52,10 +53,11 @@ def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card",
     """One row per listing page: its flags, outcome, reason and the array of its records.
 
     ``positional`` extracts each field over the whole page and zips by position, so a card that
-    lacks a field shifts the later ones. ``per_card`` extracts inside each card. Without records
-    only the cards are found and counted. The body does not leave this narrow stage.
+    lacks a field shifts the later ones. ``per_card`` extracts inside each card. ``by_driver`` does so, too, where
+    no element around a card is known: the matches of the driver tell where one card ends and the next one
+    begins. Without records only the cards are found and counted. The body does not leave this narrow stage.
     """
-    if alignment not in ("positional", "per_card"):
+    if alignment not in ("positional", "per_card", "by_driver"):
         raise ValueError(f"unknown alignment {alignment!r}")
     flagged = page_flags(pages, rule="listing", domain=spec.domain)
     base = [c for c in flagged.columns if c not in ("html", "rendered_html")]
@@ -73,9 +75,14 @@ def discover(pages: DataFrame, spec: Listing, alignment: str = "per_card",
             {f.name: f.post(f"{card}.{f.name}") if f.post else f"{card}.{f.name}"
              for f in spec.fields}, spec))
     else:
-        if spec.card is None:
-            raise ValueError("this listing names no card element; give one or use 'positional'")
-        df = df.selectExpr(*base, f"{H.outer_html('_body', spec.card)} AS _cards")
+        if alignment == "by_driver":
+            first = {f.name: f.path[0] for f in spec.fields}
+            cards = areas("_body", first.pop(spec.driver), others=list(first.values()))
+        elif spec.card is None:
+            raise ValueError("this listing names no card element; give one or use 'positional' or 'by_driver'")
+        else:
+            cards = H.outer_html("_body", spec.card)
+        df = df.selectExpr(*base, f"{cards} AS _cards")
         counts = {"n_cards": "size(_cards)", "n_records": "size(_cards)"}
         records = each("_cards", lambda card: _record(
             {f.name: value(f, matches(card, f.path, f.take)) for f in spec.fields}, spec))

@@ -22,14 +22,15 @@ class Field(NamedTuple):
     """One extracted column.
 
     take: ``text`` own text nodes, ``visible`` rendered text, ``outer`` outer HTML,
-          ``@name`` attribute of the element itself, ``//@name`` of it and everything below.
+          ``@name`` attribute of the element itself, ``//@name`` of it and everything below,
+          or a function of the document.
     pick: ``first``, ``all``, ``join``, a number (1-based, negative from the end), or a function
           of the array expression.
     post: applied to the picked value.  required: NULL after picking fails the page.
     """
     name: str
     path: tuple[H.Element, ...]
-    take: str
+    take: str | Rule
     pick: str | int | Rule = "first"
     post: Rule | None = None
     required: bool = False
@@ -56,8 +57,10 @@ def _take(fragment: str, target: H.Element, take: str) -> str:
     raise ValueError(f"unknown take {take!r}")
 
 
-def matches(document: str, path: Sequence[H.Element], take: str) -> str:
+def matches(document: str, path: Sequence[H.Element], take: str | Rule) -> str:
     """All values, in document order: narrow to each outer step, then take at the last."""
+    if callable(take):
+        return take(document)
     if len(path) == 1:
         return _take(document, path[0], take)
     # What lies below a match inside a match lies below the outer one; only children need both.

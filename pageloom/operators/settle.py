@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.operators.classify import has_work
@@ -24,8 +24,7 @@ def run_summary(log: DataFrame, run: str, level: str = "level", time: str = "ts"
         F.min(time).alias("started_at"), F.max(time).alias("finished_at"))
 
 
-def settle(messages: DataFrame, outcomes: DataFrame, row_id: Column | None = None,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
+def settle(messages: DataFrame, outcomes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``settled``: 'ack', 'skip' (empty address) or 'error'.
 
     Errors, or no outcome at all, fail the message. Several outcome rows of one message count as
@@ -33,8 +32,7 @@ def settle(messages: DataFrame, outcomes: DataFrame, row_id: Column | None = Non
     """
     per_message = outcomes.groupBy("correlation_id").agg(F.max("errors").alias("errors"),
                                                          F.lit(True).alias("_known"))
-    spread = row_id if row_id is not None else F.struct(*messages.columns)
-    joined = skew_left_join(messages, per_message, "correlation_id", spread, hot_rows=hot_rows)
+    joined = skew_left_join(messages, per_message, "correlation_id", hot_rows)
     failed = F.col("_known").isNull() | (F.coalesce("errors", F.lit(0)) > 0)
     return joined.withColumn("settled", F.when(~has_work(F.col("url")), "skip")
                              .when(failed, "error").otherwise("ack")).drop("_known")

@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
+from pageloom.functions.areas import areas
 from pageloom.functions.expr import case, each, let
 from pageloom.functions.html import Element, element
 from pageloom.operators.extract import Field
@@ -193,6 +194,17 @@ AGENCY = (
           "all", rendered=True),
 )
 
+# The same sale ads card by card: where each one is, and its fields there. A picture may come before the rest.
+SALE_CARDS = Field("sale_cards", (element("div", class_is="c-pa-info"),),
+                   lambda page: areas(page, element("div", class_is="c-pa-info"), [element("div", class_is="c-pa-pic ")]),
+                   "all", rendered=True)
+SALE = {
+    "url": Field("url", _SALE_LINK, "@href"),
+    "description": Field("description", _SALE_LINK, "visible"),
+    "picture": Field("picture", (element("div", class_is="c-pa-pic "), element("div", class_is="c-pa-img"), element("img")),
+                     "@src"),
+}
+
 # The driver's own pages: one title, one ad block, a list of links.
 _NAV_LINK = (element("li"), element("a"))
 

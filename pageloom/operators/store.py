@@ -33,21 +33,19 @@ def insert_if_absent(new: DataFrame, store: DataFrame, key: str,
     return fresh.join(store.select(key).distinct(), key, "left_anti")
 
 
-def lookup_pages(requests: DataFrame, pages: DataFrame, spread: Column | None = None,
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup_pages(requests: DataFrame, pages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Requests with the page fetched for them; a request without a page keeps NULLs.
 
     ``pages`` must hold extracted columns: page bodies are never shuffled. Of several fetches of a
-    URL the latest by ``fetched_at`` counts, or the largest row where there is no such column.
+    URL the latest by ``fetched_at`` counts, or the largest row where there is no such column. Pages that are
+    laid out by URL (``sources.pages.laid_out``) are not shuffled.
     """
     if {"html", "rendered_html"} & set(pages.columns):
         raise ValueError("extract first: a page body must not be shuffled")
-    spread = spread if spread is not None else F.struct(*requests.columns)
     order = [c for c in ("fetched_at",) if c in pages.columns] + pages.columns
     pages = (pages.groupBy("url").agg(F.max_by(F.struct(*pages.columns), F.struct(*order)).alias("_page"))
              .selectExpr("inline(array(_page))"))
-    found = skew_left_join(requests, pages.withColumn("_found", F.lit(True)), "url", spread,
-                           hot_rows=hot_rows)
+    found = skew_left_join(requests, pages.withColumn("_found", F.lit(True)), "url", hot_rows)
     return found.withColumn("fetched", F.coalesce("_found", F.lit(False))).drop("_found")
 
 

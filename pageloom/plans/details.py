@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pageloom.functions import html as H
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
-from pageloom.functions.expr import each
+from pageloom.functions.expr import each, struct
 from pageloom.operators import specs as S
 from pageloom.operators.cards import distinct_by, zip_lists
 from pageloom.operators.classify import detail_outcome, page_flags
-from pageloom.operators.extract import extract_fields
+from pageloom.operators.extract import extract_fields, matches, value
 
 _FLAGS = ("url", "origin_url", "final_url", "status", "fetched_at", "redirected", "robot_error",
           "expired", "accepted", "on_site", "parsed")
@@ -41,22 +41,30 @@ def _unpaired(*lists: str) -> str:
     return f"(greatest({sizes}) - least({sizes}))"
 
 
-def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=()) -> DataFrame:
+def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=(), whole_cards: bool = False) -> DataFrame:
     """Agency profiles with their three nested lists.
 
+    With ``whole_cards`` the fields of a sale ad are taken from its own part of the page, so one without a picture
+    or text has a NULL there and shifts no other.
+
     Sale ads are made distinct by URL as whole cards, at their first position. Sold ads whose
     lists differ in length fail the page; a page without a team keeps a NULL there. What the shorter
     lists leave without a partner is counted, ``n_team_dropped`` and ``n_sales_dropped``.
     """
-    df = _extract(pages, S.AGENCY, domain, keep)
+    fields = (*S.AGENCY, S.SALE_CARDS) if whole_cards else S.AGENCY
+    df = _extract(pages, fields, domain, keep)
     # An image without an address still takes its place in the team.
     photos = each("team_photo_tags", lambda tag: (
         f"try_element_at({H.attribute_values(tag, 'src')}, 1)"))
-    raw = ("team_photo_tags", "team_name", "team_position", "sale_url", "sale_text",
+    raw = ("sale_cards", "team_photo_tags", "team_name", "team_position", "sale_url", "sale_text",
            "sale_picture", "sold_type", "sold_tags", "sold_city", "sold_details")
     df = df.selectExpr("*", f"{X.fill_blank_items(photos)} AS _photo")
     team = zip_lists({"photo": "_photo", "name": "team_name", "position": "team_position"})
-    sales = zip_lists({"url": "sale_url", "description": "sale_text", "picture": "sale_picture"})
+    sales, unpaired_sales = zip_lists({"url": "sale_url", "description": "sale_text", "picture": "sale_picture"}), \
+        _unpaired("sale_url", "sale_text", "sale_picture")
+    if whole_cards:
+        sales, unpaired_sales = each("sale_cards", lambda card: struct(**{
+            name: value(f, matches(card, f.path, f.take)) for name, f in S.SALE.items()})), "0"
     sold = zip_lists({"type": "sold_type", "description": "sold_tags", "city": "sold_city",
                       "details": "sold_details"}, "strict")
     df = df.selectExpr("*", f"{team} AS _team", f"{distinct_by(sales, 'url')} AS _sales",
@@ -71,7 +79,7 @@ def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=()) -> DataF
         f"{X.null_if_no_items('_sold')} AS Realtor_sold_Ads_infos",
         "array_distinct(sale_url) AS sale_urls",
         f"{_unpaired('_photo', 'team_name', 'team_position')} AS n_team_dropped",
-        f"{_unpaired('sale_url', 'sale_text', 'sale_picture')} AS n_sales_dropped",
+        f"{unpaired_sales} AS n_sales_dropped",
         "CASE WHEN _sold IS NULL THEN array_append(missing_fields, 'sold ads') "
         "ELSE missing_fields END AS missing_fields",
         "fetched_at AS Time")

@@ -22,6 +22,21 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return spread(spark.read.parquet(path))
 
 
+def lay_out(pages: DataFrame, table: str, path: str, buckets: int = 256, group_bytes: int = 16 << 20) -> None:
+    """Write pages once so that nothing has to move them later: as a table of the catalogue, in ``buckets`` by
+    URL and sorted by it, in row groups that a scan can split.
+
+    A lookup or a count by URL reads bucket by bucket and shuffles no page; extraction alone is split by row
+    groups, over as many tasks as there are. A bucket should have some hundred MB at most.
+    """
+    (pages.repartition(buckets, "url").write.bucketBy(buckets, "url").sortBy("url")
+     .option("parquet.block.size", group_bytes).option("path", path).format("parquet").saveAsTable(table))
+
+
+def laid_out(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.table(table)
+
+
 def fetched_pages(pages: DataFrame) -> DataFrame:
     """A table with at least ``url`` and ``html`` in the full page schema, other columns kept."""
     have = set(pages.columns)

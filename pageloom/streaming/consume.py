@@ -6,29 +6,52 @@ import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pageloom.operators.store import insert_rows, write_batch
+from pageloom.operators.store import committed_rows, insert_rows, write_batch
+
+RUN = "run string, n_lines bigint, n_errors bigint, started_at timestamp, finished_at timestamp"
 
 
 def consume(stream: DataFrame, process: Callable[[DataFrame], DataFrame], path: str,
             checkpoint: str, partition_by: Sequence[str] = ("settled",),
-            available_now: bool = True) -> StreamingQuery:
+            available_now: bool = True, run_log: str | None = None, time: str | None = None) -> StreamingQuery:
     """Process each batch and store its rows, good and bad ones, in a single write.
 
+    With ``run_log`` each batch also leaves a row there, counted while it is written: how many rows, how many
+    settled as errors, and the first and last ``time``; see ``runs_so_far``.
+
     ``process`` adds the ``partition_by`` columns, such as the settlement or the route. A batch is
     acknowledged by its checkpoint only after the write; if it fails, it is replayed and takes the place
     of what it wrote before, in one commit, so each message is in exactly one place at any time.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_batch(process(batch), path, batch_id, partition_by,
-                    stream=stream_id(batch.sparkSession, checkpoint))
+        stream, rows, counts = stream_id(batch.sparkSession, checkpoint), process(batch), None
+        if run_log:
+            counts = Observation(f"{stream}-{batch_id}")
+            at = F.col(time).cast("timestamp") if time else F.lit(None).cast("timestamp")
+            rows = rows.observe(counts, F.count(F.lit(1)).alias("n_lines"),
+                                F.count_if(F.col("settled") == "error").alias("n_errors"),
+                                F.min(at).alias("started_at"), F.max(at).alias("finished_at"))
+        write_batch(rows, path, batch_id, partition_by, stream=stream)
+        if counts:
+            row = [(stream, *(counts.get[c] for c in ("n_lines", "n_errors", "started_at", "finished_at")))]
+            write_batch(batch.sparkSession.createDataFrame(row, RUN), run_log, batch_id, stream=stream)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def runs_so_far(spark: SparkSession, run_log: str) -> DataFrame:
+    """Per run (one per checkpoint): rows, errors, start and finish, of the batches that are stored by now."""
+    rows = committed_rows(spark, run_log)
+    rows = spark.createDataFrame([], RUN) if rows is None else rows
+    return rows.groupBy("run").agg(F.sum("n_lines").alias("n_lines"), F.sum("n_errors").alias("n_errors"),
+                                   F.min("started_at").alias("started_at"), F.max("finished_at").alias("finished_at"))
+
+
 def publish(stream: DataFrame, path: str, checkpoint: str,
             available_now: bool = True) -> StreamingQuery:
     """Append to a stage table that a later stream reads; its file log makes that exactly once."""

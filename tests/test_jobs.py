@@ -91,16 +91,21 @@ def test_settlement(spark):
             ("4", "error"), ("5", "skip"), ("6", "skip")]
 
 
-def test_salted_join_equals_plain_join(spark):
+def test_join_with_hot_keys_equals_plain_join(spark):
     left = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN "
                                         "NULL ELSE concat('k', id % 50) END AS url")
     right = spark.range(40).selectExpr("concat('k', id) AS url", "id AS v").union(
         spark.sql("SELECT 'hot', 99L"))
-    got = skew_left_join(left, right, "url", F.col("id"), hot_rows=500)
+    got = skew_left_join(left, right, "url", hot_rows=500)
     want = left.join(right, "url", "left")
     assert sorted(map(repr, got.select("id", "url", "v").collect())) == sorted(
         map(repr, want.select("id", "url", "v").collect()))
-    assert [tuple(r) for r in hot_keys(left, "url", 500).collect()] == [("hot", 2)]
+    assert [tuple(r) for r in hot_keys(left, "url", 500).collect()] == [("hot", 1000)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rightHint=(strategy=broadcast)") >= 3  # rows of hot keys meet their partner where they are
+    assert [r.url for r in hot_keys(left, "url", 1, most=3).collect()][0] == "hot" and hot_keys(left, "url", 1, 3).count() == 3
+    assert sorted(map(repr, skew_left_join(left, right, "url").select("id", "url", "v").collect())) == sorted(
+        map(repr, want.select("id", "url", "v").collect()))
 
 
 def test_errors_and_runs_are_counted(spark):
