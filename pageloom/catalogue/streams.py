@@ -185,7 +185,7 @@ def stream_agency_queue(spark, sf_dir):
 
 @BOOK.query("""
 SELECT count(*)::BIGINT AS n_lines, (count(*) FILTER (event_type = 'error'))::BIGINT AS n_errors,
-       epoch(min(ts))::BIGINT AS started, epoch(max(ts))::BIGINT AS finished
+       epoch_us(min(ts))::BIGINT AS started, epoch_us(max(ts))::BIGINT AS finished
 FROM events
 """)
 def stream_run_log(spark, sf_dir):
@@ -197,4 +197,4 @@ def stream_run_log(spark, sf_dir):
     settled = lambda b: b.withColumn("settled", F.when(F.col("event_type") == "error", "error").otherwise("ok"))
     consume(stream, settled, f"{out}/rows", f"{out}/progress", run_log=f"{out}/runs", time="ts").awaitTermination()
     return runs_so_far(spark, f"{out}/runs").select(
-        "n_lines", "n_errors", F.unix_seconds("started_at").alias("started"), F.unix_seconds("finished_at").alias("finished"))
+        "n_lines", "n_errors", F.unix_micros("started_at").alias("started"), F.unix_micros("finished_at").alias("finished"))

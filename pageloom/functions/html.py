@@ -235,10 +235,15 @@ def _with_ends(html: str, el: Element) -> str:
     closed_by = rf"<(?:(?i:{_names(ends)})(?=[\s/>])|/(?i:{_names(within)})(?=[\s>]))"
     other = rf"[^<]++|<(?!/?(?i:{_names(dict.fromkeys((*ends, *within)))})(?=[\s/>]))"
     unclosed = rf"<{one}{_REST_OF_TAG}(?:{other})*+{closed_by}"
-    return let(html, lambda h: case(
-        (f"NOT {h} RLIKE {quote(f'<{one}')}", h),
-        (f"regexp_count({h}, {quote(f'<{one}')}) = regexp_count({h}, {quote(f'</{one}')}) "
-         f"AND NOT {h} RLIKE {quote(unclosed)}", h), otherwise=all_ended(h)))
+    opening, closing, plain = quote(f"<{one}"), quote(f"</{one}"), f"</{el.tag}>"
+
+    def checked(h: str, n: str) -> str:
+        # Counted as a plain text first: that is cheaper than a pattern.
+        written = f"(length({h}) - length(replace({h}, {quote(plain)}, ''))) div {len(plain)}"
+        return case((f"{n} = 0", h), (f"({n} = {written} OR {n} = regexp_count({h}, {closing})) AND NOT {h} RLIKE {quote(unclosed)}", h),
+                    otherwise=all_ended(h))
+
+    return let(html, lambda h: let(f"regexp_count({h}, {opening})", lambda n: checked(h, n)))
 
 
 # ---- elements ----------------------------------------------------------------------------------

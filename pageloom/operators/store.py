@@ -42,9 +42,11 @@ def lookup_pages(requests: DataFrame, pages: DataFrame, hot_rows: int = HOT_ROWS
     """
     if {"html", "rendered_html"} & set(pages.columns):
         raise ValueError("extract first: a page body must not be shuffled")
-    order = [c for c in ("fetched_at",) if c in pages.columns] + pages.columns
-    pages = (pages.groupBy("url").agg(F.max_by(F.struct(*pages.columns), F.struct(*order)).alias("_page"))
-             .selectExpr("inline(array(_page))"))
+    others = [c for c in pages.columns if c != "url"]
+    order = [c for c in ("fetched_at",) if c in others] + others
+    # The URL stays what it is, so that pages laid out by it stay so.
+    latest = F.max_by(F.struct(*others), F.struct(*order)) if others else F.lit(None)
+    pages = pages.groupBy("url").agg(latest.alias("_page")).select("url", *[f"_page.`{c}`" for c in others])
     found = skew_left_join(requests, pages.withColumn("_found", F.lit(True)), "url", hot_rows)
     return found.withColumn("fetched", F.coalesce("_found", F.lit(False))).drop("_found")
 

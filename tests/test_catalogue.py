@@ -48,6 +48,18 @@ def test_bodies_are_not_shuffled_by_joins(spark):
             assert "html" not in line
 
 
+def test_pages_laid_out_by_url_are_not_shuffled(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(QUERIES["url_page_lookup"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "SortMergeJoin" in text and "Bucketed: true" in text
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "title" not in exchanges[0]  # that of the requests
+
+
 def test_columns_and_filters_reach_the_scan(spark):
     from pyspark.sql import functions as F
 
