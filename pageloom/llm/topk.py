@@ -5,40 +5,39 @@ term), lengths and ids. A shard ends at ``SHARD_DOCS`` documents or ``SHARD_POST
 the mean length are those of all shards together, so scores don't depend on how documents are dealt.
 
 A query's different terms each count once: idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean)),
-idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)). In a shard, terms come in falling order of idf. They are
-scored for every document until the upper bounds of the rest sum up to less than the k-th best score
-yet: a document not seen so far has no chance then. Of those seen, only the ones stay for which score and
-the rest's block maxima (over ``BLOCK`` documents) reach the k-th best. The rest of the terms is looked up for
-these alone as soon as that costs less than a pass over the term's postings; the bounds are checked again
-after each step. Nothing is pruned that could be among
-the k best, so the merge of the shards' best is exact.
-
-A task searches some shards, of which it holds one at a time, and carries each query's k-th best along, so
-all but its first shard start with a bound. Queries are taken in blocks of ``BLOCK_QUERIES``; a block is what is sent to all tasks at once. Scores
-are rounded to 6 places; ties go by doc_id, null last. A document has score 0 if it shares no term, and
-such ones aren't returned; so an empty query or text gives no rows. Null is the empty text; rows that
-repeat are found as often as they occur.
+idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)). In a shard, the terms that few documents have are scored first,
+from their postings. Documents lie in blocks of ``BLOCK``; of the frequent terms (of one in ``OFTEN`` documents
+or more) a shard has each block's highest part of the score. A block whose best document yet and these
+maxima together don't reach the query's k-th best score is skipped; only blocks that could hold one of the k
+best are scored by the frequent terms too, which is most of the work, for ``TOGETHER`` queries side by side. This is
+done in single precision, with a margin for its roundings, and whatever it leaves is scored again exactly, from
+the documents' own terms. Nothing is pruned that could be among the k
+best, so the merge of the shards' best is exact.
+
+A task searches some shards, of which it takes up one at a time, and carries each query's k-th best along, so
+all but its first shard start with a bound. Queries are taken in blocks of ``BLOCK_QUERIES``, one after the other: a
+block is what is sent to all tasks at once. Scores are rounded to 6 places; ties go by doc_id, null last. A
+document has score 0 if it shares no term, and such ones aren't returned; so an empty query or text gives no rows.
+Null is the empty text; rows that repeat are found as often as they occur. No rows give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 from struct import calcsize, pack, unpack_from
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pageloom.llm.common import saved, whole_text
 from pageloom.llm.hashed_words import pieces, word_hashes
 
-K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 6
-STEP, LOOKUP = 16_384, 8  # postings scored between two looks at the bound; what one lookup costs, in postings
+K1, B, K, SHARD_DOCS, SHARD_POSTINGS, BLOCK, BLOCK_QUERIES, SHARDS_PER_TASK = 1.2, 0.75, 10, 8_192, 2_000_000, 64, 4_096, 3
+OFTEN, TOGETHER, SINGLE = 16, 64, 2.0 ** -23
 HEADER = "<IIII"
-RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -66,8 +65,23 @@ def packed(ids: list[int | None], found: list[tuple[np.ndarray, np.ndarray, int]
     return data, terms, df
 
 
+class Block:
+    """Some queries, and their different terms in order with the idf of each. Queries that share their commonest
+    term come together."""
+
+    def __init__(self, rows: list[tuple[int, np.ndarray, np.ndarray]]):
+        rows = sorted(rows, key=lambda r: (r[2].min(), r[1][r[2].argmin()], r[0]))
+        self.ids = [q for q, _, _ in rows]
+        terms, weights = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
+        self.terms, first, places = np.unique(terms, return_index=True, return_inverse=True)
+        self.idf = weights[first]
+        self.asked = np.split(places.astype(np.int32), np.cumsum([len(r[1]) for r in rows])[:-1])
+
+
 class Shard:
-    def __init__(self, data: bytes | pa.Buffer, mean: float):
+    """What a shard holds of a block's terms, each posting's part of the score worked out."""
+
+    def __init__(self, data: bytes | pa.Buffer, mean: float, block: Block):
         self.docs, n, postings, _ = unpack_from(HEADER, data, 0)
         at = calcsize(HEADER)
 
@@ -78,76 +92,92 @@ class Shard:
             return out
 
         self.ids, self.known, length = take("<i8", self.docs), take("u1", self.docs), take("<u4", self.docs)
-        self.terms, df, self.doc, tf = take("<u8", n), take("<u4", n), take("<u2", postings), take("<u4", postings)
-        self.start = np.concatenate([[0], np.cumsum(df, dtype=np.int64)])
-        self.impact = (K1 * (1 - B + B * length / mean))[self.doc]
-        self.impact += tf
-        np.divide(tf, self.impact, out=self.impact)
-        self.impact *= K1 + 1
-        block = self.doc // BLOCK
-        turn = np.concatenate([[True], block[1:] != block[:-1]])[:postings]
-        turn[self.start[:-1]] = True
-        first = np.flatnonzero(turn)
-        self.block = block[first].astype(np.int64)
-        self.block_max = np.maximum.reduceat(self.impact, first) if postings else np.zeros(0)
-        self.block_start = np.searchsorted(first, self.start)
-        self.most = np.maximum.reduceat(self.impact, self.start[:-1]) if n else np.zeros(0)
-
-    def _of(self, start: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the entries of terms t, in order, and which of t each belongs to."""
-        n = start[t + 1] - start[t]
-        which = np.repeat(np.arange(len(t)), n)
-        return np.arange(int(n.sum())) + (start[t] - np.concatenate([[0], np.cumsum(n)[:-1]]))[which], which
-
-    def best(self, terms: np.ndarray, weight: np.ndarray, k: int, floor: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
-        """Documents (their places) and scores of the k best that reach ``floor``; terms in falling
-        order of weight."""
-        t = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-        here = self.terms[t] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        t, w = t[here], weight[here]
-        bound = np.concatenate([np.cumsum((w * self.most[t])[::-1])[::-1], [0.0]])
-        a, n = self.start[t], self.start[t + 1] - self.start[t]
-        begin, end, total = a.tolist(), (a + n).tolist(), np.cumsum(n)
-        score, kth, i = np.zeros(self.docs), floor, 0
-
-        def scored(i: int, until: int) -> int:
-            """All documents' score by the terms from i on, as many as have about STEP postings."""
-            before = total[i - 1] if i else 0
-            j = min(until, max(i + 1, int(np.searchsorted(total, before + STEP, "right"))))
-            doc = np.concatenate([self.doc[x:y] for x, y in zip(begin[i:j], end[i:j], strict=True)])
-            by = np.concatenate([self.impact[x:y] for x, y in zip(begin[i:j], end[i:j], strict=True)])
-            by *= np.repeat(w[i:j], n[i:j])
-            np.add(score, np.bincount(doc, by, self.docs), out=score)
-            return j
-
-        def raised(some: np.ndarray) -> float:
-            some = some[some >= kth]
-            return max(kth, np.partition(some, len(some) - k)[len(some) - k] - 1e-5) if len(some) > k else kth
-
-        while i < len(t) and bound[i] >= kth:
-            i = scored(i, max(i + 1, int(np.searchsorted(-bound[:-1], -kth, "right"))))
-            if 2 * bound[i] <= bound[0]:  # before, no score can be above the rest's bound
-                kth = raised(score)
-        alive = np.flatnonzero((score > 0) & (score + bound[i] >= kth))
-        if i < len(t) and len(alive):
-            place, which = self._of(self.block_start, t[i:])
-            rest = np.bincount(self.block[place], self.block_max[place] * w[i:][which], self.docs // BLOCK + 1)
-            alive = alive[score[alive] + rest[alive // BLOCK] >= kth]
-        while i < len(t) and len(alive):
-            if LOOKUP * len(alive) > n[i]:  # a pass over the postings costs less than looking up in them
-                i = scored(i, len(t))
-            else:
-                for x, y, by in zip(begin[i:i + 8], end[i:i + 8], w[i:i + 8].tolist(), strict=True):
-                    at = np.minimum(self.doc[x:y].searchsorted(alive.astype(np.uint16)), y - x - 1) + x
-                    hit = self.doc[at] == alive
-                    score[alive[hit]] += by * self.impact[at[hit]]
-                i = min(i + 8, len(t))
-            kth = raised(score[alive])
-            alive = alive[score[alive] + bound[i] >= kth]
-        alive = alive[score[alive] >= kth]
-        rounded = np.round(score[alive], 6)
-        best = np.lexsort((self.ids[alive], 1 - self.known[alive], -rounded))[:k]
-        return alive[best], rounded[best]
+        terms, df, doc, tf = take("<u8", n), take("<u4", n), take("<u2", postings), take("<u4", postings)
+        place = np.minimum(np.searchsorted(block.terms, terms), max(len(block.terms) - 1, 0))
+        here = block.terms[place] == terms if len(block.terms) else np.zeros(n, bool)
+        #: The number here of each of the block's terms, -1 for those that no document here has.
+        self.number = np.full(len(block.terms), -1, np.int32)
+        self.number[place[here]] = np.arange(int(here.sum()))
+        kept = np.repeat(here, df)
+        df = df[here].astype(np.int64)
+        doc, tf = doc[kept], tf[kept]
+        term = np.repeat(np.arange(len(df), dtype=np.int32), df)
+        self.idf, self.norm = block.idf[place[here]] * (K1 + 1), K1 * (1 - B + B * length / mean)
+        impact = self.norm.astype(np.float32)[doc]
+        impact += tf
+        np.divide(tf, impact, out=impact)
+        impact *= self.idf.astype(np.float32)[term]
+        # Terms that many documents have, a number for each document, and the highest of each block of documents.
+        self.blocks = -(-self.docs // BLOCK)
+        often = df >= max(1, self.docs // OFTEN)
+        self.row = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
+        in_row = often[term]
+        self.dense = np.zeros((int(often.sum()), self.blocks * BLOCK), np.float32)
+        self.dense[self.row[term[in_row]], doc[in_row]] = impact[in_row]
+        self.dense = self.dense.reshape(-1, self.blocks, BLOCK)
+        self.block_max = self.dense.max(axis=2) if len(self.dense) else np.zeros((0, self.blocks), np.float32)
+        # The other terms' postings.
+        self.doc, self.impact = doc[~in_row], impact[~in_row]
+        self.df = np.where(often, 0, df)
+        self.start = np.concatenate([[0], np.cumsum(self.df)])[:-1]
+        del impact, in_row, kept
+        # By document, for exact scores.
+        order = np.argsort(doc, kind="stable")
+        self.doc_term, self.doc_tf = term[order], tf[order]
+        self.doc_start = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=self.docs))])
+
+    def _ranges(self, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The places start, start + 1, ... of n places each."""
+        ends = np.cumsum(n)
+        return np.arange(int(ends[-1]) if len(n) else 0) + np.repeat(start - (ends - n), n)
+
+    def exact(self, docs: np.ndarray, terms: np.ndarray) -> np.ndarray:
+        n = self.doc_start[docs + 1] - self.doc_start[docs]
+        at, which = self._ranges(self.doc_start[docs], n), np.repeat(np.arange(len(docs)), n)
+        asked = np.zeros(len(self.idf), bool)
+        asked[terms] = True
+        hit = asked[self.doc_term[at]]
+        at, which = at[hit], which[hit]
+        tf = self.doc_tf[at].astype(np.float64)
+        return np.bincount(which, self.idf[self.doc_term[at]] * (tf / (tf + self.norm[docs][which])), len(docs))
+
+    def best(self, asked: list[np.ndarray], k: int, floors: list[float]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each of some queries, documents (their places) and scores of the k best that reach its floor."""
+        terms = [t[t >= 0] for t in (self.number[a] for a in asked)]
+        has = np.zeros((len(asked), len(self.dense)), np.float32)
+        score = np.zeros((len(asked), self.blocks, BLOCK), np.float32)
+        for i, t in enumerate(terms):
+            row = self.row[t]
+            has[i, row[row >= 0]] = 1
+            rare = t[row < 0]
+            at = self._ranges(self.start[rare], self.df[rare])
+            score[i] = np.bincount(self.doc[at], self.impact[at], self.blocks * BLOCK).reshape(self.blocks, BLOCK)
+        # What a block's best document has yet, and the most it can still get. A sum of n numbers is off by n
+        # roundings at most.
+        bound = score.max(axis=2) + has @ self.block_max
+        near = SINGLE * (has.sum(axis=1) + 8) * bound.max(axis=1, initial=0)
+        alive = bound >= np.array(floors)[:, None] - near[:, None]
+        some = np.flatnonzero(alive.any(axis=0))
+        dense = self.dense if len(some) == self.blocks else self.dense[:, some]
+        score = score[:, some] + (has @ dense.reshape(len(dense), len(some) * BLOCK)).reshape(len(asked), len(some), BLOCK)
+        for i, t in enumerate(terms):
+            own = alive[i, some]
+            mine, blocks = (score[i], some) if own.all() else (score[i, own], some[own])
+            yield self._picked(mine.ravel(), blocks, t, k, floors[i], float(near[i]))
+
+    def _picked(self, score: np.ndarray, blocks: np.ndarray, terms: np.ndarray, k: int, floor: float,
+                near: float) -> tuple[np.ndarray, np.ndarray]:
+        """Of documents of ``blocks``, those that could be among the k best are scored again exactly."""
+        found = np.flatnonzero(score >= max(floor - near, 1e-9))
+        if len(found) > k:
+            those = score[found]
+            found = found[those >= np.partition(those, len(those) - k)[len(those) - k] - 2 * near]
+        docs = blocks[found // BLOCK] * BLOCK + found % BLOCK
+        exact = self.exact(docs, terms)
+        good = (exact >= floor) & (exact > 0)
+        docs, rounded = docs[good], np.round(exact[good], 6)
+        first = np.lexsort((self.ids[docs], 1 - self.known[docs], -rounded))[:k]
+        return docs[first], rounded[first]
 
 
 def index(docs: DataFrame) -> DataFrame:
@@ -158,7 +188,9 @@ def index(docs: DataFrame) -> DataFrame:
         ids, found, postings = [], [], 0
 
         def made():
-            data, terms, df = packed(ids, found)
+            # Documents that share the term they have most often lie together, by length: blocks are alike then.
+            order = sorted(range(len(ids)), key=lambda i: (int(found[i][0][found[i][1].argmax()]) if found[i][2] else 0, found[i][2]))
+            data, terms, df = packed([ids[i] for i in order], [found[i] for i in order])
             return pa.RecordBatch.from_arrays(
                 [pa.array([len(ids)]), pa.array([sum(m for _, _, m in found)]), pa.array([terms.view(np.int64)]),
                  pa.array([df]), pa.array([data], pa.binary())], ["docs", "words", "terms", "df", "data"])
@@ -191,17 +223,6 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return queries.mapInArrow(run, "query_id long, term long").distinct()
 
 
-@contextmanager
-def one_record_a_batch(spark: SparkSession) -> Iterator[None]:
-    """What is planned meanwhile gets its Arrow batches row by row: here, one shard at a time."""
-    old = spark.conf.get(RECORDS)
-    spark.conf.set(RECORDS, "1")
-    try:
-        yield
-    finally:
-        spark.conf.set(RECORDS, old)
-
-
 def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, place, doc_id, score) for ``queries(query_id, text)`` against all ``docs``."""
     spark = docs.sparkSession
@@ -215,42 +236,47 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
                      .groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("idf", "term")), asc=False).alias("terms")),
                      "queries")
     blocks = -(-weighted.count() // BLOCK_QUERIES)
-    found = []
-    for block in range(blocks):  # a block's terms are what a task holds of the queries
-        rows = (weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-                .select("query_id", F.col("terms.term").alias("term"), F.col("terms.idf").alias("idf")).toArrow())
-        sent = spark.sparkContext.broadcast([
-            (q.as_py(), np.array(t.values, np.int64).view(np.uint64), np.array(w.values)) for q, t, w in
-            zip(rows.column("query_id"), rows.column("term"), rows.column("idf"), strict=True)])
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            best: list[tuple | None] = [None] * len(sent.value)  # (score, id is null, id), in order
-            for b in batches:
-                for data in b.column("data"):
-                    shard = None  # the one before goes first
-                    shard = Shard(data.as_buffer(), mean)
-                    for i, (_, terms, weight) in enumerate(sent.value):
-                        old = best[i]
-                        floor = old[0][-1] - 1e-5 if old and len(old[0]) == k else 0.0
-                        at, score = shard.best(terms, weight, k, floor)
-                        if len(at):
-                            new = score, 1 - shard.known[at], shard.ids[at]
-                            new = new if old is None else tuple(map(np.concatenate, zip(old, new, strict=True)))
-                            order = np.lexsort((new[2], new[1], -new[0]))[:k]
-                            best[i] = tuple(x[order] for x in new)
-            for (query, _, _), x in zip(sent.value, best, strict=True):
-                if x is not None:
-                    yield pa.RecordBatch.from_arrays([pa.array([query] * len(x[0]), pa.int64()),
-                                                      pa.array(x[2], pa.int64(), mask=x[1] == 1), pa.array(x[0])],
-                                                     ["query_id", "doc_id", "score"])
-
-        found.append(table.select("data").coalesce(-(-shards // SHARDS_PER_TASK))
-                     .mapInArrow(run, "query_id long, doc_id long, score double"))
+    found = [_searched(table.select("data").coalesce(-(-shards // SHARDS_PER_TASK)),
+                       weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block), mean, k)
+             for block in range(blocks)]
     if not found:
         return spark.createDataFrame([], "query_id long, place int, doc_id long, score double")
-    with one_record_a_batch(spark):
-        candidates = saved(reduce(DataFrame.union, found), "candidates")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return (candidates.withColumn("score", F.round("score", 6))
+    return (reduce(DataFrame.union, found).withColumn("score", F.round("score", 6))
             .withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
             .select("query_id", "place", "doc_id", "score"))
+
+
+def _searched(shards: DataFrame, queries: DataFrame, mean: float, k: int) -> DataFrame:
+    """(query_id, doc_id, score): the k best that each task finds for a block of queries, written. The block
+    (``BLOCK_QUERIES`` queries at most) is sent to all tasks, and gone before the next one is."""
+    rows = queries.select("query_id", F.col("terms.term").alias("term"), F.col("terms.idf").alias("idf")).toArrow()
+    sent = shards.sparkSession.sparkContext.broadcast([
+        (q.as_py(), np.array(t.values, np.int64).view(np.uint64), np.array(w.values)) for q, t, w in
+        zip(rows.column("query_id"), rows.column("term"), rows.column("idf"), strict=True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = Block(sent.value) if sent.value else None
+        best: list[tuple | None] = [None] * len(sent.value)  # (score, id is null, id), in order
+        for b in batches:
+            for data in b.column("data") if block else ():
+                shard = None  # the one before goes first
+                shard = Shard(data.as_buffer(), mean, block)
+                for first in range(0, len(best), TOGETHER):
+                    part = slice(first, first + TOGETHER)
+                    floors = [x[0][-1] - 1e-5 if x and len(x[0]) == k else 0.0 for x in best[part]]
+                    for i, (at, score) in enumerate(shard.best(block.asked[part], k, floors), first):
+                        if len(at):
+                            new = score, 1 - shard.known[at], shard.ids[at]
+                            new = new if best[i] is None else tuple(map(np.concatenate, zip(best[i], new, strict=True)))
+                            order = np.lexsort((new[2], new[1], -new[0]))[:k]
+                            best[i] = tuple(x[order] for x in new)
+        for query, x in zip(block.ids if block else (), best, strict=False):
+            if x is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([query] * len(x[0]), pa.int64()),
+                                                  pa.array(x[2], pa.int64(), mask=x[1] == 1), pa.array(x[0])],
+                                                 ["query_id", "doc_id", "score"])
+
+    found = saved(shards.mapInArrow(run, "query_id long, doc_id long, score double"), "candidates")
+    sent.destroy()
+    return found
