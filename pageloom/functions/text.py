@@ -114,8 +114,8 @@ def decode_entities(s: str) -> str:
 
 # ---- numbers -----------------------------------------------------------------------------------
 
-def amount(s: str) -> str:
-    """'750 000 €' or '43,33 m²' → the first number as a decimal, NULL without one.
+def _first_number(s: str) -> str:
+    """The first number as digits with a point, '' without one.
 
     A number is a sign, digits in groups of three with one blank of any kind between, and a decimal
     comma with digits; anything else ends it, so units, ranges and charges add no digits. A list such
@@ -124,7 +124,18 @@ def amount(s: str) -> str:
     blank = r"[\s\u00a0\u202f\u2009]"
     number = quote(rf"(?<![0-9,])-?[0-9]++(?:(?<![0-9]{{4}}){blank}[0-9]{{3}}(?![0-9]))*+(?:,[0-9]++)?+(?!,[0-9])")
     first = f"regexp_extract({s}, {number}, 0)"
-    return f"try_cast(replace(regexp_replace({first}, '[^-0-9,]', ''), ',', '.') AS {PRICE_TYPE})"
+    return f"replace(regexp_replace({first}, '[^-0-9,]', ''), ',', '.')"
+
+
+def amount(s: str) -> str:
+    """'750 000 €' or '43,33 m²' → the first number as a decimal; NULL without one, or with one beyond the
+    decimal type, which ``amount_too_large`` tells from it."""
+    return f"try_cast({_first_number(s)} AS {PRICE_TYPE})"
+
+
+def amount_too_large(s: str) -> str:
+    """Is there a number, but one that the decimal type cannot hold? False for NULL."""
+    return let(f"coalesce({_first_number(s)}, '')", lambda n: f"({n} <> '' AND try_cast({n} AS {PRICE_TYPE}) IS NULL)")
 
 
 def criteria_items(outer_html: str) -> str:

@@ -37,12 +37,17 @@ def laid_out(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.table(table)
 
 
-def fetched_pages(pages: DataFrame) -> DataFrame:
-    """A table with at least ``url`` and ``html`` in the full page schema, other columns kept."""
+def fetched_pages(pages: DataFrame, clock: bool = False) -> DataFrame:
+    """A table with at least ``url`` and ``html`` in the full page schema, other columns kept. Pages that don't
+    tell when they were fetched have no time, or with ``clock`` that of the job, one for all of them."""
     have = set(pages.columns)
     defaults = {
         "final_url": F.col("url"), "status": F.lit(200), "redirect_urls": F.lit(None),
         "retry_times": F.lit(0), "fetched_at": F.lit(None), "rendered_html": F.lit(None)}
+    if clock:
+        defaults["fetched_at"] = F.current_timestamp()
+        if "fetched_at" in have:
+            pages = pages.withColumn("fetched_at", F.coalesce("fetched_at", F.current_timestamp()))
     wanted = {f.name: f.dataType for f in schemas.fields(schemas.FETCHED_PAGE)}
     extra = [F.col(c) for c in pages.columns if c not in wanted]
     return pages.select(*extra, *[

@@ -91,3 +91,22 @@ def test_the_first_number_counts(evaluate):
 def test_hex_references_padded_with_zeros_are_decoded(evaluate):
     assert evaluate(X.decode_entities("s"), ["&#x000000041;", "&#X00000000000000e9;", "&#x0;", "&#x123456789;"]) == [
         "A", "é", "&#x0;", "&#x123456789;"]
+
+
+def test_amounts_beyond_the_type_are_told_from_none(evaluate):
+    texts = ["750 000 €", "1" * 20 + " €", "-" + "9" * 13 + ",5", "Prix nous consulter", "", None, "9" * 12 + ",99"]
+    got = evaluate(f"array({X.amount('s')} IS NULL, {X.amount_too_large('s')})", texts)
+    assert got == [[False, False], [True, True], [True, True], [True, False], [True, False], [True, False], [False, False]]
+
+
+def test_the_time_of_extraction(spark):
+    from datetime import datetime, timedelta
+
+    from pageloom.sources.pages import fetched_pages
+    pages = spark.createDataFrame([("a", "x", None), ("b", "y", datetime(2024, 1, 1))], "url string, html string, fetched_at timestamp")
+    plain = {r.url: r.fetched_at for r in fetched_pages(pages).collect()}
+    assert plain == {"a": None, "b": datetime(2024, 1, 1)}
+    for df in (pages, pages.drop("fetched_at")):
+        rows = {r.url: r.fetched_at for r in fetched_pages(df, clock=True).collect()}
+        assert abs(rows["a"] - datetime.utcnow()) < timedelta(minutes=10) or abs(rows["a"] - datetime.now()) < timedelta(minutes=10)
+        assert rows["b"] == (datetime(2024, 1, 1) if df is pages else rows["a"])
