@@ -2,7 +2,7 @@
 
 A segment is one value of a binary column, at most ``SEGMENT_IDS`` ids beyond one document's, in a
 table that Spark commits: a lost task leaves no half-written file. Segments hold documents in ascending
-order of doc_id (nulls first, ties by the ids). A segment's bytes, all little-endian:
+order of doc_id (nulls first, ties by a hash of the text). A segment's bytes, all little-endian:
 
     header   magic "PLTK", id width in bytes (u16), null doc_ids at the start (u16), documents (u32), ids (u32)
     ids      concatenated, 2 or 4 bytes each as the largest id needs
@@ -23,6 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 from struct import calcsize, pack, unpack_from
 
 import numpy as np
@@ -31,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.llm.bpe import L1, N1, S1
-from pageloom.llm.common import running_totals, saved, whole_text
+from pageloom.llm.common import saved, whole_text
 
 MAGIC, HEADER, SEQUENCE = b"PLTK", "<4sHHII", "<QIBxxxI"
-END_ID, SEGMENT_IDS, SAMPLE, ROWS_PER_RANGE, RANGES, KNOWN_WORDS = 1, 1 << 20, 64, 4_000, 4_096, 400_000
+END_ID, SEGMENT_IDS, SAMPLE, TEXTS, KNOWN_WORDS = 1, 1 << 20, 64, 256, 600_000
 
 
 class EliasFano:
@@ -126,23 +127,10 @@ class Segment:
             yield name, a, self.ids[a:b]
 
 
-def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids) by the tokenizers library, ``end_id`` at the end.
-
-    Words of texts that stay within the first 256 characters are encoded once in a while only, see
-    ``Words``; any other text goes to the library whole.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(path)
-        end = end_id.to_bytes(4, "little")
-        for batch in batches:
-            for k in range(0, batch.num_rows, 64):
-                b = batch.slice(k, 64)
-                ids = [i + end for i in words.encode(b.column("text").to_pylist())]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+def without_cache(tokenizer) -> None:
+    """Each word comes once in a while only, so that the library's own cache of words is a cost."""
+    if hasattr(tokenizer.model, "_resize_cache"):
+        tokenizer.model._resize_cache(0)
 
 
 class Words:
@@ -162,6 +150,7 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        without_cache(self.tokenizer)
         self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]] = True
         self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{L1}]+|[{N1}]|[^{S1}{L1}{N1}]+").findall
@@ -181,7 +170,7 @@ class Words:
         self.known.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.known.keys())
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > KNOWN_WORDS:
             self.known, new = {}, list(words)
         letters = [w for w in new if w.isalpha()]
@@ -206,54 +195,62 @@ class Words:
 
 
 def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """The written table (bucket, part, n_ids, first_id, data) of all documents in order; ``first_id``
-    is the number of ids in all segments before.
+    """The written table (bucket, part, n_ids, before, data, first_id) of all documents in order; ``before`` is
+    the number of ids of the bucket ahead of the segment, ``first_id`` of all buckets.
 
-    Buckets are ranges of doc_id between approximate quantiles, near ``ROWS_PER_RANGE`` rows or
-    ``RANGES`` buckets; a task sorts (and spills) what it has, streams through its buckets in order and
-    cuts segments by size, so none of this limits a bucket.
+    A bucket is a range of (doc_id, hash of the text), one for each task: so many rows of one id, or without
+    any, take as many buckets as they need. The texts are dealt out, and each task encodes what it has in
+    order and cuts segments as it goes; segments stay where they were written. One number for each bucket
+    comes to the driver and goes out again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, part, names, ids, size = None, 0, [], [], 0
-
-        def made():
-            return pa.RecordBatch.from_pydict(
-                {"bucket": [bucket], "part": [part], "n_ids": [size], "data": [segment(names, ids)]},
-                schema=pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()), ("data", pa.binary())]))
+        words, end = Words(path), end_id.to_bytes(4, "little")
+        part, before, names, ids, size, bucket = 0, 0, [], [], 0, None
+
+        def made() -> pa.RecordBatch:
+            nonlocal part, before, names, ids, size
+            out = pa.RecordBatch.from_pydict(
+                {"bucket": [bucket], "part": [part], "n_ids": [size], "before": [before], "data": [segment(names, ids)]},
+                schema=pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()),
+                                  ("before", pa.int64()), ("data", pa.binary())]))
+            part, before, names, ids, size = part + 1, before + size, [], [], 0
+            return out
 
-        for b in batches:
-            for to, name, x in zip(*(b.column(c).to_pylist() for c in ("bucket", "doc_id", "ids")), strict=True):
-                if names and (to != bucket or size >= SEGMENT_IDS or len(names) == 65_535):
-                    yield made()
-                    part, names, ids, size = part + 1 if to == bucket else 0, [], [], 0
-                bucket = to
-                names.append(name)
-                ids.append(x)
-                size += len(x) // 4
+        for batch in batches:
+            for k in range(0, batch.num_rows, TEXTS):
+                b = batch.slice(k, TEXTS)
+                bucket = b.column("bucket")[0].as_py()
+                for name, x in zip(b.column("doc_id").to_pylist(), words.encode(b.column("text").to_pylist()), strict=True):
+                    names.append(name)
+                    ids.append(x + end)
+                    size += len(x) // 4 + 1
+                    if size >= SEGMENT_IDS or len(names) == 65_535:
+                        yield made()
         if names:
             yield made()
 
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    ranges = min(RANGES, max(1, ids.count() // ROWS_PER_RANGE))
-    marks = sorted(set(ids.where("doc_id IS NOT NULL").agg(F.percentile_approx(
-        "doc_id", [k / ranges for k in range(1, ranges)] or [0.5], 10_000)).first()[0] or []))
-    bounds = F.array(*[F.lit(m).cast("long") for m in marks]) if marks else F.array(F.lit(0).cast("long"))
-    bucket = F.coalesce(F.size(F.filter(bounds, lambda m: m < F.col("doc_id"))), F.lit(0))
-    table = saved(encoded(docs, path, end_id).withColumn("bucket", bucket.cast("int"))
-                  .repartition("bucket").sortWithinPartitions("bucket", F.asc_nulls_first("doc_id"), "ids")
-                  .mapInArrow(run, "bucket int, part int, n_ids long, data binary"), "segments")
-    starts = running_totals(table.select("bucket", "part", "n_ids"), ["bucket", "part"], "n_ids", "first_id")
-    return table.join(starts.select("bucket", "part", "first_id"), ["bucket", "part"])
+    order = (F.asc_nulls_first("doc_id"), F.asc("hash"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    dealt = rows.withColumn("hash", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
+    table = saved(dealt.select("doc_id", "text", F.spark_partition_id().alias("bucket"))
+                  .mapInArrow(run, "bucket int, part int, n_ids long, before long, data binary"), "segments")
+    sizes = sorted((r.bucket, r.n_ids) for r in table.groupBy("bucket").agg(F.sum("n_ids").alias("n_ids")).collect())
+    starts = [0, *accumulate(n for _, n in sizes)]
+    base = table.sparkSession.createDataFrame([(k, int(s)) for (k, _), s in zip(sizes, starts, strict=False)],
+                                              "bucket int, base long")
+    return table.join(F.broadcast(base), "bucket").withColumn("first_id", F.col("base") + F.col("before")).drop("base")
 
 
 def documents_in(segments: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the segments."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, read back from the segments by select."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, data in zip(b.column("first_id").to_pylist(), b.column("data").to_pylist(), strict=True):
-                rows = [(of, first + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                        for of, start, ids in Segment(data)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                                                 ["doc_id", "start", "n_tokens", "ids_crc32"])
+            for first, data in zip(b.column("first_id").to_pylist(), b.column("data"), strict=True):
+                s = Segment(data.as_buffer())
+                for k in range(0, s.documents, 1_024):
+                    rows = [(of, first + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                            for of, start, ids in map(s.document, range(k, min(k + 1_024, s.documents)))]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
+                                                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return segments.select("first_id", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
