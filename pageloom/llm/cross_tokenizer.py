@@ -49,9 +49,10 @@ from pyspark.sql import functions as F
 
 from pageloom.llm.bpe import loaded
 from pageloom.llm.common import saved, whole_text
+from pageloom.llm.token_files import without_cache
 
 RADICES, SPILL_RECORDS, SPILL_DOCS, FAN_IN = 32, 1 << 20, 1 << 15, 64
-KNOWN_CHUNKS, PIECE, LEARNT = 300_000, 1 << 20, 1 << 15
+KNOWN_CHUNKS, PIECE, LEARNT = 200_000, 1 << 20, 1 << 15
 BLANK, A_BITS = "▁", 17
 NO_TOKENS = None
 
@@ -73,6 +74,7 @@ class Aligner:
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
+        without_cache(self.a)
         self.b = SentencePieceProcessor(model_file=path_b)
         self.bytes_a = loaded(path_a)[2]
         self.bytes_b = [self._piece(i) for i in range(self.b.vocab_size())]
