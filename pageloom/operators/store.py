@@ -63,8 +63,8 @@ def append_documents(docs: DataFrame, path: str, kind: str = "parquet",
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
-                kind: str = "parquet", stream: str | None = None, upto: datetime | None = None) -> None:
-    """Store a batch of a stream, or store it again in place of what an earlier try has left.
+                kind: str = "parquet", stream: str | None = None, upto: datetime | None = None) -> int:
+    """Store a batch of a stream, or store it again in place of what an earlier try has left; its number of rows.
 
     Every try writes a folder of its own, which counts from its commit on; the folder it takes the place of
     counts until then and is deleted afterwards. So readers that go by the commits (``committed_rows``,
@@ -82,6 +82,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
     commits.add(folder, old, stream=stream, batch_id=batch_id, n_rows=n_rows, upto=upto)
     for f in old:
         remove(spark, f"{path}/{f}")
+    return n_rows
 
 
 def batch_folder(batch_id: int, stream: str | None) -> str:
@@ -183,8 +184,7 @@ def insert_rows(new: DataFrame, path: str, key: str, order: Sequence[str], batch
             index.add(keys, keys.count(), upto=found[1])
     index.merge(but=own)
     fresh = written(first_per_key(new.filter(F.col(key).isNotNull()), key, order), "fresh")
-    write_batch(index.absent(fresh, but=own), path, batch_id, stream=stream)
-    before = [r for r in index.segments() if (r.stream, r.batch_id) == own]
-    stored = committed_rows(spark, path, stream, batch_id)
-    if stored is not None:
-        index.add(stored.select(key), stored.count(), before, stream=stream, batch_id=batch_id)
+    n_rows = write_batch(index.absent(fresh, but=own), path, batch_id, stream=stream)
+    if n_rows:
+        before = [r for r in index.segments() if (r.stream, r.batch_id) == own]
+        index.add(committed_rows(spark, path, stream, batch_id).select(key), n_rows, before, stream=stream, batch_id=batch_id)
