@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pageloom.functions.expr import NO_STRINGS, case, fold, let, quote, struct
-from pageloom.functions.html import INLINE, LEFT_OUT, Element, _is_void, _names, _open, _tag_name, all_ended
+from pageloom.functions.html import INLINE, LEFT_OUT, VOID_TAGS, Element, _is_void, _names, _open, _tag_name, all_ended
 
 _INTS = "cast(array() AS array<int>)"
 
@@ -31,10 +31,11 @@ def areas(html: str, driver: Element, leading: Sequence[Element] = (), others: S
     numbers of all elements around it, where matches and the elements around the last one end, the first
     element that may lead, and the last one that is known to.
     """
-    wanted = quote("^" + _open(driver))
-
     def one_of(p: str, elements: Sequence[Element]) -> str:
-        return "(" + (" OR ".join(f"{p} RLIKE {quote('^' + _open(e))}" for e in elements) or "false") + ")"
+        """Is the piece the opening tag of one of the elements? A plain substring test spares most pieces the pattern."""
+        return "(" + (" OR ".join("(" + " AND ".join([
+            *[f"contains({p}, {quote(t.value)})" for t in e.tests if t.value], f"{p} RLIKE {quote('^' + _open(e))}"]) + ")"
+            for e in elements) or "false") + ")"
 
     def step(acc: str, p: str) -> str:
         at = f"{acc}.at"
@@ -44,32 +45,54 @@ def areas(html: str, driver: Element, leading: Sequence[Element] = (), others: S
             return struct(at=f"{at} + 1", open=open_, found=found, ends=ends, lead=lead, known=known)
 
         def opened(name: str) -> str:
-            mark = f"({p} RLIKE {wanted})"
-            entry = struct(at=at, tag=name, mark=mark)
-            path = f"array_append(transform({acc}.open, o -> o.at), {at})"
-            void_end = f"array_append({acc}.ends, {struct(at=at, stop=f'{at} + 1')})"
-            return state(
-                open_=case((_is_void(p), f"{acc}.open"), otherwise=f"array_append({acc}.open, {entry})"),
-                found=case((mark, f"array_append({acc}.found, {path})"), otherwise=f"{acc}.found"),
-                ends=case((f"{mark} AND {_is_void(p)}", void_end), otherwise=f"{acc}.ends"),
-                lead=case((f"{acc}.lead IS NULL AND {one_of(p, [*leading, *others])}", at), otherwise=f"{acc}.lead"),
-                known=case((one_of(p, leading), at), otherwise=f"{acc}.known"))
+            # The name alone tells almost always; only then the pattern is asked.
+            void = case((f"{name} IN ({', '.join(map(quote, VOID_TAGS))})", _is_void(p)), otherwise=f"endswith({p}, '/>')")
+
+            def with_facts(facts: str) -> str:
+                mark, void = f"{facts}.mark", f"{facts}.void"
+                entry = struct(at=at, tag=name, mark=mark)
+                path = f"array_append(transform({acc}.open, o -> o.at), {at})"
+                void_end = f"array_append({acc}.ends, {struct(at=at, stop=f'{at} + 1')})"
+                return state(
+                    open_=case((void, f"{acc}.open"), otherwise=f"array_append({acc}.open, {entry})"),
+                    found=case((mark, f"array_append({acc}.found, {path})"), otherwise=f"{acc}.found"),
+                    ends=case((f"{mark} AND {void}", void_end), otherwise=f"{acc}.ends"),
+                    lead=case((f"{acc}.lead IS NULL AND {one_of(p, [*leading, *others])}", at), otherwise=f"{acc}.lead"),
+                    known=case((one_of(p, leading), at), otherwise=f"{acc}.known"))
+
+            return let(struct(mark=one_of(p, [driver]), void=void), with_facts)
 
         def closed(name: str) -> str:
+            # Most tags end the last open one.
+            top = f"try_element_at({acc}.open, -1)"
+            around = f"coalesce(try_element_at({acc}.found, -1), {_INTS})"
+
+            def told(o: str) -> str:
+                return f"{o}.mark OR array_contains({around}, {o}.at)"
+
+            def ended(o: str) -> str:
+                return struct(at=f"{o}.at", stop=at)
+
+            last = state(open_=f"slice({acc}.open, 1, size({acc}.open) - 1)", ends=case(
+                (f"size({acc}.found) = 0", f"{acc}.ends"), (told(top), f"array_append({acc}.ends, {ended(top)})"),
+                otherwise=f"{acc}.ends"))
+
             def popped(back: str) -> str:
                 keep = f"size({acc}.open) - {back}"
                 alone = f"{name} IN ({', '.join(map(quote, INLINE))})"
                 left = f"slice({acc}.open, 1, {keep})"
                 rest = case((alone, f"concat({left}, slice({acc}.open, {keep} + 2, size({acc}.open)))"), otherwise=left)
                 gone = case((alone, f"slice({acc}.open, {keep} + 1, 1)"), otherwise=f"slice({acc}.open, {keep} + 1, size({acc}.open))")
-                around = f"coalesce(try_element_at({acc}.found, -1), {_INTS})"
-                new = f"transform(filter({gone}, o -> o.mark OR array_contains({around}, o.at)), o -> {struct(at='o.at', stop=at)})"
-                return case((f"{back} = 0", state()), otherwise=state(open_=rest, ends=f"concat({acc}.ends, {new})"))
+                new = f"transform(filter({gone}, o -> {told('o')}), o -> {ended('o')})"
+                return case((f"{back} = 0", state()), otherwise=state(open_=rest, ends=case(
+                    (f"size({acc}.found) = 0", f"{acc}.ends"), otherwise=f"concat({acc}.ends, {new})")))
 
-            return let(f"cast(array_position(reverse(transform({acc}.open, o -> o.tag)), {name}) AS int)", popped)
+            by_name = let(f"cast(array_position(reverse(transform({acc}.open, o -> o.tag)), {name}) AS int)", popped)
+            return case((f"{top}.tag = {name}", last), otherwise=by_name)
 
         tag = let(_tag_name(p), lambda name: case((f"startswith({p}, '</')", closed(name)), otherwise=opened(name)))
-        return case((f"NOT {p} RLIKE '^</?[a-zA-Z]'", state()), otherwise=tag)
+        # Only what comes before the first tag is a piece without one.
+        return case((f"{at} = 0 AND NOT {p} RLIKE '^</?[a-zA-Z]'", state()), otherwise=tag)
 
     def cut(ps: str) -> str:
         def finish(acc: str) -> str:

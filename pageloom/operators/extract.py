@@ -6,6 +6,7 @@ Fields that share a path and a take share one array column, so each selector run
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from pageloom.functions import html as H
 from pageloom.functions import text as X
-from pageloom.functions.expr import each, each_flat, quote
+from pageloom.functions.expr import each, each_flat, let, quote, struct
 
 Rule = Callable[[str], str]
 
@@ -63,11 +64,26 @@ def matches(document: str, path: Sequence[H.Element], take: str | Rule) -> str:
         return take(document)
     if len(path) == 1:
         return _take(document, path[0], take)
+    return _below(_outer_step(document, path), path, take)
+
+
+def _outer_step(document: str, path: Sequence[H.Element]) -> str:
+    """What the first of several steps narrows to."""
     # What lies below a match inside a match lies below the outer one; only children need both.
-    areas = H.inner_html(document, path[0], nested=path[1].child)
+    return H.inner_html(document, path[0], nested=path[1].child)
+
+
+def _below(areas: str, path: Sequence[H.Element], take: str) -> str:
     return each_flat(areas, lambda area: matches(area, path[1:], take))
 
 
+def _step_of(f: Field) -> tuple | None:
+    """What fields have in common that narrow to the same areas first."""
+    if callable(f.take) or len(f.path) == 1:
+        return None
+    return f.rendered, f.path[0], f.path[1].child
+
+
 def pick(values: str, which: str | int | Rule) -> str:
     """First, n-th, joined or all of the matches; NULL where there is no such match."""
     if callable(which):
@@ -84,6 +100,24 @@ def value(f: Field, values: str) -> str:
     return f.post(picked) if f.post else picked
 
 
+def picked_struct(document: str, fields: dict[str, Field]) -> str:
+    """The fields of one stretch of HTML as a struct; areas that several of them lie in are found once."""
+    steps: dict[tuple, Field] = {}
+    for f in fields.values():
+        if _step_of(f):
+            steps.setdefault(_step_of(f), f)
+
+    def with_areas(left: list[tuple], areas: dict[tuple, str]) -> str:
+        if left:
+            first = left[0]
+            return let(_outer_step(document, steps[first].path),
+                       lambda found: with_areas(left[1:], {**areas, first: found}))
+        return struct(**{name: value(f, _below(areas[_step_of(f)], f.path, f.take) if _step_of(f)
+                                     else matches(document, f.path, f.take)) for name, f in fields.items()})
+
+    return with_areas(list(steps), {})
+
+
 def computed_once(df: DataFrame, keep: Sequence[str], columns: dict[str, str]) -> DataFrame:
     """``keep`` and the computed columns, each evaluated once per row.
 
@@ -110,8 +144,21 @@ def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
     shared: dict[tuple, str] = {}
     for f in fields:
         shared.setdefault((f.rendered, f.path, f.take), f"_m{len(shared)}")
-    found = {name: matches("_rendered" if key[0] else "_body", key[1], key[2])
-             for key, name in shared.items()}
+    # Areas that several columns are taken from are found once.
+    steps = Counter(_step_of(Field("", path, take, rendered=seen)) for seen, path, take in shared)
+    areas = {step: f"_a{k}" for k, step in enumerate(s for s, n in steps.items() if s and n > 1)}
+
+    def document(seen: bool) -> str:
+        return "_rendered" if seen else "_body"
+
+    found, narrowed = {}, {}
+    for (seen, path, take), name in shared.items():
+        step = _step_of(Field("", path, take, rendered=seen))
+        if step in areas:
+            narrowed[areas[step]] = _outer_step(document(seen), path)
+            found[name] = _below(areas[step], path, take)
+        else:
+            found[name] = matches(document(seen), path, take)
 
     def source(f: Field) -> str:
         return shared[(f.rendered, f.path, f.take)]
@@ -119,6 +166,9 @@ def extract_fields(df: DataFrame, fields: Sequence[Field], html: str = "html",
     checks = [f"CASE WHEN {pick(source(f), f.pick)} IS NULL THEN {quote(f.name)} END"
               for f in fields if f.required]
     missing = f"cast(array_compact(array({', '.join(checks)})) AS array<string>)"
-    return (computed_once(df.selectExpr(*keep, *body), keep, found)
+    df = df.selectExpr(*keep, *body)
+    if narrowed:
+        df = computed_once(df, df.columns, narrowed)
+    return (computed_once(df, keep, found)
             .selectExpr(*keep, *[f"{value(f, source(f))} AS {f.name}" for f in fields],
                         f"{missing} AS missing_fields"))

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pageloom.functions import html as H
 from pageloom.functions import text as X
 from pageloom.functions import urls as U
-from pageloom.functions.expr import each, struct
+from pageloom.functions.expr import each
 from pageloom.operators import specs as S
 from pageloom.operators.cards import distinct_by, zip_lists
 from pageloom.operators.classify import detail_outcome, page_flags
-from pageloom.operators.extract import extract_fields, matches, value
+from pageloom.operators.extract import computed_once, extract_fields, picked_struct
 
 _FLAGS = ("url", "origin_url", "final_url", "status", "fetched_at", "redirected", "robot_error",
           "expired", "accepted", "on_site", "parsed")
@@ -63,12 +63,11 @@ def agencies(pages: DataFrame, domain: str = S.GENERAL_DOMAIN, keep=(), whole_ca
     sales, unpaired_sales = zip_lists({"url": "sale_url", "description": "sale_text", "picture": "sale_picture"}), \
         _unpaired("sale_url", "sale_text", "sale_picture")
     if whole_cards:
-        sales, unpaired_sales = each("sale_cards", lambda card: struct(**{
-            name: value(f, matches(card, f.path, f.take)) for name, f in S.SALE.items()})), "0"
+        sales, unpaired_sales = each("sale_cards", lambda card: picked_struct(card, S.SALE)), "0"
     sold = zip_lists({"type": "sold_type", "description": "sold_tags", "city": "sold_city",
                       "details": "sold_details"}, "strict")
-    df = df.selectExpr("*", f"{team} AS _team", f"{distinct_by(sales, 'url')} AS _sales",
-                       f"{sold} AS _sold")
+    # Once per page, though a filter and an explosion of what comes out ask for them again.
+    df = computed_once(df, df.columns, {"_team": team, "_sales": distinct_by(sales, "url"), "_sold": sold})
     kept = [c for c in df.columns
             if c not in (*raw, "_photo", "_team", "_sales", "_sold", "missing_fields")]
     df = df.selectExpr(

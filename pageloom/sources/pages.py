@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 from pageloom import schemas
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the scan has fewer splits than there are cores.
+#: Pages of one task: extraction takes some 10 ms a page, so a task stays short however large the table is.
+PAGES_PER_TASK, MOST_TASKS = 4_000, 10_000
 
-    For work that costs far more than reading. A large table has more splits and is not shuffled.
+
+def spread(df: DataFrame, rows_per_task: int | None = None) -> DataFrame:
+    """Rows over all cores where the scan has fewer splits than there are cores, or than ``rows_per_task`` asks for.
+
+    For work that costs far more than reading. The rows are counted from the files' footers. A table with more
+    splits is not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    if rows_per_task:
+        wanted = max(wanted, min(-(-df.count() // rows_per_task), MOST_TASKS))
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """A page table from Parquet files."""
-    return spread(spark.read.parquet(path))
+    return spread(spark.read.parquet(path), PAGES_PER_TASK)
 
 
 def lay_out(pages: DataFrame, table: str, path: str, buckets: int = 256, group_bytes: int = 16 << 20) -> None:

@@ -337,3 +337,21 @@ def test_steps_run_by_order_number(spark):
     df = spark.range(1).selectExpr("'' AS s")
     add = lambda x: (lambda d: d.selectExpr(f"concat(s, '{x}') AS s"))
     assert apply_steps(df, [(2, add("b")), (1, add("a")), (0, identity)]).first().s == "ab"
+
+
+def test_tasks_of_a_page_table_stay_bounded(spark, tmp_path, monkeypatch):
+    from pageloom.sources import pages as P
+    monkeypatch.setattr(P, "PAGES_PER_TASK", 10)
+    spark.range(95).selectExpr("id AS page_id", "'<p>' AS html").coalesce(1).write.parquet(f"{tmp_path}/pages")
+    found = P.read_pages(spark, f"{tmp_path}/pages")
+    assert found.rdd.getNumPartitions() == 10 and found.count() == 95
+
+
+def test_nested_lists_of_an_agency_are_taken_once(spark):
+    """However often later steps ask for them: a filter and an explosion do."""
+    found = details.usable(details.agencies(table(spark, agency()), whole_cards=True))
+    text = found.selectExpr("explode(Realtor_Ads_selling_infos) AS s")._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in text.splitlines() if "c-pa-img" in line]
+    assert lines and not any(line.strip(" +-:").startswith("Filter") for line in lines)
+    assert found.selectExpr("explode(Realtor_Ads_selling_infos) AS s").count() == \
+        found.selectExpr("sum(size(Realtor_Ads_selling_infos)) AS n").first().n > 0
