@@ -10,7 +10,7 @@ from pageloom.operators import specs as S
 from pageloom.operators.cards import discover, listing_ads
 from pageloom.operators.route import write_routes
 from pageloom.operators.settle import settle
-from pageloom.session import scratch_dir
+from pageloom.session import scratch_dir, written
 from pageloom.sources import queues
 from pageloom.sources.pages import fetched_pages
 from pageloom.streaming.consume import consume, insert_once, once_per_key, publish, runs_so_far
@@ -70,12 +70,22 @@ def stream_retry(spark, sf_dir):
     return stored.select("event_id", F.col("user_id").cast("string").alias("url"), "action")
 
 
+#: Events of one file of ``out_of_order``, about.
+EVENTS_PER_FILE = 100_000
+
+
 def out_of_order(events, path, files=8):
-    """The events in files by time, every second one written before the one that it follows."""
-    marks = events.agg(F.percentile_approx(F.col("ts").cast("long"), [k / files for k in range(1, files)])).first()[0]
-    part = F.size(F.filter(F.array(*map(F.lit, marks)), lambda m: m < F.col("ts").cast("long")))
+    """The events in parts by time, every second one written before the one that it follows; how many files a part has.
+
+    The table is dealt out once. Each part is written by as many tasks as it has files, of some events each."""
+    n, marks = events.agg(F.count("*"), F.percentile_approx(F.col("ts").cast("long"), [k / files for k in range(1, files)])).first()
+    part = F.size(F.filter(F.array(*map(F.lit, marks or [])), lambda m: m < F.col("ts").cast("long")))
+    each = max(1, -(-n // (files * EVENTS_PER_FILE)))
+    dealt = written(events.withColumn("part", part).repartition(files * each), "dealt") if each > 1 else events.withColumn("part", part)
     for k in range(files):
-        events.filter(part == k ^ 1).coalesce(1).write.mode("append").parquet(path)
+        rows = dealt.filter(F.col("part") == k ^ 1).drop("part")
+        (rows.repartition(each) if each > 1 else rows.coalesce(1)).write.mode("append").parquet(path)
+    return each
 
 
 @BOOK.query(retrying._DEFERRED)
@@ -84,8 +94,8 @@ def stream_retry_late(spark, sf_dir):
     out = scratch_dir(spark, "stream")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")
-    out_of_order(events, f"{out}/in")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+    files = out_of_order(events, f"{out}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{out}/in")
     rule = ("user_id", retrying.ORDER, retrying.failed(), out, f"{out}/progress", retrying.MAX_RETRIES)
     retry_stream(stream, *rule, lateness="8 days").awaitTermination()
     number_waiting(spark, events.schema, *rule)

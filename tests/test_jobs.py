@@ -355,3 +355,15 @@ def test_queue_is_consumed_in_several_batches(spark):
     rows, batches = streams.consumed(spark, "/root/testdata/sf0.001", queues.luxury_ads)
     assert batches >= 3
     assert {r["cp"] for r in rows.select("cp").distinct().collect()} == {None, "01", "2A"}
+
+
+def test_parts_out_of_order_are_written_in_files_of_some_events(spark, tmp_path, monkeypatch):
+    from pageloom.catalogue import streams
+    monkeypatch.setattr(streams, "EVENTS_PER_FILE", 10)
+    events = spark.range(400).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts", "nullif(id % 7, 0) AS user_id")
+    events = events.union(events.limit(3)).coalesce(1)
+    assert streams.out_of_order(events, str(tmp_path / "in")) == 6
+    back = spark.read.parquet(str(tmp_path / "in"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, events.collect()))
+    sizes = back.groupBy("_metadata.file_path").count().collect()
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) <= 30
