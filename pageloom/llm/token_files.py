@@ -23,6 +23,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 from struct import calcsize, pack, unpack_from
 
@@ -134,7 +135,7 @@ def without_cache(tokenizer) -> None:
 
 
 class Words:
-    """Ids by the tokenizers library, which gets each different word of a task once.
+    """Ids by the tokenizers library, which gets each different word of a Python worker once while it is remembered.
 
     The file's pattern cuts a lower-cased text into words that are encoded apart. Over the first 256
     characters its classes can be listed and lower-casing and composing change nothing else, so texts
@@ -194,6 +195,12 @@ class Words:
                 if w is None else b"".join(map(get, w)) for t, w in zip(texts, words, strict=True)]
 
 
+@lru_cache(maxsize=1)
+def words_of(path: str) -> Words:
+    """One table of words for all tasks that a Python worker runs one after the other, bounded by ``KNOWN_WORDS``."""
+    return Words(path)
+
+
 def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """The written table (bucket, part, n_ids, before, data, first_id) of all documents in order; ``before`` is
     the number of ids of the bucket ahead of the segment, ``first_id`` of all buckets.
@@ -204,7 +211,7 @@ def segments(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     comes to the driver and goes out again.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = Words(path), end_id.to_bytes(4, "little")
+        words, end = words_of(path), end_id.to_bytes(4, "little")
         part, before, names, ids, size, bucket = 0, 0, [], [], 0, None
 
         def made() -> pa.RecordBatch:

@@ -368,3 +368,16 @@ def test_pipeline_equals_its_parts(spark):
         want += [(i, hashlib.sha256(rows[i].text.encode()).hexdigest())] * (int(rate) + (chance < rate % 1))
     got = [(r.doc_id, r.decoded_sha256) for r in corpus_pipeline.run(spark, SF).collect()]
     assert sorted(got) == sorted(want) and os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
+
+
+def test_words_are_known_across_the_tasks_of_a_worker():
+    from pageloom.llm import token_files
+    path = P.path("word_bpe_49k.json")
+    words = token_files.words_of(path)
+    first = words.encode(["Ünique wordes one two", "a<|b"])
+    learnt = []
+    words.one_by_one, words.together = learnt.extend, learnt.extend
+    try:
+        assert token_files.words_of(path).encode(["Ünique wordes one two", "a<|b"]) == first and not learnt
+    finally:
+        token_files.words_of.cache_clear()
