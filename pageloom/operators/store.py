@@ -53,7 +53,14 @@ def lookup_pages(requests: DataFrame, pages: DataFrame, hot_rows: int = HOT_ROWS
 
 def append_documents(docs: DataFrame, path: str, kind: str = "parquet",
                      partition_by: Sequence[str] = ()) -> None:
-    """Append; the table is created when absent. JSON is written one object per line."""
+    """Append; the table is created when absent. JSON is written one object per line.
+
+    The documents of a partition are brought together first, else every task leaves a file in each folder that
+    it has a document for, in the end one file a document. A partition of more than the advisory size is still
+    written by several tasks.
+    """
+    if partition_by:
+        docs = docs.hint("rebalance", *[F.col(f"`{c.replace('`', '``')}`") for c in partition_by])
     writer = docs.write.mode("append").format(kind)
     if kind == "json":
         writer = writer.option("ignoreNullFields", "false")

@@ -159,3 +159,29 @@ def test_old_batches_are_merged(spark, tmp_path):
     assert [(r.batch_id, r.level) for r in live] == [(2, 1), (5, 1), (6, None), (7, None)]
     store.write_batch(spark.range(1).withColumn("settled", F.lit("ack")), path, 7, ["settled"], stream="s")
     assert store.committed_rows(spark, path).count() == len(before) - 3 + 1
+
+
+def test_a_partitioned_append_leaves_one_file_a_partition(spark, tmp_path):
+    def append(start):
+        docs = spark.range(start, start + 240, 1, 8).select(
+            F.when(F.col("id") % 10 > 0, F.col("id") % 10).alias("odd `name`.x"), "id", F.array(F.struct("id")).alias("ids"))
+        store.append_documents(docs, str(tmp_path), partition_by=["odd `name`.x"])
+
+    for n in (1, 2):
+        append(240 * (n - 1))
+        folders = [f for f in tmp_path.iterdir() if f.is_dir()]
+        assert len(folders) == 10  # rows without a value have one, too
+        assert all(len(list(f.glob("*.parquet"))) == n for f in folders)
+    assert rows_of(spark.read.parquet(str(tmp_path))) == list(range(480))
+
+
+def test_a_large_partition_is_appended_by_several_tasks(spark, tmp_path):
+    kept = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        docs = spark.range(0, 20_000, 1, 8).select(F.lit("hot").alias("p"), "id")
+        store.append_documents(docs, str(tmp_path), "json", ["p"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", kept)
+    assert 1 < len(list(tmp_path.glob("p=hot/*.json"))) <= 8
+    assert rows_of(spark.read.json(str(tmp_path))) == list(range(20_000))
