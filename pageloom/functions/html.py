@@ -365,7 +365,7 @@ def _counted(html: str, el: Element) -> str:
             if el.tests and el.tests[0].value:
                 # Cheaper, and enough: the tested value occurs nowhere else.
                 v = quote(el.tests[0].value)
-                removed = [f"length({x}) - length(replace({x}, {v}, ''))" for x in (inside, h)]
+                removed = [f"octet_length({x}) - octet_length(replace({x}, {v}, ''))" for x in (inside, h)]
                 tags = f"{removed[0]} = {removed[1]} OR {tags}"
             return case((tags, f), otherwise=by_count)
 

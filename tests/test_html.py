@@ -240,3 +240,11 @@ def test_random_lists_agree_with_a_parser(evaluate):
     got = evaluate(matches("s", (E("li"),), "visible"), pages)
     assert [["".join(t.split()) for t in page] for page in got] == want
     assert sum(map(len, want)) > 800
+
+
+@pytest.mark.parametrize("word", ["card", "été€"])
+def test_matches_are_whole_however_deep_and_whatever_the_value(evaluate, word):
+    deep = f'<div class="{word}">{"<div>" * 9}ü{"</div>" * 9}</div>'
+    docs = [deep, deep + deep, f'é<div class="{word}">a', f'<div title="{word}"></div>{deep}', f"{word} {deep} {word}", f"<div>{word}</div>"]
+    found = evaluate(H.outer_html("s", E("div", class_is=word)), docs)
+    assert found == [[deep], [deep, deep], [f'<div class="{word}">a</div>'], [deep], [deep], []]
