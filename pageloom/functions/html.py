@@ -263,6 +263,11 @@ def _if_present(html: str, el: Element, search, otherwise: str = NO_STRINGS) ->
         otherwise=otherwise))
 
 
+def _with_ends_if_present(html: str, el: Element) -> str:
+    """``_with_ends`` for a document that holds the tested values; other kinds are looked for when they are searched."""
+    return _if_present(html, el, lambda h: _with_ends(h, el), "''") if el.tag in LEFT_OUT else html
+
+
 def opening_tags(html: str, el: Element) -> str:
     """Every matching opening tag, in document order."""
     return _if_present(html, el, lambda h: _all(h, _open(el)))
@@ -355,7 +360,11 @@ def _counted(html: str, el: Element) -> str:
                     (f"{p} RLIKE {quote('^' + opening)}", _STARTS), otherwise=_OPENS)
         return struct(kind=kind, tag=_tag_name(p) if any_tag else "''")
 
-    def search(h: str) -> str:
+    def removed(h: str) -> str:
+        """How many bytes the first tested value takes up."""
+        return f"(octet_length({h}) - octet_length(replace({h}, {quote(el.tests[0].value)}, '')))"
+
+    def search(h: str, n: str = "") -> str:
         by_count = _cut(f"split({h}, {quote(f'(?=</?{name})')})", mark)
 
         def checked(f: str) -> str:
@@ -364,13 +373,14 @@ def _counted(html: str, el: Element) -> str:
                     f"regexp_count({h}, {quote(opening)})")
             if el.tests and el.tests[0].value:
                 # Cheaper, and enough: the tested value occurs nowhere else.
-                v = quote(el.tests[0].value)
-                removed = [f"octet_length({x}) - octet_length(replace({x}, {v}, ''))" for x in (inside, h)]
-                tags = f"{removed[0]} = {removed[1]} OR {tags}"
+                tags = f"{removed(inside)} = {n or removed(h)} OR {tags}"
             return case((tags, f), otherwise=by_count)
 
         return let(_all(h, _balanced(el)), checked)
 
+    if len(el.tests) == 1 and el.tests[0].value:
+        # As ``_if_present``; the bytes are counted anyway.
+        return let(html, lambda h: let(removed(h), lambda n: case((f"{n} > 0", search(h, n)), otherwise=NO_STRINGS)))
     return _if_present(html, el, lambda h: search(h) if el.tests else let(h, search))
 
 
@@ -492,7 +502,7 @@ def outer_html(html: str, el: Element, nested: bool = True) -> str:
         return children(html, el) if el.child else opening_tags(html, el)
     if _flat(el):
         return _if_present(html, el, lambda h: _all(h, f"{_open(el)}(?s:.*?){_end(el.tag)}"))
-    html = _if_present(html, el, lambda h: _with_ends(h, el), "''")
+    html = _with_ends_if_present(html, el)
     found = children(html, el) if el.child else (_every if nested else _counted)(html, el)
     return each(found, lambda o: f"concat({o}, '</', {_tag_name(o)}, '>')")
 
@@ -503,7 +513,7 @@ def inner_html(html: str, el: Element, nested: bool = True) -> str:
         return each(outer_html(html, el), lambda _: "''")
     if _flat(el):
         return _if_present(html, el, lambda h: _all(h, f"{_open(el)}((?s:.*?)){_end(el.tag)}", 1))
-    html = _if_present(html, el, lambda h: _with_ends(h, el), "''")
+    html = _with_ends_if_present(html, el)
     found = children(html, el) if el.child else (_every if nested else _counted)(html, el)
     return each(found, _without_first_tag)
 
@@ -574,7 +584,7 @@ def text_nodes(html: str, el: Element) -> str:
     """Own text nodes of every match, in document order."""
     if el.child or el.tag in FLAT_TAGS or el.tag in VOID_TAGS:
         return each_flat(inner_html(html, el), own_text)
-    html = _if_present(html, el, lambda h: _with_ends(h, el), "''")
+    html = _with_ends_if_present(html, el)
     return each_flat(_counted(html, el), lambda o: case(
         (f"substr({o}, 2) RLIKE {quote(_open(el))}", nested_text(o, el)), otherwise=own_text(_without_first_tag(o))))
 

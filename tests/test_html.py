@@ -245,6 +245,9 @@ def test_random_lists_agree_with_a_parser(evaluate):
 @pytest.mark.parametrize("word", ["card", "été€"])
 def test_matches_are_whole_however_deep_and_whatever_the_value(evaluate, word):
     deep = f'<div class="{word}">{"<div>" * 9}ü{"</div>" * 9}</div>'
-    docs = [deep, deep + deep, f'é<div class="{word}">a', f'<div title="{word}"></div>{deep}', f"{word} {deep} {word}", f"<div>{word}</div>"]
+    docs = [deep, deep + deep, f'é<div class="{word}">a', f'<div title="{word}"></div>{deep}', f"{word} {deep} {word}", f"<div>{word}</div>",
+            "<div>a</div>", "", None]
     found = evaluate(H.outer_html("s", E("div", class_is=word)), docs)
-    assert found == [[deep], [deep, deep], [f'<div class="{word}">a</div>'], [deep], [deep], []]
+    assert found == [[deep], [deep, deep], [f'<div class="{word}">a</div>'], [deep], [deep], [], [], [], []]
+    for field in (H.inner_html, H.text_nodes):
+        assert evaluate(field("s", E("div", class_is=word, child=field is H.inner_html)), docs[-3:]) == [[], [], []]
